@@ -9,12 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from . import oracle_sql as sql
-from .operators.aggregate import monthly_borough_agg
-from .operators.clean import clean_trips
-from .operators.enrich import to_gold
+from .functions.calendar import calendar_parts
+from .functions.keys import TRIP_KEY_FIELDS, trip_id
+from .functions.measures import stable_sum
+from .functions.quality import PICKUP, clean_predicate
+from .operators.aggregate import high_water_mark, monthly_borough_agg
+from .operators.clean import apply_global_rules, apply_rate_rules, clean_trips, reject_reasons
+from .operators.enrich import enrich_with_zones, to_gold
+from .plans.incremental import read_after_watermark, scalar
 from .sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +46,124 @@ def q_monthly_borough_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_borough_agg(_gold(spark, sf_dir))
 
 
+# Silver as of the first load: trips picked up before this instant.
+FIRST_LOAD_BEFORE = "2000-01-01 00:00:00"
+
+
+def _first_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _silver(spark, sf_dir).filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+
+
+def q_dq_global_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules F1–F10 over the raw trips."""
+    return apply_global_rules(tables.trips(spark, sf_dir), tables.FIXTURE_EXCLUDED_LOCATIONS)
+
+
+def q_dq_rate_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules F11–F17 over the raw trips."""
+    return apply_rate_rules(tables.trips(spark, sf_dir))
+
+
+def q_dq_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected trips counted by the first rule they fail."""
+    return reject_reasons(tables.trips(spark, sf_dir), tables.FIXTURE_EXCLUDED_LOCATIONS)
+
+
+def q_zone_enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both zone roles left-joined onto every raw trip."""
+    return enrich_with_zones(tables.trips(spark, sf_dir), tables.zones(spark, sf_dir))
+
+
+def q_trip_key_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """trip_id (sha-256 of the key fields) for every raw trip."""
+    return tables.trips(spark, sf_dir).select(trip_id().alias("trip_id"), *TRIP_KEY_FIELDS)
+
+
+def q_calendar_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """date/year/month/day/weekday/hour of every event timestamp."""
+    return tables.table(spark, sf_dir, "events").select("event_id", *calendar_parts("ts", "event"))
+
+
+def q_gold_obt_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 24-column gold table (fixed created_at)."""
+    return _gold(spark, sf_dir)
+
+
+def q_silver_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze and silver row counts from one pass over the trips."""
+    return tables.trips(spark, sf_dir).agg(
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.count_if(clean_predicate(tables.FIXTURE_EXCLUDED_LOCATIONS)).alias("silver_rows"),
+    )
+
+
+def q_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAX pickup time of the first-load silver."""
+    return high_water_mark(_first_silver(spark, sf_dir), PICKUP)
+
+
+def q_bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows strictly newer than the silver high-water mark."""
+    watermark = scalar(high_water_mark(_first_silver(spark, sf_dir), PICKUP))
+    return read_after_watermark(tables.trips(spark, sf_dir), PICKUP, watermark)
+
+
+def q_top_borough_pairs(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFrame:
+    """Top-k borough pairs by trips (ties broken by borough names, NULLs first)."""
+    pairs = _gold(spark, sf_dir).groupBy("pickup_borough", "dropoff_borough").agg(
+        F.count("trip_id").alias("total_trips"),
+        stable_sum("total_amount").alias("total_revenue"),
+    )
+    order = [
+        F.col("total_trips").desc(),
+        F.col("pickup_borough").asc_nulls_first(),
+        F.col("dropoff_borough").asc_nulls_first(),
+    ]
+    # orderBy + limit plans a TakeOrderedAndProject: each task keeps its own
+    # top k, only k rows per task reach the final merge.
+    top = pairs.orderBy(*order).limit(k)
+    return top.withColumn("pair_rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
+
+
+def q_demand_by_hour_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event counts and value by weekday and hour."""
+    events = tables.table(spark, sf_dir, "events")
+    return events.groupBy(
+        F.date_format("ts", "EEEE").alias("day_of_week"),
+        F.hour("ts").cast("int").alias("hour_of_day"),
+    ).agg(F.count(F.lit(1)).alias("events"), stable_sum("value").alias("total_value"))
+
+
 QUERIES: dict[str, Query] = {
     "monthly_borough_agg": q_monthly_borough_agg,
+    "dq_global_filter": q_dq_global_filter,
+    "dq_rate_rules": q_dq_rate_rules,
+    "dq_reject_reasons": q_dq_reject_reasons,
+    "zone_enrich_left_join": q_zone_enrich_left_join,
+    "trip_key_hash": q_trip_key_hash,
+    "calendar_parts": q_calendar_parts,
+    "gold_obt_projection": q_gold_obt_projection,
+    "silver_row_count": q_silver_row_count,
+    "high_water_mark": q_high_water_mark,
+    "bronze_incremental": q_bronze_incremental,
+    "top_borough_pairs": q_top_borough_pairs,
+    "demand_by_hour_dow": q_demand_by_hour_dow,
 }
 
 ORACLES: dict[str, str] = {
     "monthly_borough_agg": sql.MONTHLY_BOROUGH_AGG,
+    "dq_global_filter": sql.DQ_GLOBAL_FILTER,
+    "dq_rate_rules": sql.DQ_RATE_RULES,
+    "dq_reject_reasons": sql.DQ_REJECT_REASONS,
+    "zone_enrich_left_join": sql.ZONE_ENRICH_LEFT_JOIN,
+    "trip_key_hash": sql.TRIP_KEY_HASH,
+    "calendar_parts": sql.CALENDAR_PARTS,
+    "gold_obt_projection": sql.GOLD_OBT_PROJECTION,
+    "silver_row_count": sql.SILVER_ROW_COUNT,
+    "high_water_mark": sql.HIGH_WATER_MARK,
+    "bronze_incremental": sql.BRONZE_INCREMENTAL,
+    "top_borough_pairs": sql.TOP_BOROUGH_PAIRS,
+    "demand_by_hour_dow": sql.DEMAND_BY_HOUR_DOW,
 }
 
 

@@ -137,3 +137,126 @@ MONTHLY_BOROUGH_AGG = f"""
 FROM gold
 GROUP BY pickup_year, pickup_month, pickup_borough, dropoff_borough
 """
+
+DQ_GLOBAL_FILTER = f"""
+{with_(TRIPS)}
+SELECT * FROM trips WHERE {GLOBAL_OK}
+"""
+
+DQ_RATE_RULES = f"""
+{with_(TRIPS)}
+SELECT * FROM trips WHERE {RATE_OK}
+"""
+
+DQ_REJECT_REASONS = f"""
+{with_(TRIPS)}
+SELECT reject_reason, COUNT(*) AS rejected_rows
+FROM (
+  SELECT CASE
+    WHEN (PULocationID IS NOT NULL AND PULocationID <> 0) IS NOT TRUE THEN 'F01_pickup_location_present'
+    WHEN (DOLocationID IS NOT NULL AND DOLocationID <> 0) IS NOT TRUE THEN 'F02_dropoff_location_present'
+    WHEN (PULocationID NOT IN (23, 24)) IS NOT TRUE THEN 'F03_pickup_location_known'
+    WHEN (DOLocationID NOT IN (23, 24)) IS NOT TRUE THEN 'F04_dropoff_location_known'
+    WHEN (tpep_pickup_datetime IS NOT NULL) IS NOT TRUE THEN 'F05_pickup_time_present'
+    WHEN (tpep_dropoff_datetime IS NOT NULL) IS NOT TRUE THEN 'F06_dropoff_time_present'
+    WHEN (tpep_dropoff_datetime > tpep_pickup_datetime) IS NOT TRUE THEN 'F07_dropoff_after_pickup'
+    WHEN (total_amount > 0) IS NOT TRUE THEN 'F08_total_amount_positive'
+    WHEN (trip_distance >= 0) IS NOT TRUE THEN 'F09_trip_distance_not_negative'
+    WHEN (payment_type IN (1, 2)) IS NOT TRUE THEN 'F10_payment_type_accepted'
+    WHEN (RatecodeID IN (1, 2, 3, 4, 5)) IS NOT TRUE THEN 'F11_rate_code_known'
+    WHEN (RatecodeID <> 1 OR (improvement_surcharge = 1.0 AND mta_tax IN (0.0, 0.5)
+          AND congestion_surcharge IN (0.0, 2.5) AND fare_amount >= 3.0
+          AND cbd_congestion_fee IN (0.0, 0.75))) IS NOT TRUE THEN 'F12_rate_1_fees'
+    WHEN (RatecodeID <> 2 OR (Airport_fee >= 0.0 AND mta_tax IN (0.0, 0.5)
+          AND improvement_surcharge IN (0.0, 1.0) AND congestion_surcharge IN (0.0, 2.5)
+          AND cbd_congestion_fee IN (0.0, 0.75))) IS NOT TRUE THEN 'F13_rate_2_fees'
+    WHEN (RatecodeID <> 3 OR (fare_amount >= 0.0 AND improvement_surcharge >= 0.0))
+          IS NOT TRUE THEN 'F14_rate_3_fees'
+    WHEN (RatecodeID <> 4 OR (mta_tax = 0.5 AND improvement_surcharge = 1.0
+          AND congestion_surcharge IN (0.0, 2.5) AND cbd_congestion_fee IN (0.0, 0.75)))
+          IS NOT TRUE THEN 'F15_rate_4_fees'
+    WHEN (RatecodeID <> 5 OR (mta_tax IN (0.0, 0.5) AND improvement_surcharge = 1.0
+          AND congestion_surcharge IN (0.0, 2.5) AND cbd_congestion_fee IN (0.0, 0.75)))
+          IS NOT TRUE THEN 'F16_rate_5_fees'
+  END AS reject_reason
+  FROM trips
+) r
+WHERE reject_reason IS NOT NULL
+GROUP BY reject_reason
+"""
+
+ZONE_ENRICH_LEFT_JOIN = f"""
+{with_(TRIPS, ZONES)}
+SELECT t.*, pz.Zone AS pickup_zone, pz.Borough AS pickup_borough,
+       dz.Zone AS dropoff_zone, dz.Borough AS dropoff_borough
+FROM trips t
+LEFT JOIN zones pz ON t.PULocationID = pz.LocationID
+LEFT JOIN zones dz ON t.DOLocationID = dz.LocationID
+"""
+
+TRIP_KEY_HASH = f"""
+{with_(TRIPS)}
+SELECT {TRIP_ID} AS trip_id, VendorID, tpep_pickup_datetime, tpep_dropoff_datetime,
+       PULocationID, DOLocationID
+FROM trips
+"""
+
+CALENDAR_PARTS = """
+SELECT event_id,
+       CAST(ts AS DATE) AS event_date,
+       CAST(year(ts) AS INT) AS event_year,
+       CAST(month(ts) AS INT) AS event_month,
+       CAST(day(ts) AS INT) AS event_day,
+       dayname(ts) AS event_day_of_week,
+       CAST(hour(ts) AS INT) AS event_hour
+FROM events
+"""
+
+GOLD_OBT_PROJECTION = f"""
+{with_(TRIPS, CLEAN, ZONES, GOLD)}
+SELECT * FROM gold
+"""
+
+SILVER_ROW_COUNT = f"""
+{with_(TRIPS)}
+SELECT COUNT(*) AS bronze_rows,
+       COUNT(*) FILTER (WHERE {GLOBAL_OK} AND {RATE_OK}) AS silver_rows
+FROM trips
+"""
+
+SILVER_BEFORE_2000 = """
+silver AS (SELECT * FROM clean WHERE tpep_pickup_datetime < TIMESTAMP '2000-01-01 00:00:00')"""
+
+HIGH_WATER_MARK = f"""
+{with_(TRIPS, CLEAN, SILVER_BEFORE_2000)}
+SELECT MAX(tpep_pickup_datetime) AS watermark FROM silver
+"""
+
+BRONZE_INCREMENTAL = f"""
+{with_(TRIPS, CLEAN, SILVER_BEFORE_2000)}
+SELECT * FROM trips
+WHERE tpep_pickup_datetime > (SELECT MAX(tpep_pickup_datetime) FROM silver)
+"""
+
+TOP_BOROUGH_PAIRS = f"""
+{with_(TRIPS, CLEAN, ZONES, GOLD)}
+SELECT * FROM (
+  SELECT pickup_borough, dropoff_borough,
+         COUNT(trip_id) AS total_trips,
+         {money('total_amount')} AS total_revenue,
+         CAST(row_number() OVER (ORDER BY COUNT(trip_id) DESC,
+              pickup_borough ASC NULLS FIRST, dropoff_borough ASC NULLS FIRST) AS INT) AS pair_rank
+  FROM gold
+  GROUP BY pickup_borough, dropoff_borough
+) ranked
+WHERE pair_rank <= 10
+"""
+
+DEMAND_BY_HOUR_DOW = """
+SELECT dayname(ts) AS day_of_week,
+       CAST(hour(ts) AS INT) AS hour_of_day,
+       COUNT(*) AS events,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events
+GROUP BY dayname(ts), hour(ts)
+"""
