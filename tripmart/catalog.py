@@ -20,8 +20,13 @@ from .functions.quality import PICKUP, clean_predicate
 from .operators.aggregate import high_water_mark, monthly_borough_agg
 from .operators.clean import apply_global_rules, apply_rate_rules, clean_trips, reject_reasons
 from .operators.enrich import enrich_with_zones, to_gold
+from .operators.aggregate import merge_partial_aggs
+from .operators.merge import upsert
 from .plans.incremental import read_after_watermark, scalar
-from .sources import tables
+from .plans.read_plan import read_plans
+from .plans.versioned import COMMIT_COL, appended_predicate, commits_from_frame, latest_commits, live_predicate
+from .schemas import AGG_KEYS, GOLD_PARTITIONS
+from .sources import history, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -134,6 +139,78 @@ def q_demand_by_hour_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.count(F.lit(1)).alias("events"), stable_sum("value").alias("total_value"))
 
 
+# Versions read by the snapshot queries.
+AS_OF_COMMIT = 6
+RANGE_START, RANGE_END = 2, 7
+
+
+def q_latest_two_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newest two commits of the order history (snapshot metadata scan)."""
+    log = history.commit_log(history.committed_orders(spark, sf_dir))
+    return latest_commits(log, 2)
+
+
+def q_snapshot_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order history as of commit 6: the latest full overwrite (4) and later appends."""
+    committed = history.committed_orders(spark, sf_dir)
+    commits = commits_from_frame(history.commit_log(committed))
+    return committed.filter(live_predicate(commits, AS_OF_COMMIT))
+
+
+def q_snapshot_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended in commits (2, 7]; the overwrite commit is not an append."""
+    committed = history.committed_orders(spark, sf_dir)
+    commits = commits_from_frame(history.commit_log(committed))
+    return committed.filter(appended_predicate(commits, RANGE_START, RANGE_END))
+
+
+def q_read_plan_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full/delta decision a consumer gets after each commit of the history."""
+    log = history.commit_log(history.committed_orders(spark, sf_dir))
+    return read_plans(log.drop("rows"), log.select(COMMIT_COL, "rows"))
+
+
+# Upsert scenario: the target was loaded from trips picked up before 2000; a
+# redelivery of everything picked up from 1998 on is merged into it.
+MERGE_TARGET_BEFORE = "2000-01-01 00:00:00"
+MERGE_SOURCE_FROM = "1998-01-01 00:00:00"
+MERGE_SOURCE_CREATED_AT = "2024-02-01 00:00:00"
+AGG_SOURCE_FROM = "1999-01-01 00:00:00"
+
+
+def _gold_window(spark, sf_dir, lower=None, upper=None, created_at=CHECKED_CREATED_AT) -> DataFrame:
+    silver = _silver(spark, sf_dir)
+    ts = F.col(PICKUP)
+    if lower:
+        silver = silver.filter(ts >= F.lit(lower).cast("timestamp_ntz"))
+    if upper:
+        silver = silver.filter(ts < F.lit(upper).cast("timestamp_ntz"))
+    return to_gold(silver, tables.zones(spark, sf_dir), created_at=_created_at(created_at))
+
+
+def q_merge_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MERGE on trip_id: source wins, created_at kept from the target, scoped to touched months."""
+    target = _gold_window(spark, sf_dir, upper=MERGE_TARGET_BEFORE)
+    source = _gold_window(spark, sf_dir, lower=MERGE_SOURCE_FROM, created_at=MERGE_SOURCE_CREATED_AT)
+    result = upsert(target, source, ["trip_id"], preserve=["created_at"], scope_cols=GOLD_PARTITIONS)
+    return result.full_table(target)
+
+
+def q_merge_partial_aggs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor 1's aggregate plus vendor 2's delta, union-by-name and re-summed."""
+    gold = _gold(spark, sf_dir)
+    existing = monthly_borough_agg(gold.filter(F.col("vendor_id") == 1))
+    delta = monthly_borough_agg(gold.filter(F.col("vendor_id") != 1))
+    return merge_partial_aggs(existing, delta)
+
+
+def q_merge_monthly_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MERGE of a recomputed aggregate into a stale one on null-safe group keys."""
+    target = monthly_borough_agg(_gold_window(spark, sf_dir, upper=MERGE_TARGET_BEFORE))
+    source = monthly_borough_agg(_gold_window(spark, sf_dir, lower=AGG_SOURCE_FROM))
+    return upsert(target, source, AGG_KEYS, null_safe=True).merged
+
+
 QUERIES: dict[str, Query] = {
     "monthly_borough_agg": q_monthly_borough_agg,
     "dq_global_filter": q_dq_global_filter,
@@ -148,6 +225,13 @@ QUERIES: dict[str, Query] = {
     "bronze_incremental": q_bronze_incremental,
     "top_borough_pairs": q_top_borough_pairs,
     "demand_by_hour_dow": q_demand_by_hour_dow,
+    "latest_two_commits": q_latest_two_commits,
+    "snapshot_as_of": q_snapshot_as_of,
+    "snapshot_incremental": q_snapshot_incremental,
+    "read_plan_decision": q_read_plan_decision,
+    "merge_upsert_trips": q_merge_upsert_trips,
+    "merge_partial_aggs": q_merge_partial_aggs,
+    "merge_monthly_agg": q_merge_monthly_agg,
 }
 
 ORACLES: dict[str, str] = {
@@ -164,6 +248,13 @@ ORACLES: dict[str, str] = {
     "bronze_incremental": sql.BRONZE_INCREMENTAL,
     "top_borough_pairs": sql.TOP_BOROUGH_PAIRS,
     "demand_by_hour_dow": sql.DEMAND_BY_HOUR_DOW,
+    "latest_two_commits": sql.LATEST_TWO_COMMITS,
+    "snapshot_as_of": sql.SNAPSHOT_AS_OF,
+    "snapshot_incremental": sql.SNAPSHOT_INCREMENTAL,
+    "read_plan_decision": sql.READ_PLAN_DECISION,
+    "merge_upsert_trips": sql.MERGE_UPSERT_TRIPS,
+    "merge_partial_aggs": sql.MONTHLY_BOROUGH_AGG,
+    "merge_monthly_agg": sql.MERGE_MONTHLY_AGG,
 }
 
 

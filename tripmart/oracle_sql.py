@@ -260,3 +260,84 @@ SELECT dayname(ts) AS day_of_week,
 FROM events
 GROUP BY dayname(ts), hour(ts)
 """
+
+HISTORY = """
+committed AS (
+  SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+         CAST(year(o_orderdate) - 1994 AS BIGINT) AS commit_id
+  FROM orders
+),
+log AS (
+  SELECT commit_id,
+         CASE WHEN commit_id = 4 THEN 'overwrite' ELSE 'append' END AS operation,
+         MAX(o_orderdate) AS committed_at,
+         COUNT(*) AS delta_rows
+  FROM committed GROUP BY commit_id
+)"""
+
+LATEST_TWO_COMMITS = f"""
+{with_(HISTORY)}
+SELECT commit_id AS snapshot_id, operation, committed_at
+FROM log ORDER BY committed_at DESC, commit_id DESC LIMIT 2
+"""
+
+# As of commit 6: the newest overwrite at or before 6 is commit 4.
+SNAPSHOT_AS_OF = f"""
+{with_(HISTORY)}
+SELECT * FROM committed WHERE commit_id BETWEEN 4 AND 6
+"""
+
+# Appends in (2, 7]: commits 3, 5, 6, 7 (4 is an overwrite).
+SNAPSHOT_INCREMENTAL = f"""
+{with_(HISTORY)}
+SELECT * FROM committed WHERE commit_id > 2 AND commit_id <= 7 AND commit_id <> 4
+"""
+
+READ_PLAN_DECISION = f"""
+{with_(HISTORY)},
+p AS (
+  SELECT *, LAG(commit_id) OVER (ORDER BY committed_at, commit_id) AS previous_id,
+         (LAG(commit_id) OVER (ORDER BY committed_at, commit_id) IS NULL
+          OR operation IN ('overwrite', 'delete', 'replace')
+          OR delta_rows = 0) AS is_full
+  FROM log
+)
+SELECT commit_id AS snapshot_id, operation,
+       CASE WHEN is_full THEN 'full' ELSE 'delta' END AS read_mode,
+       CASE WHEN is_full THEN NULL ELSE previous_id END AS start_snapshot_id,
+       commit_id AS end_snapshot_id
+FROM p
+"""
+
+MERGE_WINDOWS = """
+clean_old AS (SELECT * FROM clean WHERE tpep_pickup_datetime < TIMESTAMP '2000-01-01 00:00:00'),
+clean_new AS (SELECT * FROM clean WHERE tpep_pickup_datetime >= TIMESTAMP '1998-01-01 00:00:00')"""
+
+MERGE_UPSERT_TRIPS = f"""
+{with_(TRIPS, CLEAN, ZONES, MERGE_WINDOWS)},
+t AS ({gold_select('clean_old', "TIMESTAMP '2024-01-01 00:00:00'")}),
+s AS ({gold_select('clean_new', "TIMESTAMP '2024-02-01 00:00:00'")})
+SELECT s.* EXCLUDE (created_at), COALESCE(t.created_at, s.created_at) AS created_at
+FROM s LEFT JOIN t ON s.trip_id = t.trip_id
+UNION ALL
+SELECT * FROM t WHERE trip_id NOT IN (SELECT trip_id FROM s)
+"""
+
+MERGE_MONTHLY_AGG = f"""
+{with_(TRIPS, CLEAN, ZONES)},
+clean_old AS (SELECT * FROM clean WHERE tpep_pickup_datetime < TIMESTAMP '2000-01-01 00:00:00'),
+clean_new AS (SELECT * FROM clean WHERE tpep_pickup_datetime >= TIMESTAMP '1999-01-01 00:00:00'),
+gold_old AS ({gold_select('clean_old', "TIMESTAMP '2024-01-01 00:00:00'")}),
+gold_new AS ({gold_select('clean_new', "TIMESTAMP '2024-01-01 00:00:00'")}),
+t AS ({AGG_SELECT} FROM gold_old GROUP BY ALL),
+s AS ({AGG_SELECT} FROM gold_new GROUP BY ALL)
+SELECT * FROM s
+UNION ALL
+SELECT * FROM t WHERE NOT EXISTS (
+  SELECT 1 FROM s
+  WHERE s.pickup_year IS NOT DISTINCT FROM t.pickup_year
+    AND s.pickup_month IS NOT DISTINCT FROM t.pickup_month
+    AND s.pickup_borough IS NOT DISTINCT FROM t.pickup_borough
+    AND s.dropoff_borough IS NOT DISTINCT FROM t.dropoff_borough
+)
+"""
