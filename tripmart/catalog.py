@@ -26,7 +26,19 @@ from .plans.incremental import read_after_watermark, scalar
 from .plans.read_plan import read_plans
 from .plans.versioned import COMMIT_COL, appended_predicate, commits_from_frame, latest_commits, live_predicate
 from .schemas import AGG_KEYS, GOLD_PARTITIONS
+from .plans.pipeline import Lakehouse, refresh_silver
+from .session import scratch_path
 from .sources import history, tables
+from .sources.bronze import list_files, raw_glob, read_bronze, schema_drift
+from .sources.landing import (
+    landed_months_from_paths,
+    landing_report,
+    landing_status,
+    missing_months,
+    month_plan,
+    months_of_years,
+)
+from .sources.zones import read_zones_csv, write_zones_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -211,6 +223,104 @@ def q_merge_monthly_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, source, AGG_KEYS, null_safe=True).merged
 
 
+def q_incremental_load_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows after a full load of pre-2000 trips, then an incremental load of all trips."""
+    lake = Lakehouse.at(spark, scratch_path(spark, "incremental-load"))
+    trips = tables.trips(spark, sf_dir)
+    first = trips.filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    full = refresh_silver(spark, first, lake.silver, tables.FIXTURE_EXCLUDED_LOCATIONS)
+    refresh_silver(spark, trips, lake.silver, tables.FIXTURE_EXCLUDED_LOCATIONS)
+    live = lake.silver.as_of(with_commit_id=True)
+    return live.agg(
+        F.count_if(F.col(COMMIT_COL) == full.commit_id).alias("rows_before"),
+        F.count_if(F.col(COMMIT_COL) != full.commit_id).alias("rows_added"),
+        F.count(F.lit(1)).alias("rows_after"),
+    )
+
+
+def q_silver_sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean trips written as a day-partitioned, pickup-sorted snappy table and read back.
+
+    The fixture spreads few rows over ~2,500 pickup days, so this writes many
+    tiny files; it exercises the day transform, not a tuned layout.
+    """
+    lake = Lakehouse.at(spark, scratch_path(spark, "silver-write"), silver_grain="day")
+    lake.silver.overwrite(_silver(spark, sf_dir))
+    return lake.silver.as_of()
+
+
+def q_zone_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zone dimension round trip through a headed CSV file read with its schema."""
+    path = scratch_path(spark, "zones-csv")
+    write_zones_csv(tables.zones(spark, sf_dir), path)
+    return read_zones_csv(spark, path)
+
+
+# Drift in the landed files: 1995 files lack the CBD fee column, 1996 files
+# store location ids as int64; later years match the bronze schema.
+NO_CBD_FEE_YEAR, INT64_LOCATION_YEAR = 1995, 1996
+
+
+def _land_drifted_trips(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_path(spark, "landing")
+    trips = tables.trips(spark, sf_dir)
+    year = F.year(PICKUP)
+    trips.filter(year == NO_CBD_FEE_YEAR).drop("cbd_congestion_fee").write.parquet(
+        f"{root}/year={NO_CBD_FEE_YEAR}"
+    )
+    trips.filter(year == INT64_LOCATION_YEAR).withColumns(
+        {c: F.col(c).cast("bigint") for c in ("PULocationID", "DOLocationID")}
+    ).write.parquet(f"{root}/year={INT64_LOCATION_YEAR}")
+    trips.filter(year > INT64_LOCATION_YEAR).withColumn("year", year).write.mode("append").partitionBy(
+        "year"
+    ).parquet(root)
+    return root
+
+
+def q_bronze_drift_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze scan over files with a missing column and a widened type."""
+    root = _land_drifted_trips(spark, sf_dir)
+    return read_bronze(spark, raw_glob(root))
+
+
+def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-column drift report over the landed files."""
+    root = _land_drifted_trips(spark, sf_dir)
+    return schema_drift(spark, list_files(spark, raw_glob(root)))
+
+
+def _landing_frames(spark: SparkSession, sf_dir: str):
+    """Plan = every month of every order year; landed = months that have orders.
+
+    The run date is the first day after the last order month.
+    """
+    orders = tables.table(spark, sf_dir, "orders")
+    last = scalar(orders.agg(F.max("o_orderdate")))
+    run_date = (last.replace(day=28) + __import__("datetime").timedelta(days=4)).replace(day=1).date()
+    years = orders.select(F.year("o_orderdate").alias("data_year")).distinct()
+    plan = month_plan(months_of_years(years), run_date)
+    landed = orders.select(
+        F.year("o_orderdate").cast("int").alias("data_year"),
+        F.month("o_orderdate").cast("int").alias("data_month"),
+    ).distinct()
+    return plan, landed
+
+
+def q_landing_month_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan, _ = _landing_frames(spark, sf_dir)
+    return plan
+
+
+def q_landing_missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan, landed = _landing_frames(spark, sf_dir)
+    return missing_months(plan, landed)
+
+
+def q_landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan, landed = _landing_frames(spark, sf_dir)
+    return landing_report(landing_status(plan, landed))
+
+
 QUERIES: dict[str, Query] = {
     "monthly_borough_agg": q_monthly_borough_agg,
     "dq_global_filter": q_dq_global_filter,
@@ -232,6 +342,14 @@ QUERIES: dict[str, Query] = {
     "merge_upsert_trips": q_merge_upsert_trips,
     "merge_partial_aggs": q_merge_partial_aggs,
     "merge_monthly_agg": q_merge_monthly_agg,
+    "incremental_load_effect": q_incremental_load_effect,
+    "silver_sorted_write": q_silver_sorted_write,
+    "zone_csv_scan": q_zone_csv_scan,
+    "bronze_drift_read": q_bronze_drift_read,
+    "schema_drift": q_schema_drift,
+    "landing_month_plan": q_landing_month_plan,
+    "landing_missing_months": q_landing_missing_months,
+    "landing_report": q_landing_report,
 }
 
 ORACLES: dict[str, str] = {
@@ -255,6 +373,13 @@ ORACLES: dict[str, str] = {
     "merge_upsert_trips": sql.MERGE_UPSERT_TRIPS,
     "merge_partial_aggs": sql.MONTHLY_BOROUGH_AGG,
     "merge_monthly_agg": sql.MERGE_MONTHLY_AGG,
+    "incremental_load_effect": sql.INCREMENTAL_LOAD_EFFECT,
+    "silver_sorted_write": sql.SILVER_SORTED_WRITE,
+    "zone_csv_scan": sql.ZONE_CSV_SCAN,
+    "bronze_drift_read": sql.BRONZE_DRIFT_READ,
+    "landing_month_plan": sql.LANDING_MONTH_PLAN,
+    "landing_missing_months": sql.LANDING_MISSING_MONTHS,
+    "landing_report": sql.LANDING_REPORT,
 }
 
 

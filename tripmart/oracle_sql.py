@@ -341,3 +341,86 @@ SELECT * FROM t WHERE NOT EXISTS (
     AND s.dropoff_borough IS NOT DISTINCT FROM t.dropoff_borough
 )
 """
+
+INCREMENTAL_LOAD_EFFECT = f"""
+{with_(TRIPS, CLEAN, SILVER_BEFORE_2000)},
+added AS (
+  SELECT * FROM clean
+  WHERE tpep_pickup_datetime > (SELECT MAX(tpep_pickup_datetime) FROM silver)
+)
+SELECT (SELECT COUNT(*) FROM silver) AS rows_before,
+       (SELECT COUNT(*) FROM added) AS rows_added,
+       (SELECT COUNT(*) FROM silver) + (SELECT COUNT(*) FROM added) AS rows_after
+"""
+
+SILVER_SORTED_WRITE = f"""
+{with_(TRIPS, CLEAN)}
+SELECT * FROM clean
+"""
+
+ZONE_CSV_SCAN = f"""
+{with_(ZONES)}
+SELECT * FROM zones
+"""
+
+BRONZE_DRIFT_READ = f"""
+{with_(TRIPS)}
+SELECT * REPLACE (
+  CASE WHEN year(tpep_pickup_datetime) = 1995 THEN CAST(NULL AS DOUBLE)
+       ELSE cbd_congestion_fee END AS cbd_congestion_fee)
+FROM trips
+"""
+
+LANDING = """
+years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS data_year FROM orders),
+run AS (
+  SELECT CAST(date_trunc('month', MAX(o_orderdate)) + INTERVAL 1 MONTH AS DATE) AS run_date
+  FROM orders
+),
+plan AS (
+  SELECT y.data_year, CAST(m.data_month AS INT) AS data_month,
+         printf('yellow_tripdata_%04d-%02d.parquet', y.data_year, m.data_month) AS file_name,
+         'raw/taxi/year=' || CAST(year(r.run_date) AS VARCHAR) || '/'
+           || printf('yellow_tripdata_%04d-%02d.parquet', y.data_year, m.data_month) AS object_key,
+         CAST(year(r.run_date) AS INT) AS landed_year,
+         (y.data_year * 12 + m.data_month) >= (year(r.run_date) * 12 + month(r.run_date)) AS pending
+  FROM years y
+  CROSS JOIN (SELECT unnest(range(1, 13)) AS data_month) m
+  CROSS JOIN run r
+),
+landed AS (
+  SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS data_year,
+                  CAST(month(o_orderdate) AS INT) AS data_month
+  FROM orders
+)"""
+
+LANDING_MONTH_PLAN = f"""
+{with_(LANDING)}
+SELECT * FROM plan
+"""
+
+LANDING_MISSING_MONTHS = f"""
+{with_(LANDING)}
+SELECT p.* FROM plan p
+WHERE NOT EXISTS (
+  SELECT 1 FROM landed l WHERE l.data_year = p.data_year AND l.data_month = p.data_month
+)
+"""
+
+LANDING_REPORT = f"""
+{with_(LANDING)},
+status AS (
+  SELECT CASE
+           WHEN l.data_year IS NOT NULL THEN 'skipped'
+           WHEN p.pending THEN 'pending'
+           ELSE 'missing'
+         END AS status
+  FROM plan p
+  LEFT JOIN landed l ON l.data_year = p.data_year AND l.data_month = p.data_month
+),
+counts AS (SELECT status, COUNT(*) AS months FROM status GROUP BY status)
+SELECT status, months,
+       CASE WHEN (SELECT COUNT(*) FROM counts WHERE status = 'missing') > 0
+            THEN 'incomplete' ELSE 'completed' END AS run_status
+FROM counts
+"""

@@ -23,13 +23,14 @@ those directories are scanned.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..schemas import COMMITS
 
@@ -44,6 +45,9 @@ class Commit:
     operation: str
     committed_at: dt.datetime
     partitions: tuple[str, ...]  # ("*",) or partition paths
+    source_commit: int | None = None  # upstream commit this one was computed from
+    rows: int | None = None  # rows written
+    high_water_mark: str | None = None  # max of the table's watermark column in this commit
 
 
 def partition_path(values: dict[str, object]) -> str:
@@ -85,16 +89,32 @@ def commits_from_frame(log: DataFrame) -> list[Commit]:
             F.first("operation").alias("operation"),
             F.max("committed_at").alias("committed_at"),
             F.collect_set("partition").alias("partitions"),
+            F.max("source_commit").alias("source_commit"),
+            F.max("rows").alias("rows"),
+            F.max("high_water_mark").alias("high_water_mark"),
         )
         .orderBy(COMMIT_COL)
         .collect()
     )
     return [
-        Commit(int(r[COMMIT_COL]), r.operation, r.committed_at, tuple(sorted(r.partitions)))
+        Commit(
+            int(r[COMMIT_COL]),
+            r.operation,
+            r.committed_at,
+            tuple(sorted(r.partitions)),
+            None if r.source_commit is None else int(r.source_commit),
+            None if r.rows is None else int(r.rows),
+            r.high_water_mark,
+        )
         for r in grouped
     ]
 
 
+def partition_filter(partitions: Iterable[dict[str, object]], schema: StructType) -> Column:
+    """Predicate matching any of the given partition value maps (typed literals)."""
+    return _partition_match([partition_path(p) for p in partitions], schema)
+
+
 def _partition_match(paths: Iterable[str], schema: StructType | None) -> Column:
     types = {f.name: f.dataType for f in schema.fields} if schema else {}
     terms = []
@@ -149,11 +169,26 @@ def latest_commits(log: DataFrame, n: int = 2) -> DataFrame:
 class VersionedTable:
     """A parquet table with a commit log; see the module docstring."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: StructType, partition_by: Sequence[str] = ()):
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        schema: StructType,
+        partition_by: Sequence[str] = (),
+        sort_by: Sequence[str] = (),
+        derived: dict[str, tuple[Column, DataType]] | None = None,
+        watermark_col: str | None = None,
+    ):
+        """``derived`` adds hidden partition columns computed on write (e.g. the
+        pickup day of a timestamp); they are partition folders, not returned
+        by reads."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by)
+        self.sort_by = list(sort_by)
+        self.derived = dict(derived or {})
+        self.watermark_col = watermark_col
         self._ensure_log()
 
     # -- paths ---------------------------------------------------------------
@@ -176,17 +211,8 @@ class VersionedTable:
         )
 
     def commits_frame(self) -> DataFrame:
-        """The commit log as a DataFrame (empty and typed if nothing is committed)."""
-        try:
-            return (
-                self.spark.read.schema(COMMITS)
-                .option("recursiveFileLookup", "true")
-                .parquet(self.log_root)
-            )
-        except Exception as exc:  # noqa: BLE001 - missing log means no commits
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return self.spark.createDataFrame([], COMMITS)
-            raise
+        """The commit log as a DataFrame."""
+        return self.spark.read.schema(COMMITS).option("recursiveFileLookup", "true").parquet(self.log_root)
 
     def commits(self) -> list[Commit]:
         return commits_from_frame(self.commits_frame())
@@ -195,15 +221,66 @@ class VersionedTable:
         ids = [c.commit_id for c in self.commits()]
         return max(ids) if ids else None
 
-    def _write_commit(self, df: DataFrame, operation: str, partitions: Iterable[str]) -> int:
+    def high_water_mark(self):
+        """Max watermark value over the live commits, from the log (no data scan).
+
+        Falls back to ``MAX(column)`` over the table when a live commit predates
+        watermark bookkeeping.  Returns a value of the column's type, or None.
+        """
+        if not self.watermark_col:
+            raise ValueError("table has no watermark column")
+        commits = self.commits()
+        if not commits:
+            return None
+        live = {cid for cid, _ in live_files(commits, commits[-1].commit_id)}
+        marks = [c.high_water_mark for c in commits if c.commit_id in live and (c.rows or 0) > 0]
+        if any(c.high_water_mark is None and (c.rows or 0) > 0 for c in commits if c.commit_id in live):
+            return self.as_of().agg(F.max(self.watermark_col)).first()[0]
+        if not marks:
+            return None
+        dtype = self.schema[self.watermark_col].dataType
+        # Strings of one type compare like values only for some types; compare typed.
+        typed = self.spark.createDataFrame([(m,) for m in marks], "m string")
+        return typed.agg(F.max(F.col("m").cast(dtype))).first()[0]
+
+    def last_source_commit(self) -> int | None:
+        """Newest upstream commit this table has consumed (per-consumer progress)."""
+        done = [c.source_commit for c in self.commits() if c.source_commit is not None]
+        return max(done) if done else None
+
+    def _write_commit(
+        self, df: DataFrame, operation: str, partitions: Iterable[str], source_commit: int | None = None
+    ) -> int:
         commit_id = (self.latest_commit_id() or 0) + 1
         target = f"{self.data_root}/{COMMIT_COL}={commit_id}"
-        writer = df.select(*self.schema.fieldNames()).write.mode("overwrite")
+        out = df.select(
+            *self.schema.fieldNames(), *[expr.alias(name) for name, (expr, _) in self.derived.items()]
+        )
+        # Row count and watermark are gathered by the write job itself.
+        stats = [F.count(F.lit(1)).alias("rows")]
+        if self.watermark_col:
+            stats.append(F.max(self.watermark_col).cast("string").alias("hwm"))
+        observation = Observation(f"commit_{commit_id}_{uuid.uuid4().hex}")
+        out = out.observe(observation, *stats)
+        writer = out.write.mode("overwrite")
         if self.partition_by:
+            # Rebalance on the partition columns: each task writes few table
+            # partitions (no small-file explosion) and AQE splits any hot
+            # partition across tasks instead of funnelling it into one.
+            out = out.hint("rebalance", *self.partition_by)
+            writer = out.sortWithinPartitions(*self.partition_by, *self.sort_by).write.mode("overwrite")
             writer = writer.partitionBy(*self.partition_by)
+        elif self.sort_by:
+            writer = out.sortWithinPartitions(*self.sort_by).write.mode("overwrite")
         writer.parquet(target)
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(commit_id, operation, now, p) for p in sorted(set(partitions))]
+        try:
+            metrics = observation.get
+        except Exception:  # noqa: BLE001 - an empty write reports no metrics
+            written = self.spark.read.schema(self.stored_schema).parquet(target)
+            metrics = written.agg(*stats).first().asDict()
+        n_rows, hwm = int(metrics.get("rows") or 0), metrics.get("hwm")
+        rows = [(commit_id, operation, now, p, source_commit, n_rows, hwm) for p in sorted(set(partitions))]
         (
             self.spark.createDataFrame(rows, COMMITS)
             .coalesce(1)
@@ -213,35 +290,58 @@ class VersionedTable:
         return commit_id
 
     # -- writes --------------------------------------------------------------
-    def append(self, df: DataFrame) -> int:
-        return self._write_commit(df, APPEND, [WHOLE_TABLE])
+    def append(self, df: DataFrame, source_commit: int | None = None) -> int:
+        return self._write_commit(df, APPEND, [WHOLE_TABLE], source_commit)
 
-    def overwrite(self, df: DataFrame) -> int:
-        return self._write_commit(df, OVERWRITE, [WHOLE_TABLE])
+    def overwrite(self, df: DataFrame, source_commit: int | None = None) -> int:
+        return self._write_commit(df, OVERWRITE, [WHOLE_TABLE], source_commit)
 
-    def replace_partitions(self, df: DataFrame, partitions: Iterable[dict[str, object]]) -> int:
+    def replace_partitions(
+        self, df: DataFrame, partitions: Iterable[dict[str, object]], source_commit: int | None = None
+    ) -> int:
         """Replace exactly the listed partitions with ``df`` (an upsert's commit)."""
         paths = [partition_path(p) for p in partitions]
         if not paths:
             raise ValueError("replace_partitions needs at least one partition")
-        return self._write_commit(df, OVERWRITE, paths)
+        return self._write_commit(df, OVERWRITE, paths, source_commit)
+
+    def partitions_since(self, start_exclusive: int | None) -> list[dict[str, str]] | None:
+        """Partitions written by commits after ``start_exclusive`` (None = whole table)."""
+        touched: set[str] = set()
+        for c in self.commits():
+            if start_exclusive is not None and c.commit_id <= start_exclusive:
+                continue
+            if WHOLE_TABLE in c.partitions:
+                return None
+            touched.update(c.partitions)
+        return [_parse_path(p) for p in sorted(touched)]
 
     # -- reads ---------------------------------------------------------------
+    @property
+    def stored_schema(self) -> StructType:
+        """Columns as stored: the table schema plus derived partition columns."""
+        extra = [StructField(name, dtype, True) for name, (_, dtype) in self.derived.items()]
+        return StructType(list(self.schema.fields) + extra)
+
     def _scan(self) -> DataFrame:
-        fields = list(self.schema.fields) + [StructField(COMMIT_COL, COMMITS[COMMIT_COL].dataType, True)]
+        fields = list(self.stored_schema.fields) + [StructField(COMMIT_COL, COMMITS[COMMIT_COL].dataType, True)]
         return self.spark.read.schema(StructType(fields)).parquet(self.data_root)
 
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
-    def as_of(self, commit_id: int | None = None) -> DataFrame:
-        """The table as of ``commit_id`` (latest when None); typed empty if none."""
+    def as_of(self, commit_id: int | None = None, with_commit_id: bool = False) -> DataFrame:
+        """The table as of ``commit_id`` (latest when None); typed empty if none.
+
+        ``with_commit_id`` keeps the commit that wrote each row.
+        """
         commits = self.commits()
+        cols = self.schema.fieldNames() + ([COMMIT_COL] if with_commit_id else [])
         if not commits:
-            return self._empty()
+            return self._scan().filter(F.lit(False)).select(*cols)
         as_of = commit_id if commit_id is not None else commits[-1].commit_id
-        pred = live_predicate(commits, as_of, self.schema)
-        return self._scan().filter(pred).select(*self.schema.fieldNames())
+        pred = live_predicate(commits, as_of, self.stored_schema)
+        return self._scan().filter(pred).select(*cols)
 
     def appended_between(self, start_exclusive: int, end_inclusive: int) -> DataFrame:
         """Rows added by ``append`` commits with start < commit_id ≤ end."""

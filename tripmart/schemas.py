@@ -104,6 +104,9 @@ COMMITS = _struct(
     ("operation", StringType()),
     ("committed_at", TimestampType()),
     ("partition", StringType()),
+    ("source_commit", LongType()),
+    ("rows", LongType()),
+    ("high_water_mark", StringType()),
 )
 
 LANDING = _struct(

@@ -37,5 +37,7 @@ def commit_log(committed: DataFrame) -> DataFrame:
         op.alias("operation"),
         "committed_at",
         F.lit(WHOLE_TABLE).alias("partition"),
+        F.lit(None).cast("bigint").alias("source_commit"),
         "rows",
+        F.col("committed_at").cast("string").alias("high_water_mark"),
     )
