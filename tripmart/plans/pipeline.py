@@ -37,14 +37,18 @@ from .versioned import APPEND, VersionedTable, partition_filter
 
 FULL, INCREMENTAL, SKIPPED = "full", "incremental", "skipped"
 
-# Hidden partition columns of silver, per grain.
-SILVER_GRAINS = {
-    "month": {
-        "pickup_year": (F.year(PICKUP), IntegerType()),
-        "pickup_month": (F.month(PICKUP), IntegerType()),
-    },
-    "day": {"pickup_date": (F.to_date(PICKUP), DateType())},
-}
+
+
+def silver_partitions(grain: str) -> dict:
+    """Hidden partition columns of silver for a grain (``month`` or ``day``)."""
+    if grain == "month":
+        return {
+            "pickup_year": (F.year(PICKUP), IntegerType()),
+            "pickup_month": (F.month(PICKUP), IntegerType()),
+        }
+    if grain == "day":
+        return {"pickup_date": (F.to_date(PICKUP), DateType())}
+    raise ValueError(f"unknown silver grain {grain!r}")
 
 
 @dataclass
@@ -76,13 +80,14 @@ class Lakehouse:
         partitions hold a well-sized file per month of taxi data; day
         partitions suit feeds with far more rows per day.
         """
+        hidden = silver_partitions(silver_grain)
         silver = VersionedTable(
             spark,
             join_path(root, "silver"),
             SILVER,
-            partition_by=list(SILVER_GRAINS[silver_grain]),
+            partition_by=list(hidden),
             sort_by=[incremental_col],
-            derived=SILVER_GRAINS[silver_grain],
+            derived=hidden,
             watermark_col=incremental_col,
         )
         gold = VersionedTable(spark, join_path(root, "gold"), GOLD, partition_by=GOLD_PARTITIONS)
