@@ -49,6 +49,28 @@ def _in_scope(scope: list[dict[str, object]]) -> Column:
     return reduce(lambda a, b: a | b, terms) if terms else F.lit(False)
 
 
+def validate_source(
+    source: DataFrame, keys: Sequence[str], scope_cols: Sequence[str] | None
+) -> list[dict[str, object]] | None:
+    """One pass over the source: fail on duplicate keys, return the touched partitions.
+
+    Counts per (key, scope) — a partial aggregate, so a hot key is collapsed
+    map-side — then folds them per scope value.  Only the per-partition
+    summary (bounded, checked) reaches the driver.
+    """
+    scope_cols = list(scope_cols or [])
+    per_key = source.groupBy(*keys, *scope_cols).agg(F.count(F.lit(1)).alias("n"))
+    summary = per_key.groupBy(*scope_cols).agg(F.max("n").alias("max_n"))
+    rows = summary.limit(MAX_SCOPE_PARTITIONS + 1).collect()
+    if len(rows) > MAX_SCOPE_PARTITIONS:
+        raise ValueError(f"merge scope {scope_cols} has more than {MAX_SCOPE_PARTITIONS} values")
+    if any(r.max_n > 1 for r in rows):
+        raise ValueError(f"MERGE source has duplicate keys on {list(keys)}")
+    if not scope_cols:
+        return None
+    return [{c: r[c] for c in scope_cols} for r in rows]
+
+
 def touched_partitions(source: DataFrame, scope_cols: Sequence[str]) -> list[dict[str, object]]:
     """Distinct values of the scope columns in ``source`` (bounded, checked)."""
     rows = source.select(*scope_cols).distinct().limit(MAX_SCOPE_PARTITIONS + 1).collect()
@@ -98,12 +120,14 @@ def upsert(
     updated instead of re-inserted.
     """
     columns = target.columns
-    scope = None
-    if scope_cols:
-        scope = touched_partitions(source, scope_cols)
+    if on_duplicate == "error":
+        # Duplicate check and scope discovery share one pass over the source.
+        scope = validate_source(source, keys, scope_cols)
+    else:
+        source = check_unique_keys(source, keys, on_duplicate, latest_by)
+        scope = touched_partitions(source, scope_cols) if scope_cols else None
+    if scope is not None:
         target = target.filter(_in_scope(scope))
-
-    source = check_unique_keys(source, keys, on_duplicate, latest_by)
     s = source.select(*[F.col(c).alias(_S + c) for c in columns], F.lit(True).alias(_IN_S))
     t = target.select(*[F.col(c).alias(_T + c) for c in columns], F.lit(True).alias(_IN_T))
 

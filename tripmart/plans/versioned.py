@@ -30,7 +30,16 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    FractionalType,
+    IntegralType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ..schemas import COMMITS
 
@@ -50,6 +59,19 @@ class Commit:
     high_water_mark: str | None = None  # max of the table's watermark column in this commit
 
 
+def parse_literal(text: str, dtype: DataType):
+    """Python value of Spark's string form of a scalar (as written by ``cast(string)``)."""
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return dt.datetime.fromisoformat(text)
+    if isinstance(dtype, DateType):
+        return dt.date.fromisoformat(text)
+    if isinstance(dtype, IntegralType):
+        return int(text)
+    if isinstance(dtype, FractionalType):
+        return float(text)
+    return text
+
+
 def partition_path(values: dict[str, object]) -> str:
     return "/".join(f"{k}={v}" for k, v in values.items())
 
@@ -189,6 +211,7 @@ class VersionedTable:
         self.sort_by = list(sort_by)
         self.derived = dict(derived or {})
         self.watermark_col = watermark_col
+        self._commits: list[Commit] | None = None
         self._ensure_log()
 
     # -- paths ---------------------------------------------------------------
@@ -215,7 +238,14 @@ class VersionedTable:
         return self.spark.read.schema(COMMITS).option("recursiveFileLookup", "true").parquet(self.log_root)
 
     def commits(self) -> list[Commit]:
-        return commits_from_frame(self.commits_frame())
+        """Commit log on the driver, cached until this object writes a commit.
+
+        One writer per table is assumed (as for the scheduled jobs); create a
+        new ``VersionedTable`` to see commits made by another process.
+        """
+        if self._commits is None:
+            self._commits = commits_from_frame(self.commits_frame())
+        return self._commits
 
     def latest_commit_id(self) -> int | None:
         ids = [c.commit_id for c in self.commits()]
@@ -239,9 +269,7 @@ class VersionedTable:
         if not marks:
             return None
         dtype = self.schema[self.watermark_col].dataType
-        # Strings of one type compare like values only for some types; compare typed.
-        typed = self.spark.createDataFrame([(m,) for m in marks], "m string")
-        return typed.agg(F.max(F.col("m").cast(dtype))).first()[0]
+        return max(parse_literal(m, dtype) for m in marks)
 
     def last_source_commit(self) -> int | None:
         """Newest upstream commit this table has consumed (per-consumer progress)."""
@@ -287,6 +315,7 @@ class VersionedTable:
             .write.mode("overwrite")
             .parquet(f"{self.log_root}/commit-{commit_id:010d}")
         )
+        self._commits = None
         return commit_id
 
     # -- writes --------------------------------------------------------------

@@ -42,6 +42,7 @@ def build_session(
         builder = builder.master(master)
     conf = dict(SCALE_CONFIG)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -23,9 +23,20 @@ FIXTURE_ZONE_KEY_LIMIT = 20
 FIXTURE_SERVICE_ZONE = "Z"
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table: ``<sf_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table: ``<sf_dir>/<name>.parquet``.
+
+    The driver tables are read-only, so the DataFrame (with its inferred schema
+    and file listing) is reused per session instead of re-inferred per query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _fee(condition, when_true: float, when_false: float):
