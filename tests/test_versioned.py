@@ -1,0 +1,95 @@
+"""Versioned parquet tables and the full/delta read decision."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripmart.plans.read_plan import DELTA, FULL, NONE, resolve_read_plan
+from tripmart.plans.versioned import Commit, VersionedTable, live_files
+from tripmart.schemas import COMMITS
+
+SCHEMA = "k string, part int, v int"
+
+
+def table(spark, root):
+    from pyspark.sql.types import StructType
+
+    return VersionedTable(spark, root, StructType.fromDDL(SCHEMA), partition_by=["part"])
+
+
+def frame(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def contents(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_append_overwrite_replace_and_time_travel(spark, tmp_root):
+    t = table(spark, tmp_root)
+    assert t.as_of().count() == 0 and t.latest_commit_id() is None
+    c1 = t.append(frame(spark, ("a", 1, 1)))
+    c2 = t.append(frame(spark, ("b", 2, 2)))
+    c3 = t.replace_partitions(frame(spark, ("a", 1, 10)), [{"part": 1}])
+    assert contents(t.as_of(c1)) == [("a", 1, 1)]
+    assert contents(t.as_of(c2)) == [("a", 1, 1), ("b", 2, 2)]
+    assert contents(t.as_of(c3)) == [("a", 1, 10), ("b", 2, 2)]
+    assert contents(t.appended_between(c1, c3)) == [("b", 2, 2)]
+    c4 = t.overwrite(frame(spark, ("z", 9, 9)))
+    assert contents(t.as_of()) == [("z", 9, 9)]
+    assert contents(t.as_of(c3)) == [("a", 1, 10), ("b", 2, 2)]  # older versions stay readable
+    assert [c.operation for c in t.commits()] == ["append", "append", "overwrite", "overwrite"]
+    assert t.commits()[c4 - 1].rows == 1
+
+
+def test_replace_partitions_records_scope_and_prunes(spark, tmp_root, capsys):
+    t = table(spark, tmp_root)
+    t.append(frame(spark, ("a", 1, 1), ("b", 2, 2)))
+    t.replace_partitions(frame(spark, ("a", 1, 5)), [{"part": 1}])
+    assert t.partitions_since(1) == [{"part": "1"}]
+    assert t.partitions_since(None) is None
+    t.as_of().explain("formatted")
+    assert "PartitionFilters" in capsys.readouterr().out
+
+
+def test_live_files_rules():
+    now = dt.datetime(2024, 1, 1)
+    log = [
+        Commit(1, "append", now, ("*",)),
+        Commit(2, "overwrite", now, ("p=1",)),
+        Commit(3, "delete", now, ("*",)),
+        Commit(4, "append", now, ("*",)),
+    ]
+    assert live_files(log, 1) == [(1, None)]
+    assert live_files(log, 2) == [(1, frozenset({"p=1"})), (2, None)]
+    assert live_files(log, 3) == []
+    assert live_files(log, 4) == [(4, None)]
+
+
+def log_frame(spark, *ops):
+    now = dt.datetime(2024, 1, 1)
+    rows = [(i + 1, op, now + dt.timedelta(hours=i), "*", None, 1, None) for i, op in enumerate(ops)]
+    return spark.createDataFrame(rows, COMMITS)
+
+
+@pytest.mark.parametrize(
+    "ops,expected",
+    [
+        ((), (NONE, None, None)),
+        (("append",), (FULL, 1, None)),
+        (("append", "append"), (DELTA, 2, 1)),
+        (("append", "overwrite"), (FULL, 2, None)),
+        (("append", "delete"), (FULL, 2, None)),
+        (("append", "replace"), (FULL, 2, None)),
+        (("overwrite", "append", "append"), (DELTA, 3, 2)),
+    ],
+)
+def test_read_plan_decisions(spark, ops, expected):
+    plan = resolve_read_plan(log_frame(spark, *ops))
+    assert (plan.mode, plan.snapshot_id, plan.start_snapshot_id) == expected
+
+
+def test_empty_delta_falls_back_to_full(spark):
+    plan = resolve_read_plan(log_frame(spark, "append", "append"), delta_is_empty=lambda a, b: True)
+    assert (plan.mode, plan.snapshot_id) == (FULL, 2)

@@ -367,7 +367,8 @@ class VersionedTable:
         commits = self.commits()
         cols = self.schema.fieldNames() + ([COMMIT_COL] if with_commit_id else [])
         if not commits:
-            return self._scan().filter(F.lit(False)).select(*cols)
+            empty = self._empty()
+            return empty.withColumn(COMMIT_COL, F.lit(None).cast("bigint")) if with_commit_id else empty
         as_of = commit_id if commit_id is not None else commits[-1].commit_id
         pred = live_predicate(commits, as_of, self.stored_schema)
         return self._scan().filter(pred).select(*cols)
