@@ -39,6 +39,7 @@ from .sources.landing import (
     months_of_years,
 )
 from .sources.zones import read_zones_csv, write_zones_csv
+from .streaming import ingest_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -289,6 +290,18 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema_drift(spark, list_files(spark, raw_glob(root)))
 
 
+def q_stream_ingest_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips landed as yearly files, ingested by the file stream in two runs."""
+    raw, lake_root = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-lake")
+    trips = tables.trips(spark, sf_dir).withColumn("year", F.year(PICKUP))
+    early = F.col("year") <= INT64_LOCATION_YEAR
+    trips.filter(early).write.partitionBy("year").parquet(raw)
+    ingest_available(spark, raw, lake_root, excluded_locations=tables.FIXTURE_EXCLUDED_LOCATIONS)
+    trips.filter(~early).write.mode("append").partitionBy("year").parquet(raw)
+    ingest_available(spark, raw, lake_root, excluded_locations=tables.FIXTURE_EXCLUDED_LOCATIONS)
+    return Lakehouse.at(spark, lake_root).silver.as_of()
+
+
 def _landing_frames(spark: SparkSession, sf_dir: str):
     """Plan = every month of every order year; landed = months that have orders.
 
@@ -350,6 +363,7 @@ QUERIES: dict[str, Query] = {
     "landing_month_plan": q_landing_month_plan,
     "landing_missing_months": q_landing_missing_months,
     "landing_report": q_landing_report,
+    "stream_ingest_silver": q_stream_ingest_silver,
 }
 
 ORACLES: dict[str, str] = {
@@ -380,6 +394,7 @@ ORACLES: dict[str, str] = {
     "landing_month_plan": sql.LANDING_MONTH_PLAN,
     "landing_missing_months": sql.LANDING_MISSING_MONTHS,
     "landing_report": sql.LANDING_REPORT,
+    "stream_ingest_silver": sql.SILVER_SORTED_WRITE,
 }
 
 
