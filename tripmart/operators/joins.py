@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Decision per DataFrame object (and bound): a frame reused across queries is
+# counted once.  Weak keys, so nothing outlives the frames themselves.
+_CHECKED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
 # A taxi-zone lookup has a few hundred rows; anything far beyond this is not a
 # dimension we are willing to replicate to every executor.
 DEFAULT_BROADCAST_ROW_LIMIT = 200_000
@@ -18,5 +24,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT
     the caller's join falls back to whatever Catalyst/AQE choose (sort-merge or
     shuffled hash), which scales with the data instead of the driver heap.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    known = _CHECKED.get(df, {})
+    if max_rows not in known:
+        known[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[df] = known
+    return F.broadcast(df) if known[max_rows] else df

@@ -86,8 +86,21 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*SILVER_COLUMNS)
 
 
+_ZONES: dict[tuple[str, str], DataFrame] = {}
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Zone dimension (LocationID, Borough, Zone, service_zone) from nation ⋈ region."""
+    """Zone dimension (LocationID, Borough, Zone, service_zone) from nation ⋈ region.
+
+    One frame per session and folder, so its broadcast size check runs once.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _ZONES:
+        _ZONES[key] = _build_zones(spark, sf_dir)
+    return _ZONES[key]
+
+
+def _build_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     return (
