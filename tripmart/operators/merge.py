@@ -64,7 +64,7 @@ def validate_source(
     rows = summary.limit(MAX_SCOPE_PARTITIONS + 1).collect()
     if len(rows) > MAX_SCOPE_PARTITIONS:
         raise ValueError(f"merge scope {scope_cols} has more than {MAX_SCOPE_PARTITIONS} values")
-    if any(r.max_n > 1 for r in rows):
+    if any((r.max_n or 0) > 1 for r in rows):
         raise ValueError(f"MERGE source has duplicate keys on {list(keys)}")
     if not scope_cols:
         return None

@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType
@@ -171,18 +172,25 @@ def refresh_gold(
     if mode == SKIPPED:
         return StepResult("gold", SKIPPED, source_commit=latest, detail="new silver commits are empty")
     incoming = to_gold(silver_rows, zones, created_at=created_at, single_precision=single_precision)
-    result = upsert(
-        lake.gold.as_of(),
-        incoming,
-        ["trip_id"],
-        preserve=["created_at"],
-        scope_cols=GOLD_PARTITIONS,
-        on_duplicate=on_duplicate,
-        latest_by=["dropoff_datetime", "total_amount"],
-    )
-    if not result.scope:
-        return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
-    commit = lake.gold.replace_partitions(result.merged, result.scope, source_commit=latest)
+    # Two actions read the incoming rows (validation pass, merge write): keep
+    # them instead of re-reading and re-enriching the silver slice.  Lost
+    # blocks are recomputed from lineage, so executor loss stays safe.
+    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result = upsert(
+            lake.gold.as_of(),
+            incoming,
+            ["trip_id"],
+            preserve=["created_at"],
+            scope_cols=GOLD_PARTITIONS,
+            on_duplicate=on_duplicate,
+            latest_by=["dropoff_datetime", "total_amount"],
+        )
+        if not result.scope:
+            return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
+        commit = lake.gold.replace_partitions(result.merged, result.scope, source_commit=latest)
+    finally:
+        incoming.unpersist()
     return StepResult("gold", mode, commit, latest, _rows(lake.gold, commit))
 
 

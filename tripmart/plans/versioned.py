@@ -352,13 +352,19 @@ class VersionedTable:
         extra = [StructField(name, dtype, True) for name, (_, dtype) in self.derived.items()]
         return StructType(list(self.schema.fields) + extra)
 
-    def _scan(self) -> DataFrame:
+    def _scan(self, commit_ids: Sequence[int]) -> DataFrame:
+        """Scan of the given commits' folders only: old versions are not even listed."""
         fields = list(self.stored_schema.fields) + [StructField(COMMIT_COL, COMMITS[COMMIT_COL].dataType, True)]
-        return self.spark.read.schema(StructType(fields)).parquet(self.data_root)
+        paths = [f"{self.data_root}/{COMMIT_COL}={c}" for c in sorted(set(commit_ids))]
+        return self.spark.read.schema(StructType(fields)).option("basePath", self.data_root).parquet(*paths)
 
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
+    def _empty_with(self, with_commit_id: bool) -> DataFrame:
+        empty = self._empty()
+        return empty.withColumn(COMMIT_COL, F.lit(None).cast("bigint")) if with_commit_id else empty
+
     def as_of(self, commit_id: int | None = None, with_commit_id: bool = False) -> DataFrame:
         """The table as of ``commit_id`` (latest when None); typed empty if none.
 
@@ -367,13 +373,21 @@ class VersionedTable:
         commits = self.commits()
         cols = self.schema.fieldNames() + ([COMMIT_COL] if with_commit_id else [])
         if not commits:
-            empty = self._empty()
-            return empty.withColumn(COMMIT_COL, F.lit(None).cast("bigint")) if with_commit_id else empty
+            return self._empty_with(with_commit_id)
         as_of = commit_id if commit_id is not None else commits[-1].commit_id
+        live = [cid for cid, _ in live_files(commits, as_of)]
+        if not live:
+            return self._empty_with(with_commit_id)  # e.g. as of a delete-all commit
         pred = live_predicate(commits, as_of, self.stored_schema)
-        return self._scan().filter(pred).select(*cols)
+        return self._scan(live).filter(pred).select(*cols)
 
     def appended_between(self, start_exclusive: int, end_inclusive: int) -> DataFrame:
         """Rows added by ``append`` commits with start < commit_id ≤ end."""
-        pred = appended_predicate(self.commits(), start_exclusive, end_inclusive)
-        return self._scan().filter(pred).select(*self.schema.fieldNames())
+        ids = [
+            c.commit_id
+            for c in self.commits()
+            if c.operation == APPEND and start_exclusive < c.commit_id <= end_inclusive
+        ]
+        if not ids:
+            return self._empty()
+        return self._scan(ids).select(*self.schema.fieldNames())
