@@ -10,10 +10,11 @@ from tripmart.sources.landing import (
     month_plan,
     months_of_years,
     previous_month,
+    write_landing_report,
 )
 
 
-def test_year_mode_plan_and_statuses(spark):
+def test_year_mode_plan_and_statuses(spark, tmp_root):
     years = spark.createDataFrame([(2024,)], "data_year int")
     plan = month_plan(months_of_years(years), dt.date(2024, 10, 1), prefix="raw/taxi/")
     rows = {r.data_month: r for r in plan.collect()}
@@ -28,8 +29,11 @@ def test_year_mode_plan_and_statuses(spark):
     landed = landed_months_from_paths(files, "f")
     assert [tuple(r) for r in landed.collect()] == [(2024, 1)]
     assert missing_months(plan, landed).count() == 11
-    report = {r.status: (r.months, r.run_status) for r in landing_report(landing_status(plan, landed)).collect()}
+    status = landing_status(plan, landed)
+    report = {r.status: (r.months, r.run_status) for r in landing_report(status).collect()}
     assert report == {"skipped": (1, "incomplete"), "pending": (3, "incomplete"), "missing": (8, "incomplete")}
+    write_landing_report(status, f"{tmp_root}/reports/run-1")
+    assert spark.read.json(f"{tmp_root}/reports/run-1").count() == 12
 
 
 def test_monthly_mode_is_previous_month(spark):

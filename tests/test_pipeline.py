@@ -49,7 +49,7 @@ def test_full_then_incremental_then_rerun(spark, tmp_root):
     both = first.unionByName(batch(spark, 100, 3))
     res = [refresh_silver(spark, both, lake.silver), refresh_gold(spark, lake, z), refresh_agg(spark, lake)]
     assert step_modes(res) == ["incremental", "incremental", "incremental"]
-    assert res[0].rows_written == 3
+    assert res[0].rows_written == 3 and res[0].total_rows == 8
     assert lake.gold.as_of().count() == 8
     agg = lake.agg.as_of().collect()
     assert sum(r.total_trips for r in agg) == 8

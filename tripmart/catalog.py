@@ -6,6 +6,7 @@ Each builder takes ``(spark, sf_dir)``, reads the driver tables under
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -309,7 +310,7 @@ def _landing_frames(spark: SparkSession, sf_dir: str):
     """
     orders = tables.table(spark, sf_dir, "orders")
     last = scalar(orders.agg(F.max("o_orderdate")))
-    run_date = (last.replace(day=28) + __import__("datetime").timedelta(days=4)).replace(day=1).date()
+    run_date = (last.replace(day=28) + dt.timedelta(days=4)).replace(day=1).date()
     years = orders.select(F.year("o_orderdate").alias("data_year")).distinct()
     plan = month_plan(months_of_years(years), run_date)
     landed = orders.select(

@@ -60,6 +60,7 @@ class StepResult:
     source_commit: int | None = None
     rows_written: int | None = None
     detail: str = ""
+    total_rows: int | None = None  # rows in the table after the step
 
 
 @dataclass
@@ -125,7 +126,14 @@ def refresh_silver(
     else:
         commit = silver.append(cleaned)
         mode = INCREMENTAL
-    return StepResult("silver", mode, commit, rows_written=_rows(silver, commit), detail=f"watermark={watermark}")
+    return StepResult(
+        "silver",
+        mode,
+        commit,
+        rows_written=_rows(silver, commit),
+        detail=f"watermark={watermark}",
+        total_rows=silver.row_count(),
+    )
 
 
 def _upstream_slice(upstream: VersionedTable, last: int | None, latest: int, progress: str):

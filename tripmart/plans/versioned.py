@@ -271,6 +271,19 @@ class VersionedTable:
         dtype = self.schema[self.watermark_col].dataType
         return max(parse_literal(m, dtype) for m in marks)
 
+    def row_count(self, commit_id: int | None = None) -> int:
+        """Rows in a version: summed from the log when no live commit was partly
+        superseded (append/overwrite histories), else counted."""
+        commits = self.commits()
+        if not commits:
+            return 0
+        as_of = commit_id if commit_id is not None else commits[-1].commit_id
+        live = live_files(commits, as_of)
+        by_id = {c.commit_id: c for c in commits}
+        if all(dead is None and by_id[cid].rows is not None for cid, dead in live):
+            return sum(by_id[cid].rows for cid, _ in live)
+        return self.as_of(as_of).count()
+
     def last_source_commit(self) -> int | None:
         """Newest upstream commit this table has consumed (per-consumer progress)."""
         done = [c.source_commit for c in self.commits() if c.source_commit is not None]

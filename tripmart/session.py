@@ -8,7 +8,6 @@ which is the situation in unit tests and local benchmarks.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -83,8 +82,3 @@ def join_path(*parts: str) -> str:
     cleaned = [p.strip("/") for p in parts[1:] if p]
     head = parts[0].rstrip("/") if parts[0] != "/" else ""
     return "/".join([head, *cleaned]) if cleaned else parts[0]
-
-
-def local_dir_exists(path: str) -> bool:
-    """True for an existing local directory (object stores are never local)."""
-    return "://" not in path and os.path.isdir(path)

@@ -102,3 +102,12 @@ def landing_report(status: DataFrame) -> DataFrame:
     missing = F.sum(F.when(F.col("status") == MISSING, F.col("months")).otherwise(0)).over(Window.partitionBy())
     run_status = F.when(missing > 0, F.lit("incomplete")).otherwise(F.lit("completed"))
     return counts.select("status", "months", run_status.alias("run_status"))
+
+
+def write_landing_report(status: DataFrame, path: str) -> None:
+    """Persist one run's per-month statuses as JSON lines.
+
+    Keep ``path`` outside the raw data root: a ``reports/year=…`` folder inside
+    it would clash with the data layout during partition discovery.
+    """
+    status.coalesce(1).write.mode("overwrite").json(path)
