@@ -50,9 +50,13 @@ def reject_reasons(df: DataFrame, excluded_locations: Iterable[int] = EXCLUDED_L
     collapses every task to at most one row per label, so a hot label costs
     nothing extra in the shuffle.
     """
-    return (
+    counts = (
         df.select(first_failed_rule(excluded_locations).alias("reject_reason"))
-        .filter(F.col("reject_reason").isNotNull())
         .groupBy("reject_reason")
         .agg(F.count(F.lit(1)).alias("rejected_rows"))
     )
+    # Drop the NULL (kept) group after aggregating.  A plain filter on the key
+    # would be pushed below the aggregate into the upstream join condition and
+    # evaluate the rule chain twice per row; referencing the count pins it here.
+    rejected = F.when(F.col("reject_reason").isNotNull(), F.col("rejected_rows")).otherwise(F.lit(0))
+    return counts.filter(rejected > 0)
