@@ -7,6 +7,7 @@ Each builder takes ``(spark, sf_dir)``, reads the driver tables under
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,6 +74,23 @@ def _first_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver(spark, sf_dir).filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
 
 
+def q_monthly_borough_agg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same aggregate through SQL: gold as a temp view, GROUP BY ordinals."""
+    view = f"gold_incoming_{uuid.uuid4().hex[:8]}"
+    _gold(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(
+        f"""
+        SELECT pickup_year, pickup_month, pickup_borough, dropoff_borough,
+               COUNT(trip_id) AS total_trips,
+               ROUND(SUM(total_amount), 2) AS total_revenue,
+               ROUND(SUM(trip_distance), 2) AS total_trip_distance,
+               CAST(SUM(passenger_count) AS BIGINT) AS total_passengers
+        FROM {view}
+        GROUP BY 1, 2, 3, 4
+        """
+    )
+
+
 def q_dq_global_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rules F1–F10 over the raw trips."""
     return apply_global_rules(tables.trips(spark, sf_dir), tables.FIXTURE_EXCLUDED_LOCATIONS)
@@ -337,6 +355,7 @@ def q_landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "monthly_borough_agg": q_monthly_borough_agg,
+    "monthly_borough_agg_sql": q_monthly_borough_agg_sql,
     "dq_global_filter": q_dq_global_filter,
     "dq_rate_rules": q_dq_rate_rules,
     "dq_reject_reasons": q_dq_reject_reasons,
@@ -369,6 +388,7 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "monthly_borough_agg": sql.MONTHLY_BOROUGH_AGG,
+    "monthly_borough_agg_sql": sql.MONTHLY_BOROUGH_AGG,
     "dq_global_filter": sql.DQ_GLOBAL_FILTER,
     "dq_rate_rules": sql.DQ_RATE_RULES,
     "dq_reject_reasons": sql.DQ_REJECT_REASONS,

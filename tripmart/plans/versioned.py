@@ -328,7 +328,10 @@ class VersionedTable:
             .write.mode("overwrite")
             .parquet(f"{self.log_root}/commit-{commit_id:010d}")
         )
-        self._commits = None
+        if self._commits is not None:  # we are the only writer: extend the cached log
+            self._commits = self._commits + [
+                Commit(commit_id, operation, now, tuple(sorted(set(partitions))), source_commit, n_rows, hwm)
+            ]
         return commit_id
 
     # -- writes --------------------------------------------------------------
