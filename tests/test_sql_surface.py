@@ -48,3 +48,23 @@ def test_cli_run(spark, tmp_root, capsys):
     cli_main(["run", "--bronze-path", raw, "--lake", f"{tmp_root}/lake", "--zones-csv", zones], spark=spark)
     out = capsys.readouterr().out
     assert out.count('"mode": "full"') == 3
+
+
+def test_cli_reference_style_arguments_and_plan(spark, tmp_root, capsys):
+    raw = f"{tmp_root}/raw"
+    trips_df(spark, [{}]).write.parquet(f"{raw}/year=2024/yellow_tripdata_2024-01.parquet")
+    zones = f"{tmp_root}/zones"
+    spark.createDataFrame([(100, "Manhattan", "Midtown", "Y")], ZONES).write.option("header", True).csv(zones)
+    silver, gold, agg = (f"{tmp_root}/{n}" for n in ("s", "g", "a"))
+    cli_main(["clean", "--bronze-path", raw, "--silver_full_ref", silver], spark=spark)
+    cli_main(["load", "--silver_full_ref", silver, "--gold_full_ref", gold, "--s3_taxi_zone_csv", zones], spark=spark)
+    cli_main(["agg", "--gold_full_ref", gold, "--agg_full_ref", agg, "--silver_full_ref", silver], spark=spark)
+    assert capsys.readouterr().out.count('"mode": "full"') == 3
+    cli_main(
+        ["plan", "--raw-root", raw, "--year", "2024", "--run-date", "2024-04-01",
+         "--report-path", f"{tmp_root}/reports/r1"],
+        spark=spark,
+    )
+    out = capsys.readouterr().out
+    assert '"status": "skipped", "months": 1' in out and '"status": "pending", "months": 9' in out
+    assert spark.read.json(f"{tmp_root}/reports/r1").count() == 12

@@ -1,45 +1,105 @@
-"""Command line: the clean / load / aggregate jobs and the chained run.
+"""Command line: the clean / load / aggregate jobs, the chained run, landing plan.
 
     python -m tripmart clean  --bronze-path RAW --lake LAKE [--incremental-col C]
     python -m tripmart load   --lake LAKE --zones-csv ZONES.csv [--progress latest-two]
     python -m tripmart agg    --lake LAKE
     python -m tripmart run    --bronze-path RAW --lake LAKE --zones-csv ZONES.csv
     python -m tripmart stream --bronze-path RAW --lake LAKE --zones-csv ZONES.csv
+    python -m tripmart plan   --raw-root RAW [--year 2024] [--report-path OUT]
 
-Paths may be any Hadoop-compatible URI.  Session settings (master, shuffle
-partitions, checkpoint dir) come from spark-submit / spark-defaults.
+Tables live under ``--lake`` or at explicit locations (``--silver-path``,
+``--gold-path``, ``--agg-path``; the original jobs' names ``--silver_full_ref``,
+``--gold_full_ref``, ``--agg_full_ref`` and ``--s3_taxi_zone_csv`` are accepted
+as aliases, taking paths).  Paths may be any Hadoop-compatible URI.  Session
+settings (master, shuffle partitions, checkpoint dir) come from spark-submit.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 from dataclasses import asdict
 
 from .functions.quality import PICKUP
 from .plans.pipeline import Lakehouse, refresh_agg, refresh_gold, refresh_silver, run_pipeline
 from .session import build_session
+from .sources.bronze import raw_glob
+from .sources.landing import (
+    landed_months,
+    landing_report,
+    landing_status,
+    month_plan,
+    months_of_years,
+    previous_month,
+    write_landing_report,
+)
 from .sources.zones import read_zones_csv
 from .streaming import ingest_available
 
+TABLE_JOBS = ("clean", "load", "agg", "run", "stream")
+
 
 def parse_args(argv=None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tripmart", description="Taxi trip lakehouse jobs")
     sub = parser.add_subparsers(dest="job", required=True)
-    for job in ("clean", "load", "agg", "run", "stream"):
+    for job in TABLE_JOBS:
         p = sub.add_parser(job)
-        p.add_argument("--lake", required=True, help="root folder of the silver/gold/agg tables")
+        p.add_argument("--lake", help="root folder of the silver/gold/agg tables")
+        p.add_argument("--silver-path", "--silver_full_ref", dest="silver_path")
+        p.add_argument("--gold-path", "--gold_full_ref", dest="gold_path")
+        p.add_argument("--agg-path", "--agg_full_ref", dest="agg_path")
+        p.add_argument("--silver-grain", choices=["month", "day"], default="month")
         if job in ("clean", "run", "stream"):
             p.add_argument("--bronze-path", required=True, help="raw landing root (year=*/ files)")
         if job in ("load", "run", "stream"):
-            p.add_argument("--zones-csv", required=True, help="taxi zone lookup CSV (with header)")
-        if job == "clean":
+            p.add_argument(
+                "--zones-csv", "--s3_taxi_zone_csv", dest="zones_csv", required=True,
+                help="taxi zone lookup CSV (with header)",
+            )
+        if job in ("clean", "run"):
             p.add_argument("--incremental-col", default=PICKUP)
         if job == "load":
             p.add_argument("--progress", choices=["consumer", "latest-two"], default="consumer")
+    p = sub.add_parser("plan", help="months to land, which are already landed, run report")
+    p.add_argument("--raw-root", required=True, help="raw landing root (year=*/ files)")
+    p.add_argument("--year", type=int, help="plan all 12 months of this year (default: previous month)")
+    p.add_argument("--prefix", default="raw/taxi", help="object key prefix of landed files")
+    p.add_argument("--run-date", type=dt.date.fromisoformat, default=dt.date.today())
+    p.add_argument("--report-path", help="write per-month statuses as JSON here (outside the raw root)")
     return parser.parse_args(argv)
 
 
+def _lake(spark, args) -> Lakehouse:
+    return Lakehouse.at(
+        spark,
+        args.lake,
+        incremental_col=getattr(args, "incremental_col", PICKUP),
+        silver_grain=args.silver_grain,
+        silver_path=args.silver_path,
+        gold_path=args.gold_path,
+        agg_path=args.agg_path,
+    )
+
+
+def _plan(spark, args) -> list[dict]:
+    if args.year is None:
+        months = previous_month(spark, args.run_date)
+    else:
+        months = months_of_years(spark.createDataFrame([(args.year,)], "data_year int"))
+    plan = month_plan(months, args.run_date, args.prefix)
+    try:
+        landed = landed_months(spark, raw_glob(args.raw_root))
+    except Exception as exc:  # noqa: BLE001 - nothing landed yet
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+            raise
+        landed = spark.createDataFrame([], "data_year int, data_month int")
+    status = landing_status(plan, landed)
+    if args.report_path:
+        write_landing_report(status, args.report_path)
+    return [r.asDict() for r in landing_report(status).collect()]
+
+
 def main(argv=None, spark=None) -> None:
     """Run one job; a session passed in is used and left running."""
     args = parse_args(argv)
@@ -47,17 +107,20 @@ def main(argv=None, spark=None) -> None:
     if own_session:
         spark = build_session(app_name=f"tripmart-{args.job}")
     try:
-        if args.job == "clean":
-            lake = Lakehouse.at(spark, args.lake, incremental_col=args.incremental_col)
-            results = [refresh_silver(spark, args.bronze_path, lake.silver)]
+        if args.job == "plan":
+            results = _plan(spark, args)
+        elif args.job == "clean":
+            results = [refresh_silver(spark, args.bronze_path, _lake(spark, args).silver)]
         elif args.job == "load":
             zones = read_zones_csv(spark, args.zones_csv)
-            results = [refresh_gold(spark, Lakehouse.at(spark, args.lake), zones, progress=args.progress)]
+            results = [refresh_gold(spark, _lake(spark, args), zones, progress=args.progress)]
         elif args.job == "agg":
-            results = [refresh_agg(spark, Lakehouse.at(spark, args.lake))]
+            results = [refresh_agg(spark, _lake(spark, args))]
         elif args.job == "run":
-            results = run_pipeline(spark, args.bronze_path, args.lake, read_zones_csv(spark, args.zones_csv))
+            results = run_pipeline(spark, args.bronze_path, _lake(spark, args), read_zones_csv(spark, args.zones_csv))
         else:
+            if not args.lake:
+                raise SystemExit("stream needs --lake (its checkpoint lives there)")
             n = ingest_available(spark, args.bronze_path, args.lake, read_zones_csv(spark, args.zones_csv))
             results = [{"step": "stream", "batches": n}]
         for r in results:

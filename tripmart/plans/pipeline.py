@@ -67,35 +67,53 @@ class StepResult:
 class Lakehouse:
     """The three versioned tables of one lakehouse root."""
 
-    silver: VersionedTable
-    gold: VersionedTable
-    agg: VersionedTable
+    silver: VersionedTable | None
+    gold: VersionedTable | None
+    agg: VersionedTable | None
 
     @classmethod
     def at(
-        cls, spark: SparkSession, root: str, incremental_col: str = PICKUP, silver_grain: str = "month"
+        cls,
+        spark: SparkSession,
+        root: str | None,
+        incremental_col: str = PICKUP,
+        silver_grain: str = "month",
+        silver_path: str | None = None,
+        gold_path: str | None = None,
+        agg_path: str | None = None,
     ) -> Lakehouse:
-        """Tables under ``root``.
+        """Tables under ``root`` (or at the explicit per-table paths).
 
         Silver is partitioned on a hidden column derived from the pickup time:
         ``month`` (default) or ``day`` (the original day transform).  Month
         partitions hold a well-sized file per month of taxi data; day
         partitions suit feeds with far more rows per day.
         """
+        def where(path: str | None, name: str) -> str | None:
+            return path or (join_path(root, name) if root else None)
+
         hidden = silver_partitions(silver_grain)
-        silver = VersionedTable(
+        locations = {name: where(path, name) for name, path in
+                     (("silver", silver_path), ("gold", gold_path), ("agg", agg_path))}
+        # A table without a location stays unset (a job may need only one).
+        silver = locations["silver"] and VersionedTable(
             spark,
-            join_path(root, "silver"),
+            locations["silver"],
             SILVER,
             partition_by=list(hidden),
             sort_by=[incremental_col],
             derived=hidden,
             watermark_col=incremental_col,
         )
-        gold = VersionedTable(spark, join_path(root, "gold"), GOLD, partition_by=GOLD_PARTITIONS)
-        agg = VersionedTable(spark, join_path(root, "agg"), AGG, partition_by=GOLD_PARTITIONS)
+        gold = locations["gold"] and VersionedTable(spark, locations["gold"], GOLD, partition_by=GOLD_PARTITIONS)
+        agg = locations["agg"] and VersionedTable(spark, locations["agg"], AGG, partition_by=GOLD_PARTITIONS)
         return cls(silver, gold, agg)
 
+    def require(self, *names: str) -> None:
+        missing = [n for n in names if getattr(self, n) is None]
+        if missing:
+            raise ValueError(f"no location given for table(s) {missing}: pass a lake root or their paths")
+
 
 def _rows(table: VersionedTable, commit_id: int) -> int | None:
     return next((c.rows for c in table.commits() if c.commit_id == commit_id), None)
@@ -113,6 +131,8 @@ def refresh_silver(
     Late rows at or below the watermark are not reloaded (strict ``>``).
     """
     col = silver.watermark_col or PICKUP
+    if silver is None:
+        raise ValueError("no location given for the silver table")
     if isinstance(bronze, str):
         bronze = read_bronze(spark, raw_glob(bronze))
     watermark = silver.high_water_mark()
@@ -170,6 +190,7 @@ def refresh_gold(
     single_precision: bool = False,
 ) -> StepResult:
     """Enrich unseen silver commits and MERGE them into gold on ``trip_id``."""
+    lake.require("silver", "gold")
     latest = lake.silver.latest_commit_id()
     if latest is None:
         return StepResult("gold", SKIPPED, detail="silver has no commits")
@@ -204,6 +225,7 @@ def refresh_gold(
 
 def refresh_agg(spark: SparkSession, lake: Lakehouse) -> StepResult:
     """Recompute the aggregate for the months gold rewrote since the last run."""
+    lake.require("gold", "agg")
     latest = lake.gold.latest_commit_id()
     if latest is None:
         # Nothing to aggregate: keep whatever aggregate exists (no empty overwrite).
@@ -224,13 +246,13 @@ def refresh_agg(spark: SparkSession, lake: Lakehouse) -> StepResult:
 def run_pipeline(
     spark: SparkSession,
     bronze: DataFrame | str,
-    root: str,
+    root: str | Lakehouse,
     zones: DataFrame,
     excluded_locations: Iterable[int] = EXCLUDED_LOCATIONS,
     created_at: Column | None = None,
 ) -> list[StepResult]:
     """clean → load → aggregate, one call per scheduled run."""
-    lake = Lakehouse.at(spark, root)
+    lake = root if isinstance(root, Lakehouse) else Lakehouse.at(spark, root)
     return [
         refresh_silver(spark, bronze, lake.silver, excluded_locations),
         refresh_gold(spark, lake, zones, created_at=created_at),

@@ -22,7 +22,8 @@ PENDING = "pending"  # month not published yet at the run date
 MISSING = "missing"  # due but not landed: to download (or failed)
 
 # Year and month as written in a raw file name: yellow_tripdata_YYYY-MM.parquet
-FILE_MONTH_PATTERN = r"yellow_tripdata_(\d{4})-(\d{2})\.parquet$"
+# (either the file itself or a folder of that name holding part files).
+FILE_MONTH_PATTERN = r"yellow_tripdata_(\d{4})-(\d{2})\.parquet(/|$)"
 
 
 def months_of_years(years: DataFrame, year_col: str = "data_year") -> DataFrame:
