@@ -153,3 +153,20 @@ def test_day_grain_partitions(spark, tmp_root):
     refresh_silver(spark, batch(spark, 0, 3), lake.silver)
     assert lake.silver.as_of().count() == 3
     assert "pickup_date" not in lake.silver.as_of().columns
+
+
+def test_silver_delete_reaches_gold_only_when_synced(spark, tmp_root):
+    z = zones(spark)
+    for sync, expected in ((False, 4), (True, 3)):
+        lake = Lakehouse.at(spark, f"{tmp_root}/{sync}")
+        refresh_silver(spark, batch(spark, 0, 4), lake.silver)
+        refresh_gold(spark, lake, z)
+        created = {r.trip_id: r.created_at for r in lake.gold.as_of().collect()}
+        lake.silver.delete_where(F.col("tpep_pickup_datetime") == at(0))
+        res = refresh_gold(spark, lake, z, sync_deletes=sync)
+        assert res.mode == "full"
+        gold = lake.gold.as_of().collect()
+        assert len(gold) == expected
+        assert all(r.created_at == created[r.trip_id] for r in gold)
+        refresh_agg(spark, lake)
+        assert sum(r.total_trips for r in lake.agg.as_of().collect()) == expected

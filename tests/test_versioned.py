@@ -63,8 +63,8 @@ def test_live_files_rules():
     ]
     assert live_files(log, 1) == [(1, None)]
     assert live_files(log, 2) == [(1, frozenset({"p=1"})), (2, None)]
-    assert live_files(log, 3) == []
-    assert live_files(log, 4) == [(4, None)]
+    assert live_files(log, 3) == [(3, None)]  # the delete commit holds the survivors
+    assert live_files(log, 4) == [(3, None), (4, None)]
 
 
 def log_frame(spark, *ops):
@@ -93,3 +93,15 @@ def test_read_plan_decisions(spark, ops, expected):
 def test_empty_delta_falls_back_to_full(spark):
     plan = resolve_read_plan(log_frame(spark, "append", "append"), delta_is_empty=lambda a, b: True)
     assert (plan.mode, plan.snapshot_id) == (FULL, 2)
+
+
+def test_delete_rewrites_only_touched_partitions(spark, tmp_root):
+    t = table(spark, tmp_root)
+    t.append(frame(spark, ("a", 1, 1), ("b", 1, 2), ("c", 2, 3)))
+    assert t.delete_where(F.col("k") == "zzz") is None
+    c2 = t.delete_where(F.col("k") == "a")
+    assert contents(t.as_of()) == [("b", 1, 2), ("c", 2, 3)]
+    assert contents(t.as_of(1)) == [("a", 1, 1), ("b", 1, 2), ("c", 2, 3)]
+    assert t.commits()[c2 - 1].operation == "delete" and t.commits()[c2 - 1].partitions == ("part=1",)
+    plan = resolve_read_plan(t.commits_frame())
+    assert plan.mode == FULL

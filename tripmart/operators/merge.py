@@ -112,12 +112,14 @@ def upsert(
     scope_cols: Sequence[str] | None = None,
     on_duplicate: str = "error",
     latest_by: Sequence[str] = (),
+    delete_missing: bool = False,
 ) -> MergeResult:
     """Merge ``source`` into ``target`` on ``keys``.
 
     ``preserve`` columns keep the target's value on a match (e.g. created_at);
     ``null_safe`` matches NULL keys to NULL keys (``<=>``) so NULL groups are
-    updated instead of re-inserted.
+    updated instead of re-inserted.  ``delete_missing`` adds ``WHEN NOT MATCHED
+    BY SOURCE THEN DELETE`` (within the scope): the result mirrors the source.
     """
     columns = target.columns
     if on_duplicate == "error":
@@ -145,4 +147,6 @@ def upsert(
         else:  # matched → source value; target-only rows unchanged
             expr = F.when(in_source, F.col(_S + c)).otherwise(F.col(_T + c))
         out.append(expr.alias(c))
+    if delete_missing:
+        joined = joined.filter(in_source)
     return MergeResult(joined.select(*out), scope)

@@ -188,8 +188,15 @@ def refresh_gold(
     progress: str = "consumer",
     on_duplicate: str = "error",
     single_precision: bool = False,
+    sync_deletes: bool = False,
 ) -> StepResult:
-    """Enrich unseen silver commits and MERGE them into gold on ``trip_id``."""
+    """Enrich unseen silver commits and MERGE them into gold on ``trip_id``.
+
+    By default gold only gains and updates rows (a plain MERGE).  With
+    ``sync_deletes`` a full re-read (after a silver overwrite or delete)
+    replaces gold with the upserted silver contents, so trips removed from
+    silver leave gold too; ``created_at`` of surviving trips is kept.
+    """
     lake.require("silver", "gold")
     latest = lake.silver.latest_commit_id()
     if latest is None:
@@ -205,19 +212,24 @@ def refresh_gold(
     # them instead of re-reading and re-enriching the silver slice.  Lost
     # blocks are recomputed from lineage, so executor loss stays safe.
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+    mirror = sync_deletes and mode == FULL
     try:
         result = upsert(
             lake.gold.as_of(),
             incoming,
             ["trip_id"],
             preserve=["created_at"],
-            scope_cols=GOLD_PARTITIONS,
+            scope_cols=None if mirror else GOLD_PARTITIONS,
             on_duplicate=on_duplicate,
             latest_by=["dropoff_datetime", "total_amount"],
+            delete_missing=mirror,
         )
-        if not result.scope:
+        if mirror:
+            commit = lake.gold.overwrite(result.merged, source_commit=latest)
+        elif not result.scope:
             return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
-        commit = lake.gold.replace_partitions(result.merged, result.scope, source_commit=latest)
+        else:
+            commit = lake.gold.replace_partitions(result.merged, result.scope, source_commit=latest)
     finally:
         incoming.unpersist()
     return StepResult("gold", mode, commit, latest, _rows(lake.gold, commit))

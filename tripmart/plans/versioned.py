@@ -44,6 +44,8 @@ from pyspark.sql.types import (
 from ..schemas import COMMITS
 
 COMMIT_COL = "commit_id"
+# Bound on partitions one delete may rewrite (their values go through the driver).
+MAX_REWRITE_PARTITIONS = 100_000
 WHOLE_TABLE = "*"
 APPEND, OVERWRITE, DELETE, REPLACE = "append", "overwrite", "delete", "replace"
 
@@ -95,8 +97,8 @@ def live_files(commits: Sequence[Commit], as_of: int) -> list[tuple[int, frozens
         elif c.operation in (OVERWRITE, REPLACE, DELETE):
             for earlier, dead in live.items():
                 live[earlier] = set(c.partitions) | (dead or set())
-        if c.operation != DELETE:
-            live[c.commit_id] = None
+        # A delete commit holds the rows that survive in the partitions it rewrote.
+        live[c.commit_id] = None
     return [(cid, frozenset(dead) if dead else None) for cid, dead in live.items()]
 
 
@@ -350,6 +352,40 @@ class VersionedTable:
             raise ValueError("replace_partitions needs at least one partition")
         return self._write_commit(df, OVERWRITE, paths, source_commit)
 
+    def delete_where(self, condition: Column, source_commit: int | None = None) -> int | None:
+        """Delete the rows matching ``condition`` (a ``delete`` commit).
+
+        Only partitions that hold a matching row are rewritten (their other
+        rows are kept); the partition list comes from one aggregate pass and
+        is bounded like a MERGE scope.  Returns None when nothing matches.
+        """
+        current = self.as_of()
+        doomed = F.coalesce(condition, F.lit(False))
+        if not self.partition_by:
+            if current.filter(doomed).isEmpty():
+                return None
+            return self._write_commit(current.filter(~doomed), DELETE, [WHOLE_TABLE], source_commit)
+        exprs = {name: self.derived[name][0] if name in self.derived else F.col(name) for name in self.partition_by}
+        keyed = current.select("*", *[e.alias(f"__p_{n}") for n, e in exprs.items()])
+        rows = (
+            keyed.filter(doomed)
+            .select(*[F.col(f"__p_{n}").alias(n) for n in exprs])
+            .distinct()
+            .limit(MAX_REWRITE_PARTITIONS + 1)
+            .collect()
+        )
+        if not rows:
+            return None
+        if len(rows) > MAX_REWRITE_PARTITIONS:
+            raise ValueError(f"delete touches more than {MAX_REWRITE_PARTITIONS} partitions")
+        touched = [r.asDict() for r in rows]
+        in_scope = reduce(
+            lambda a, b: a | b,
+            [reduce(lambda x, y: x & y, [F.col(f"__p_{k}").eqNullSafe(F.lit(v)) for k, v in t.items()]) for t in touched],
+        )
+        keep = keyed.filter(in_scope & ~doomed).select(*self.schema.fieldNames())
+        return self._write_commit(keep, DELETE, [partition_path(t) for t in touched], source_commit)
+
     def partitions_since(self, start_exclusive: int | None) -> list[dict[str, str]] | None:
         """Partitions written by commits after ``start_exclusive`` (None = whole table)."""
         touched: set[str] = set()
