@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from tripmart.schemas import LANDING
+
 from tripmart.sources.landing import (
     landed_months_from_paths,
     landing_report,
@@ -32,8 +34,13 @@ def test_year_mode_plan_and_statuses(spark, tmp_root):
     status = landing_status(plan, landed)
     report = {r.status: (r.months, r.run_status) for r in landing_report(status).collect()}
     assert report == {"skipped": (1, "incomplete"), "pending": (3, "incomplete"), "missing": (8, "incomplete")}
-    write_landing_report(status, f"{tmp_root}/reports/run-1")
-    assert spark.read.json(f"{tmp_root}/reports/run-1").count() == 12
+    write_landing_report(status, f"{tmp_root}/reports/run-1", store_uri="s3://bucket/")
+    report_rows = spark.read.schema(LANDING).json(f"{tmp_root}/reports/run-1").collect()
+    assert len(report_rows) == 12
+    jan = next(r for r in report_rows if r.month == 1)
+    assert (jan.status, jan.reason, jan.s3_uri) == (
+        "skipped", "File already exists in S3", "s3://bucket/raw/taxi/year=2024/yellow_tripdata_2024-01.parquet"
+    )
 
 
 def test_monthly_mode_is_previous_month(spark):

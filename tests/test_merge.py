@@ -76,3 +76,24 @@ def test_partial_aggregates_merge_to_the_full_aggregate(spark):
     assert sorted(full.collect(), key=key) == sorted(parts.collect(), key=key)
     first = full.filter((F.col("pickup_month") == 1) & (F.col("pickup_borough") == "A")).first()
     assert first.total_trips == 2 and first.total_revenue == 10.35 and first.total_passengers == 3
+
+
+def test_duplicate_key_across_partitions_is_caught(spark):
+    target = spark.createDataFrame([("a", 1, 1, "t")], SCHEMA)
+    source = spark.createDataFrame([("a", 1, 5, "s"), ("a", 2, 7, "s")], SCHEMA)
+    with pytest.raises(ValueError, match="duplicate"):
+        upsert(target, source, ["k"], scope_cols=["part"])
+
+
+def test_hot_key_is_collapsed_before_the_shuffle(spark, capsys):
+    # A third of the source on one key: validation aggregates it map-side.
+    rows = [("hot", 1, i, "s") for i in range(30)] + [(f"k{i}", 1, i, "s") for i in range(60)]
+    source = spark.createDataFrame(rows, SCHEMA)
+    target = spark.createDataFrame([("hot", 1, 0, "t")], SCHEMA)
+    with pytest.raises(ValueError, match="duplicate"):
+        upsert(target, source, ["k"], scope_cols=["part"])
+    merged = upsert(target, source, ["k"], on_duplicate="dedupe", latest_by=["v"]).merged
+    assert {r.k: r.v for r in merged.collect()}["hot"] == 29
+    merged.explain()
+    plan = capsys.readouterr().out
+    assert "partial_max_by" in plan  # dedupe is a partial aggregate, not a window

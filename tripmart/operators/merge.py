@@ -59,7 +59,11 @@ def validate_source(
     summary (bounded, checked) reaches the driver.
     """
     scope_cols = list(scope_cols or [])
-    per_key = source.groupBy(*keys, *scope_cols).agg(F.count(F.lit(1)).alias("n"))
+    # Count per key alone (a key repeated under two scope values is still a
+    # duplicate); the scope values ride along for the per-partition summary.
+    per_key = source.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in scope_cols]
+    )
     summary = per_key.groupBy(*scope_cols).agg(F.max("n").alias("max_n"))
     rows = summary.limit(MAX_SCOPE_PARTITIONS + 1).collect()
     if len(rows) > MAX_SCOPE_PARTITIONS:
@@ -79,28 +83,18 @@ def touched_partitions(source: DataFrame, scope_cols: Sequence[str]) -> list[dic
     return [r.asDict() for r in rows]
 
 
-def check_unique_keys(
-    source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", latest_by: Sequence[str] = ()
-) -> DataFrame:
-    """Enforce at most one source row per key, as MERGE does.
+def dedupe_source(source: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the greatest ``latest_by`` values.
 
-    Both modes aggregate by key, so the partial (map-side) aggregate collapses a
-    hot key before the shuffle instead of routing all its rows to one task.
-    ``error`` raises if any key repeats (one extra pass over the key columns);
-    ``dedupe`` keeps, per key, the row with the greatest ``latest_by`` values.
+    ``max_by`` is an ordinary aggregate, so the partial (map-side) step
+    collapses a hot key before the shuffle instead of routing all of its rows
+    to one task.
     """
-    if on_duplicate == "error":
-        dup = source.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise ValueError(f"MERGE source has duplicate keys on {list(keys)}: {dup[0].asDict()}")
-        return source
-    if on_duplicate == "dedupe":
-        if not latest_by:
-            raise ValueError("on_duplicate='dedupe' needs latest_by columns")
-        rest = [c for c in source.columns if c not in keys]
-        best = F.max_by(F.struct(*rest), F.struct(*latest_by)).alias("__row")
-        return source.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*source.columns)
-    raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
+    if not latest_by:
+        raise ValueError("on_duplicate='dedupe' needs latest_by columns")
+    rest = [c for c in source.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(*latest_by)).alias("__row")
+    return source.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*source.columns)
 
 
 def upsert(
@@ -125,9 +119,11 @@ def upsert(
     if on_duplicate == "error":
         # Duplicate check and scope discovery share one pass over the source.
         scope = validate_source(source, keys, scope_cols)
-    else:
-        source = check_unique_keys(source, keys, on_duplicate, latest_by)
+    elif on_duplicate == "dedupe":
+        source = dedupe_source(source, keys, latest_by)
         scope = touched_partitions(source, scope_cols) if scope_cols else None
+    else:
+        raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     if scope is not None:
         target = target.filter(_in_scope(scope))
     s = source.select(*[F.col(c).alias(_S + c) for c in columns], F.lit(True).alias(_IN_S))

@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 from ..functions.naming import raw_file_key, raw_file_name
 from .bronze import list_files
 
-# Statuses of a planned month.
+# Statuses of a planned month, and the reason text per status.
 SKIPPED = "skipped"  # file already landed
 PENDING = "pending"  # month not published yet at the run date
 MISSING = "missing"  # due but not landed: to download (or failed)
+REASONS = {
+    SKIPPED: "File already exists in S3",
+    PENDING: "Month not published yet",
+    MISSING: "File not landed",
+}
 
 # Year and month as written in a raw file name: yellow_tripdata_YYYY-MM.parquet
 # (either the file itself or a folder of that name holding part files).
@@ -105,10 +110,29 @@ def landing_report(status: DataFrame) -> DataFrame:
     return counts.select("status", "months", run_status.alias("run_status"))
 
 
-def write_landing_report(status: DataFrame, path: str) -> None:
-    """Persist one run's per-month statuses as JSON lines.
+def landing_records(status: DataFrame, store_uri: str | None = None) -> DataFrame:
+    """Per-month records in the landing-result shape (``schemas.LANDING``).
+
+    ``s3_uri`` is the object key under ``store_uri`` (e.g. ``s3://bucket``);
+    no download happens here, so ``source_url`` and ``error`` stay NULL.
+    """
+    reason = F.create_map(*[x for k, v in REASONS.items() for x in (F.lit(k), F.lit(v))])[F.col("status")]
+    uri = F.col("object_key") if not store_uri else F.concat_ws("/", F.lit(store_uri.rstrip("/")), "object_key")
+    return status.select(
+        F.col("status"),
+        reason.alias("reason"),
+        F.lit(None).cast("string").alias("source_url"),
+        uri.alias("s3_uri"),
+        F.col("data_year").cast("int").alias("year"),
+        F.col("data_month").cast("int").alias("month"),
+        F.lit(None).cast("string").alias("error"),
+    )
+
+
+def write_landing_report(status: DataFrame, path: str, store_uri: str | None = None) -> None:
+    """Persist one run's per-month records as JSON lines.
 
     Keep ``path`` outside the raw data root: a ``reports/year=…`` folder inside
     it would clash with the data layout during partition discovery.
     """
-    status.coalesce(1).write.mode("overwrite").json(path)
+    landing_records(status, store_uri).coalesce(1).write.mode("overwrite").json(path)
