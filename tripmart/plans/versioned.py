@@ -28,6 +28,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -214,7 +215,6 @@ class VersionedTable:
         self.derived = dict(derived or {})
         self.watermark_col = watermark_col
         self._commits: list[Commit] | None = None
-        self._ensure_log()
 
     # -- paths ---------------------------------------------------------------
     @property
@@ -226,18 +226,19 @@ class VersionedTable:
         return f"{self.root}/_commits"
 
     # -- commit log ----------------------------------------------------------
-    def _ensure_log(self) -> None:
-        """Create an empty, typed commit log once (idempotent: mode ``ignore``)."""
-        (
-            self.spark.createDataFrame([], COMMITS)
-            .coalesce(1)
-            .write.mode("ignore")
-            .parquet(f"{self.log_root}/commit-{0:010d}")
-        )
+    def _read_log(self) -> DataFrame | None:
+        """The commit log files, or None before the first commit wrote any."""
+        try:
+            return self.spark.read.schema(COMMITS).option("recursiveFileLookup", "true").parquet(self.log_root)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" in str(exc):
+                return None
+            raise
 
     def commits_frame(self) -> DataFrame:
-        """The commit log as a DataFrame."""
-        return self.spark.read.schema(COMMITS).option("recursiveFileLookup", "true").parquet(self.log_root)
+        """The commit log as a DataFrame (typed and empty before the first commit)."""
+        log = self._read_log()
+        return log if log is not None else self.spark.createDataFrame([], COMMITS)
 
     def commits(self) -> list[Commit]:
         """Commit log on the driver, cached until this object writes a commit.
@@ -246,7 +247,8 @@ class VersionedTable:
         new ``VersionedTable`` to see commits made by another process.
         """
         if self._commits is None:
-            self._commits = commits_from_frame(self.commits_frame())
+            log = self._read_log()
+            self._commits = [] if log is None else commits_from_frame(log)
         return self._commits
 
     def latest_commit_id(self) -> int | None:
