@@ -105,3 +105,14 @@ def test_delete_rewrites_only_touched_partitions(spark, tmp_root):
     assert t.commits()[c2 - 1].operation == "delete" and t.commits()[c2 - 1].partitions == ("part=1",)
     plan = resolve_read_plan(t.commits_frame())
     assert plan.mode == FULL
+
+
+def test_crashed_writer_leftovers_are_invisible_and_replaced(spark, tmp_root):
+    t = table(spark, tmp_root)
+    t.append(frame(spark, ("a", 1, 1)))
+    # A writer died after writing data for commit 2 but before its commit row.
+    frame(spark, ("ghost", 1, 9)).write.partitionBy("part").parquet(f"{t.data_root}/commit_id=2")
+    assert contents(t.as_of()) == [("a", 1, 1)]
+    fresh = table(spark, tmp_root)  # a new run starts from the log
+    assert fresh.append(frame(spark, ("b", 2, 2))) == 2  # reuses the id, overwriting the leftovers
+    assert contents(fresh.as_of()) == [("a", 1, 1), ("b", 2, 2)]
