@@ -2,8 +2,6 @@
 
 import re
 
-from pyspark.sql import functions as F
-
 from conftest import SMALL_SF
 from helpers import trips_df
 from tripmart import catalog

@@ -33,7 +33,6 @@ from .session import scratch_path
 from .sources import history, tables
 from .sources.bronze import list_files, raw_glob, read_bronze, schema_drift
 from .sources.landing import (
-    landed_months_from_paths,
     landing_report,
     landing_status,
     missing_months,

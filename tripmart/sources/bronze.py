@@ -47,6 +47,14 @@ def list_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(spark.read.schema(BRONZE).parquet(path).inputFiles())
 
 
+def _arrow_uri(uri: str) -> str:
+    """Hadoop URI → one Arrow's filesystem layer understands (s3a/s3n are plain S3)."""
+    if "://" not in uri:
+        return f"file://{uri}"
+    scheme, rest = uri.split("://", 1)
+    return f"s3://{rest}" if scheme in ("s3a", "s3n") else uri
+
+
 def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
@@ -54,7 +62,7 @@ def _footer_schemas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for uri in batch["file"]:
-            fs, path = pafs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+            fs, path = pafs.FileSystem.from_uri(_arrow_uri(uri))
             with fs.open_input_file(path) as handle:
                 schema = pq.read_schema(handle)
             for pos, field in enumerate(schema):
