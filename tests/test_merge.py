@@ -97,3 +97,15 @@ def test_hot_key_is_collapsed_before_the_shuffle(spark, capsys):
     merged.explain()
     plan = capsys.readouterr().out
     assert "partial_max_by" in plan  # dedupe is a partial aggregate, not a window
+
+
+def test_null_borough_groups_upserted_twice_stay_single(spark):
+    schema = "pickup_year int, pickup_month int, pickup_borough string, dropoff_borough string, total_trips long"
+    keys = ["pickup_year", "pickup_month", "pickup_borough", "dropoff_borough"]
+    target = spark.createDataFrame([(2024, 1, None, "Q", 1), (2024, 1, "M", None, 2)], schema)
+    source = spark.createDataFrame([(2024, 1, None, "Q", 5), (2024, 1, None, None, 7)], schema)
+    once = upsert(target, source, keys, null_safe=True).merged
+    twice = upsert(once, source, keys, null_safe=True).merged
+    assert sorted(map(tuple, twice.collect()), key=repr) == sorted(
+        [(2024, 1, None, "Q", 5), (2024, 1, "M", None, 2), (2024, 1, None, None, 7)], key=repr
+    )
