@@ -170,3 +170,15 @@ def test_silver_delete_reaches_gold_only_when_synced(spark, tmp_root):
         assert all(r.created_at == created[r.trip_id] for r in gold)
         refresh_agg(spark, lake)
         assert sum(r.total_trips for r in lake.agg.as_of().collect()) == expected
+
+
+def test_typed_empty_results(spark, tmp_root):
+    from tripmart.operators.aggregate import empty_agg, high_water_mark
+    from tripmart.schemas import AGG
+
+    lake = Lakehouse.at(spark, tmp_root)
+    assert refresh_agg(spark, lake).mode == "skipped"  # no gold: nothing is overwritten
+    assert lake.agg.as_of().schema == AGG == empty_agg(spark).schema
+    assert lake.agg.as_of().count() == 0
+    empty = batch(spark, 0, 0)
+    assert high_water_mark(empty, "tpep_pickup_datetime").first().watermark is None
