@@ -22,7 +22,7 @@ from .functions.quality import PICKUP, clean_predicate
 from .operators.aggregate import high_water_mark, monthly_borough_agg
 from .operators.clean import apply_global_rules, apply_rate_rules, clean_trips, reject_reasons
 from .operators.enrich import enrich_with_zones, to_gold
-from .operators.aggregate import merge_partial_aggs
+from .operators.aggregate import merge_partial_aggs, with_avg_revenue
 from .operators.merge import upsert
 from .plans.incremental import read_after_watermark, scalar
 from .plans.read_plan import read_plans
@@ -161,6 +161,15 @@ def q_top_borough_pairs(spark: SparkSession, sf_dir: str, k: int = 10) -> DataFr
     return top.withColumn("pair_rank", F.row_number().over(Window.orderBy(*order)).cast("int"))
 
 
+def q_demand_by_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips, revenue and average fare per pickup zone (derived average)."""
+    zones = _gold(spark, sf_dir).groupBy("pickup_borough", "pickup_zone").agg(
+        F.count("trip_id").alias("total_trips"),
+        stable_sum("total_amount").alias("total_revenue"),
+    )
+    return with_avg_revenue(zones)
+
+
 def q_demand_by_hour_dow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event counts and value by weekday and hour."""
     events = tables.table(spark, sf_dir, "events")
@@ -367,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "bronze_incremental": q_bronze_incremental,
     "top_borough_pairs": q_top_borough_pairs,
     "demand_by_hour_dow": q_demand_by_hour_dow,
+    "demand_by_zone": q_demand_by_zone,
     "latest_two_commits": q_latest_two_commits,
     "snapshot_as_of": q_snapshot_as_of,
     "snapshot_incremental": q_snapshot_incremental,
@@ -400,6 +410,7 @@ ORACLES: dict[str, str] = {
     "bronze_incremental": sql.BRONZE_INCREMENTAL,
     "top_borough_pairs": sql.TOP_BOROUGH_PAIRS,
     "demand_by_hour_dow": sql.DEMAND_BY_HOUR_DOW,
+    "demand_by_zone": sql.DEMAND_BY_ZONE,
     "latest_two_commits": sql.LATEST_TWO_COMMITS,
     "snapshot_as_of": sql.SNAPSHOT_AS_OF,
     "snapshot_incremental": sql.SNAPSHOT_INCREMENTAL,

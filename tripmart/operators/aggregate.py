@@ -44,6 +44,16 @@ def merge_partial_aggs(existing: DataFrame, delta: DataFrame, scale: int | None
     )
 
 
+def with_avg_revenue(agg: DataFrame, scale: int = MEASURE_SCALE) -> DataFrame:
+    """Add ``avg_revenue = total_revenue / total_trips``, derived on read, never stored.
+
+    Storing an average would make merges of partial aggregates wrong; deriving
+    it from the two additive measures keeps every refresh exact.
+    """
+    avg = F.col("total_revenue") / F.when(F.col("total_trips") > 0, F.col("total_trips"))
+    return agg.withColumn("avg_revenue", F.round(avg, scale))
+
+
 def empty_agg(spark: SparkSession) -> DataFrame:
     """A typed, empty aggregate frame."""
     return spark.createDataFrame([], AGG)

@@ -424,3 +424,13 @@ SELECT status, months,
             THEN 'incomplete' ELSE 'completed' END AS run_status
 FROM counts
 """
+
+DEMAND_BY_ZONE = f"""
+{with_(TRIPS, CLEAN, ZONES, GOLD)}
+SELECT pickup_borough, pickup_zone,
+       COUNT(trip_id) AS total_trips,
+       {money('total_amount')} AS total_revenue,
+       CAST(round(SUM(CAST(total_amount AS DECIMAL(18,2))) / COUNT(trip_id), 2) AS DOUBLE) AS avg_revenue
+FROM gold
+GROUP BY pickup_borough, pickup_zone
+"""
