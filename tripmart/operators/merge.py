@@ -5,9 +5,12 @@ Semantics of ``MERGE INTO target USING source ON keys``:
 ``WHEN NOT MATCHED THEN INSERT *``; target rows without a source match stay.
 
 Plan: one full outer join on the keys.  Each side is shuffled once on the
-keys (a sort-merge or shuffled-hash join chosen by Catalyst/AQE; AQE splits a
-skewed key partition), and every output column is a ``CASE`` on which side
-matched, so nothing is joined twice and no side is broadcast blindly.
+keys (a sort-merge or shuffled-hash join chosen by Catalyst/AQE), and every
+output column is a ``CASE`` on which side matched, so nothing is joined twice
+and no side is broadcast blindly.  AQE cannot split skewed partitions of a
+full outer join, but none can arise: the source is validated (or deduplicated)
+to one row per key first, and the target holds one row per key, so every
+join key carries at most two rows.
 
 When the target is partitioned on columns that the key determines (trip_id
 fixes the pickup month), ``scope`` restricts the target to the partitions the
@@ -54,9 +57,9 @@ def validate_source(
 ) -> list[dict[str, object]] | None:
     """One pass over the source: fail on duplicate keys, return the touched partitions.
 
-    Counts per (key, scope) — a partial aggregate, so a hot key is collapsed
-    map-side — then folds them per scope value.  Only the per-partition
-    summary (bounded, checked) reaches the driver.
+    Counts per key — a partial aggregate, so a hot key is collapsed map-side —
+    then folds the counts per scope value.  Only the per-partition summary
+    (bounded, checked) reaches the driver.
     """
     scope_cols = list(scope_cols or [])
     # Count per key alone (a key repeated under two scope values is still a

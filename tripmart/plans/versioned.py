@@ -307,16 +307,16 @@ class VersionedTable:
             stats.append(F.max(self.watermark_col).cast("string").alias("hwm"))
         observation = Observation(f"commit_{commit_id}_{uuid.uuid4().hex}")
         out = out.observe(observation, *stats)
-        writer = out.write.mode("overwrite")
         if self.partition_by:
             # Rebalance on the partition columns: each task writes few table
             # partitions (no small-file explosion) and AQE splits any hot
             # partition across tasks instead of funnelling it into one.
             out = out.hint("rebalance", *self.partition_by)
-            writer = out.sortWithinPartitions(*self.partition_by, *self.sort_by).write.mode("overwrite")
+        if self.partition_by or self.sort_by:
+            out = out.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        writer = out.write.mode("overwrite")
+        if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        elif self.sort_by:
-            writer = out.sortWithinPartitions(*self.sort_by).write.mode("overwrite")
         writer.parquet(target)
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         try:
