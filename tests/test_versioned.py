@@ -116,3 +116,12 @@ def test_crashed_writer_leftovers_are_invisible_and_replaced(spark, tmp_root):
     fresh = table(spark, tmp_root)  # a new run starts from the log
     assert fresh.append(frame(spark, ("b", 2, 2))) == 2  # reuses the id, overwriting the leftovers
     assert contents(fresh.as_of()) == [("a", 1, 1), ("b", 2, 2)]
+
+
+def test_commits_are_snappy_parquet(spark, tmp_root):
+    import glob
+
+    t = table(spark, tmp_root)
+    t.append(frame(spark, ("a", 1, 1)))
+    files = glob.glob(f"{t.data_root}/commit_id=1/**/*.parquet", recursive=True)
+    assert files and all(".snappy." in f for f in files)

@@ -203,6 +203,7 @@ class VersionedTable:
         sort_by: Sequence[str] = (),
         derived: dict[str, tuple[Column, DataType]] | None = None,
         watermark_col: str | None = None,
+        compression: str = "snappy",
     ):
         """``derived`` adds hidden partition columns computed on write (e.g. the
         pickup day of a timestamp); they are partition folders, not returned
@@ -214,6 +215,7 @@ class VersionedTable:
         self.sort_by = list(sort_by)
         self.derived = dict(derived or {})
         self.watermark_col = watermark_col
+        self.compression = compression
         self._commits: list[Commit] | None = None
 
     # -- paths ---------------------------------------------------------------
@@ -314,7 +316,7 @@ class VersionedTable:
             out = out.hint("rebalance", *self.partition_by)
         if self.partition_by or self.sort_by:
             out = out.sortWithinPartitions(*self.partition_by, *self.sort_by)
-        writer = out.write.mode("overwrite")
+        writer = out.write.mode("overwrite").option("compression", self.compression)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
         writer.parquet(target)
