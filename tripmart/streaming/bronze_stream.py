@@ -10,6 +10,11 @@ and stops, so the stream runs on the same monthly schedule as the batch jobs.
 Each micro-batch goes through the same cleaning rules and is appended to the
 versioned silver table; the batch id is stored as the commit's source, which
 makes a replayed batch (after a failure between commit and checkpoint) a no-op.
+
+Limit: a file stream reads every file with the one bronze schema.  A missing
+column arrives as NULL, but a file storing a column with a different physical
+type (e.g. int64 location ids) fails the batch; land such files through the
+batch reader (``sources.bronze.read_bronze``), which groups and casts them.
 """
 
 from __future__ import annotations
