@@ -33,6 +33,7 @@ HEADLINE = [
     "merge_partial_aggs",
     "merge_monthly_agg",
     "incremental_load_effect",
+    "pipeline_end_to_end",
     "landing_report",
 ]
 

@@ -28,7 +28,7 @@ from .plans.incremental import read_after_watermark, scalar
 from .plans.read_plan import read_plans
 from .plans.versioned import COMMIT_COL, appended_predicate, commits_from_frame, latest_commits, live_predicate
 from .schemas import AGG_KEYS, GOLD_PARTITIONS
-from .plans.pipeline import Lakehouse, refresh_silver
+from .plans.pipeline import Lakehouse, refresh_silver, run_pipeline
 from .session import scratch_path
 from .sources import history, tables
 from .sources.bronze import list_files, raw_glob, read_bronze, schema_drift
@@ -266,6 +266,19 @@ def q_incremental_load_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scheduled runs of the whole chain (first landing, then everything):
+    silver by watermark, gold by MERGE, aggregate by touched months.  The
+    final aggregate must equal one computed over all clean trips at once."""
+    lake = Lakehouse.at(spark, scratch_path(spark, "pipeline"))
+    trips = tables.trips(spark, sf_dir)
+    zones = tables.zones(spark, sf_dir)
+    first = trips.filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    for bronze in (first, trips):
+        run_pipeline(spark, bronze, lake, zones, tables.FIXTURE_EXCLUDED_LOCATIONS, created_at=_created_at())
+    return lake.agg.as_of()
+
+
 def q_silver_sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean trips written as a day-partitioned, pickup-sorted snappy table and read back.
 
@@ -385,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "merge_partial_aggs": q_merge_partial_aggs,
     "merge_monthly_agg": q_merge_monthly_agg,
     "incremental_load_effect": q_incremental_load_effect,
+    "pipeline_end_to_end": q_pipeline_end_to_end,
     "silver_sorted_write": q_silver_sorted_write,
     "zone_csv_scan": q_zone_csv_scan,
     "bronze_drift_read": q_bronze_drift_read,
@@ -419,6 +433,7 @@ ORACLES: dict[str, str] = {
     "merge_partial_aggs": sql.MONTHLY_BOROUGH_AGG,
     "merge_monthly_agg": sql.MERGE_MONTHLY_AGG,
     "incremental_load_effect": sql.INCREMENTAL_LOAD_EFFECT,
+    "pipeline_end_to_end": sql.MONTHLY_BOROUGH_AGG,
     "silver_sorted_write": sql.SILVER_SORTED_WRITE,
     "zone_csv_scan": sql.ZONE_CSV_SCAN,
     "bronze_drift_read": sql.BRONZE_DRIFT_READ,
