@@ -377,16 +377,18 @@ run AS (
   SELECT CAST(date_trunc('month', MAX(o_orderdate)) + INTERVAL 1 MONTH AS DATE) AS run_date
   FROM orders
 ),
+months AS (
+  SELECT data_year, CAST(unnest(range(1, 13)) AS INT) AS data_month FROM years
+),
 plan AS (
-  SELECT y.data_year, CAST(m.data_month AS INT) AS data_month,
-         printf('yellow_tripdata_%04d-%02d.parquet', y.data_year, m.data_month) AS file_name,
-         'raw/taxi/year=' || CAST(year(r.run_date) AS VARCHAR) || '/'
-           || printf('yellow_tripdata_%04d-%02d.parquet', y.data_year, m.data_month) AS object_key,
-         CAST(year(r.run_date) AS INT) AS landed_year,
-         (y.data_year * 12 + m.data_month) >= (year(r.run_date) * 12 + month(r.run_date)) AS pending
-  FROM years y
-  CROSS JOIN (SELECT unnest(range(1, 13)) AS data_month) m
-  CROSS JOIN run r
+  SELECT data_year, data_month,
+         printf('yellow_tripdata_%04d-%02d.parquet', data_year, data_month) AS file_name,
+         'raw/taxi/year=' || CAST(year((SELECT run_date FROM run)) AS VARCHAR) || '/'
+           || printf('yellow_tripdata_%04d-%02d.parquet', data_year, data_month) AS object_key,
+         CAST(year((SELECT run_date FROM run)) AS INT) AS landed_year,
+         (data_year * 12 + data_month)
+           >= (year((SELECT run_date FROM run)) * 12 + month((SELECT run_date FROM run))) AS pending
+  FROM months
 ),
 landed AS (
   SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS data_year,
