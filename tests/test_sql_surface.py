@@ -68,3 +68,20 @@ def test_cli_reference_style_arguments_and_plan(spark, tmp_root, capsys):
     out = capsys.readouterr().out
     assert '"status": "skipped", "months": 1' in out and '"status": "pending", "months": 9' in out
     assert spark.read.json(f"{tmp_root}/reports/r1").count() == 12
+
+
+def test_cli_sql(spark, tmp_root, capsys):
+    raw = f"{tmp_root}/raw"
+    trips_df(spark, [{}, {"VendorID": 2}]).write.parquet(f"{raw}/year=2024")
+    zones = f"{tmp_root}/zones"
+    spark.createDataFrame([(100, "Manhattan", "Midtown", "Y")], ZONES).write.option("header", True).csv(zones)
+    lake = f"{tmp_root}/lake"
+    cli_main(["run", "--bronze-path", raw, "--lake", lake, "--zones-csv", zones], spark=spark)
+    capsys.readouterr()
+    cli_main(
+        ["sql", "--lake", lake, "--output", f"{tmp_root}/out",
+         "SELECT pickup_borough, SUM(total_trips) AS trips FROM agg GROUP BY 1"],
+        spark=spark,
+    )
+    assert '"pickup_borough": "Manhattan", "trips": 2' in capsys.readouterr().out
+    assert spark.read.parquet(f"{tmp_root}/out").count() == 1

@@ -6,6 +6,7 @@
     python -m tripmart run    --bronze-path RAW --lake LAKE --zones-csv ZONES.csv
     python -m tripmart stream --bronze-path RAW --lake LAKE --zones-csv ZONES.csv
     python -m tripmart plan   --raw-root RAW [--year 2024] [--report-path OUT]
+    python -m tripmart sql    --lake LAKE "SELECT ... FROM gold ..." [--output PATH]
 
 Tables live under ``--lake`` or at explicit locations (``--silver-path``,
 ``--gold-path``, ``--agg-path``; the original jobs' names ``--silver_full_ref``,
@@ -23,6 +24,7 @@ from dataclasses import asdict
 
 from .functions.quality import PICKUP
 from .plans.pipeline import Lakehouse, refresh_agg, refresh_gold, refresh_silver, run_pipeline
+from .plans.sql_surface import register_views
 from .session import build_session
 from .sources.bronze import raw_glob
 from .sources.landing import (
@@ -37,7 +39,7 @@ from .sources.landing import (
 from .sources.zones import read_zones_csv
 from .streaming import ingest_available
 
-TABLE_JOBS = ("clean", "load", "agg", "run", "stream")
+TABLE_JOBS = ("clean", "load", "agg", "run", "stream", "sql")
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -61,6 +63,10 @@ def parse_args(argv=None) -> argparse.Namespace:
             p.add_argument("--incremental-col", default=PICKUP)
         if job == "load":
             p.add_argument("--progress", choices=["consumer", "latest-two"], default="consumer")
+        if job == "sql":
+            p.add_argument("statement", help="SQL over the views silver, gold and agg")
+            p.add_argument("--output", help="write the full result here as parquet")
+            p.add_argument("--show", type=int, default=20, help="rows to print (a preview, not the result)")
     p = sub.add_parser("plan", help="months to land, which are already landed, run report")
     p.add_argument("--raw-root", required=True, help="raw landing root (year=*/ files)")
     p.add_argument("--year", type=int, help="plan all 12 months of this year (default: previous month)")
@@ -109,6 +115,13 @@ def main(argv=None, spark=None) -> None:
     try:
         if args.job == "plan":
             results = _plan(spark, args)
+        elif args.job == "sql":
+            lake = _lake(spark, args)
+            register_views(lake)
+            result = spark.sql(args.statement)
+            if args.output:
+                result.write.mode("overwrite").parquet(args.output)
+            results = [r.asDict() for r in result.take(args.show)]
         elif args.job == "clean":
             results = [refresh_silver(spark, args.bronze_path, _lake(spark, args).silver)]
         elif args.job == "load":

@@ -18,12 +18,12 @@ def register_version(table: VersionedTable, name: str, as_of: int | None = None)
 
 
 def register_views(lake: Lakehouse, prefix: str = "") -> list[str]:
-    """Temp views ``silver``, ``gold``, ``agg`` on the latest versions, for ad-hoc SQL."""
-    return [
-        register_version(lake.silver, f"{prefix}silver"),
-        register_version(lake.gold, f"{prefix}gold"),
-        register_version(lake.agg, f"{prefix}agg"),
-    ]
+    """Temp views ``silver``, ``gold``, ``agg`` on the latest versions, for ad-hoc SQL.
+
+    Tables without a location are skipped.
+    """
+    tables = (("silver", lake.silver), ("gold", lake.gold), ("agg", lake.agg))
+    return [register_version(table, f"{prefix}{name}") for name, table in tables if table is not None]
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
