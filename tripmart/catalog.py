@@ -10,8 +10,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import oracle_sql as sql
@@ -19,26 +18,19 @@ from .functions.calendar import calendar_parts
 from .functions.keys import TRIP_KEY_FIELDS, trip_id
 from .functions.measures import stable_sum
 from .functions.quality import PICKUP, clean_predicate
-from .operators.aggregate import high_water_mark, monthly_borough_agg
+from .operators.aggregate import high_water_mark, merge_partial_aggs, monthly_borough_agg, with_avg_revenue
 from .operators.clean import apply_global_rules, apply_rate_rules, clean_trips, reject_reasons
 from .operators.enrich import enrich_with_zones, to_gold
-from .operators.aggregate import merge_partial_aggs, with_avg_revenue
 from .operators.merge import upsert
 from .plans.incremental import read_after_watermark, scalar
+from .plans.pipeline import Lakehouse, refresh_silver, run_pipeline
 from .plans.read_plan import read_plans
 from .plans.versioned import COMMIT_COL, appended_predicate, commits_from_frame, latest_commits, live_predicate
 from .schemas import AGG_KEYS, GOLD_PARTITIONS
-from .plans.pipeline import Lakehouse, refresh_silver, run_pipeline
 from .session import scratch_path
 from .sources import history, tables
 from .sources.bronze import list_files, raw_glob, read_bronze, schema_drift
-from .sources.landing import (
-    landing_report,
-    landing_status,
-    missing_months,
-    month_plan,
-    months_of_years,
-)
+from .sources.landing import landing_report, landing_status, missing_months, month_plan, months_of_years
 from .sources.zones import read_zones_csv, write_zones_csv
 from .streaming import ingest_available
 
@@ -360,16 +352,19 @@ def _landing_frames(spark: SparkSession, sf_dir: str):
 
 
 def q_landing_month_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Year-mode plan: file name, object key and pending flag of every month."""
     plan, _ = _landing_frames(spark, sf_dir)
     return plan
 
 
 def q_landing_missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned months with no landed data (skip-already-landed, as an anti join)."""
     plan, landed = _landing_frames(spark, sf_dir)
     return missing_months(plan, landed)
 
 
 def q_landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months per status and the derived run status."""
     plan, landed = _landing_frames(spark, sf_dir)
     return landing_report(landing_status(plan, landed))
 
