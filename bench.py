@@ -3,6 +3,10 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_QUERIES (comma list, default HEADLINE), BENCH_REPEAT (default 3).
 
+Spark's event log is written to the bench's scratch folder; ``shuffle_mb``
+reports, per query, the shuffle bytes written by its last run (all of its
+jobs, tagged with a job group), read back from that log.
+
 Each query's plan runs to completion through the ``noop`` sink (every row is
 produced, nothing is shipped to the driver).  ``queries`` holds the best of
 BENCH_REPEAT runs (warm: JIT and codegen caches filled), ``cold`` the first
@@ -12,10 +16,12 @@ the warm times.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import sys
 import time
+from collections import defaultdict
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -56,22 +62,31 @@ def main() -> None:
         extra={
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
             "spark.checkpoint.dir": scratch,
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": f"file://{scratch}",
+            "spark.eventLog.compress": "false",
             "spark.local.dir": scratch,
         },
     )
     queries = catalog.queries()
 
-    def run(name: str) -> float:
+    def run(name: str, group: str) -> float:
+        spark.sparkContext.setJobGroup(group, name)
         t0 = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    run("monthly_borough_agg")  # warm-up: JVM, codegen, file listing caches
+    run("monthly_borough_agg", "warmup")  # warm-up: JVM, codegen, file listing caches
     timings, cold = {}, {}
     for name in names:
-        runs = [run(name) for _ in range(repeat)]
+        runs = [run(name, f"{name}#{i}") for i in range(repeat)]
         cold[name] = round(runs[0], 3)
         timings[name] = round(min(runs), 3)
+    spark.sparkContext.setJobGroup("done", "done")
+    app_id = spark.sparkContext.applicationId
+    spark.stop()  # flushes the event log
+    shuffle = shuffle_by_group(scratch, app_id)
+    shuffle_mb = {n: round(shuffle.get(f"{n}#{repeat - 1}", 0) / 2**20, 3) for n in names}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -82,12 +97,40 @@ def main() -> None:
                 "queries": timings,
                 "cold": cold,
                 "cold_total": round(sum(cold.values()), 3),
+                "shuffle_mb": shuffle_mb,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }
         )
     )
-    spark.stop()
+
+
+def shuffle_by_group(folder: str, app_id: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, from the event log."""
+    # Spark 4 writes a folder of rolling event files per application.
+    paths = sorted(
+        p
+        for p in glob.glob(f"{folder}/**/*", recursive=True)
+        if os.path.isfile(p) and app_id in p and "events" in os.path.basename(p)
+    )
+    stage_group: dict[int, str] = {}
+    written: dict[str, int] = defaultdict(int)
+    for path in paths:
+        with open(path) as log:
+            for line in log:
+                event = json.loads(line)
+                kind = event.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (event.get("Properties") or {}).get("spark.jobGroup.id")
+                    for stage in event.get("Stage IDs", []):
+                        stage_group[stage] = group
+                elif kind == "SparkListenerTaskEnd":
+                    metrics = event.get("Task Metrics") or {}
+                    nbytes = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    group = stage_group.get(event.get("Stage ID"))
+                    if group:
+                        written[group] += nbytes
+    return dict(written)
 
 
 if __name__ == "__main__":
