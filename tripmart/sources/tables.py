@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import bounded_broadcast
 from ..schemas import SILVER_COLUMNS
 
 # Fixed values of the fixture mapping: the locations excluded by rules F3/F4
@@ -43,6 +44,24 @@ def _fee(condition, when_true: float, when_false: float):
     return F.when(condition, F.lit(when_true)).otherwise(F.lit(when_false))
 
 
+# (order key, order date, customer nation) rows are ~20 bytes: ≤ 500k rows
+# keeps the replicated side near 10 MB.
+ORDER_ZONE_BROADCAST_ROWS = 500_000
+_ORDER_ZONES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _order_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders ⋈ customer → (o_orderkey, o_orderdate, c_nationkey), one frame per session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _ORDER_ZONES:
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+        customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+        _ORDER_ZONES[key] = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+            "o_orderkey", "o_orderdate", "c_nationkey"
+        )
+    return _ORDER_ZONES[key]
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped trips (20 silver columns) derived from the line items."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -50,17 +69,14 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate",
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-
-    # Resolve each order's pickup zone first (orders ⋈ customer), so the
+    # Each order's pickup zone is resolved first (orders ⋈ customer), so the
     # line-item side meets one join per key it owns (orderkey, suppkey): when
-    # no side is small enough to broadcast, the fact-sized rows are shuffled
-    # twice instead of three times.
-    order_zone = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        "o_orderkey", "o_orderdate", "c_nationkey"
-    )
+    # nothing is small enough to broadcast, the fact-sized rows are shuffled
+    # twice instead of three times.  Catalyst cannot size a join result
+    # without statistics, so the order side is broadcast only behind a
+    # checked row bound (else a shuffle join, as at 100 TB).
+    order_zone = bounded_broadcast(_order_zones(spark, sf_dir), ORDER_ZONE_BROADCAST_ROWS)
     joined = li.join(order_zone, li.l_orderkey == order_zone.o_orderkey).join(
         supplier, F.col("l_suppkey") == supplier.s_suppkey
     )
