@@ -56,3 +56,10 @@ def test_version_reads_list_only_live_commit_folders(spark, tmp_root, capsys):
     plan = plan_of(t.as_of(), capsys)
     location = re.search(r"Location: InMemoryFileIndex[^\n]*", plan).group(0)
     assert "commit_id=2" in location and "commit_id=1" not in location
+
+
+def test_trips_view_does_not_shuffle_line_items_when_dimensions_are_small(spark, capsys):
+    from tripmart.sources import tables
+
+    plan = plan_of(tables.trips(spark, SMALL_SF), capsys, "simple")
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
