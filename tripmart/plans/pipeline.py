@@ -28,7 +28,7 @@ from ..functions.quality import EXCLUDED_LOCATIONS, PICKUP
 from ..operators.aggregate import monthly_borough_agg
 from ..operators.clean import clean_trips
 from ..operators.enrich import to_gold
-from ..operators.merge import upsert
+from ..operators.merge import dedupe_source, upsert, validate_source
 from ..schemas import AGG, GOLD, GOLD_PARTITIONS, SILVER
 from ..session import join_path
 from ..sources.bronze import raw_glob, read_bronze
@@ -214,6 +214,19 @@ def refresh_gold(
     incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     mirror = sync_deletes and mode == FULL
     try:
+        if lake.gold.latest_commit_id() is None:
+            # First load: nothing to match against, so MERGE reduces to an
+            # insert; skipping the join avoids shuffling the whole source.
+            if on_duplicate == "dedupe":
+                first = dedupe_source(incoming, ["trip_id"], ["dropoff_datetime", "total_amount"])
+                months = first.select(*GOLD_PARTITIONS).limit(1).collect()
+            else:
+                first = incoming
+                months = validate_source(incoming, ["trip_id"], GOLD_PARTITIONS)
+            if not months:
+                return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
+            commit = lake.gold.overwrite(first, source_commit=latest)
+            return StepResult("gold", mode, commit, latest, _rows(lake.gold, commit))
         result = upsert(
             lake.gold.as_of(),
             incoming,
