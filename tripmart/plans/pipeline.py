@@ -7,7 +7,8 @@ it.  Every step is safe to rerun:
   (empty table) or append of strictly newer bronze rows;
 * gold: consumes the silver commits it has not seen yet (its own log records
   the last silver commit consumed) and MERGEs them on ``trip_id``, rewriting
-  only the touched months;
+  only the touched months (the very first load is a plain insert: there is
+  nothing to join against);
 * aggregate: recomputes exactly the months the new gold commits rewrote and
   replaces those partitions — idempotent, unlike adding deltas onto totals.
 
