@@ -182,3 +182,19 @@ def test_typed_empty_results(spark, tmp_root):
     assert lake.agg.as_of().count() == 0
     empty = batch(spark, 0, 0)
     assert high_water_mark(empty, "tpep_pickup_datetime").first().watermark is None
+
+
+def test_duplicate_trip_keys_fail_the_merge_or_dedupe(spark, tmp_root):
+    import pytest
+
+    z = zones(spark)
+    twins = trips_df(spark, [{"total_amount": 10.0}, {"total_amount": 12.0}])  # same trip_id
+    lake = Lakehouse.at(spark, f"{tmp_root}/strict")
+    refresh_silver(spark, twins, lake.silver)
+    with pytest.raises(ValueError, match="duplicate"):
+        refresh_gold(spark, lake, z)
+    assert lake.gold.latest_commit_id() is None  # nothing half-written
+    lake = Lakehouse.at(spark, f"{tmp_root}/dedupe")
+    refresh_silver(spark, twins, lake.silver)
+    refresh_gold(spark, lake, z, on_duplicate="dedupe")
+    assert [r.total_amount for r in lake.gold.as_of().collect()] == [12.0]
