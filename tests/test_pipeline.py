@@ -198,3 +198,29 @@ def test_duplicate_trip_keys_fail_the_merge_or_dedupe(spark, tmp_root):
     refresh_silver(spark, twins, lake.silver)
     refresh_gold(spark, lake, z, on_duplicate="dedupe")
     assert [r.total_amount for r in lake.gold.as_of().collect()] == [12.0]
+
+
+def test_compaction_keeps_content_and_is_not_reprocessed(spark, tmp_root, capsys):
+    from tripmart.plans.read_plan import FULL, resolve_read_plan
+
+    z = zones(spark)
+    lake = Lakehouse.at(spark, tmp_root)
+    for start in (0, 100, 200):
+        refresh_silver(spark, batch(spark, start, 2), lake.silver)
+        refresh_gold(spark, lake, z)
+        refresh_agg(spark, lake)
+    before = sorted(map(tuple, lake.silver.as_of().collect()), key=repr)
+    assert lake.silver.compact() is not None
+    assert lake.gold.compact() is not None
+    assert sorted(map(tuple, lake.silver.as_of().collect()), key=repr) == before
+    lake.silver.as_of().explain("formatted")
+    location = [line for line in capsys.readouterr().out.splitlines() if "Location:" in line][0]
+    assert location.count("commit_id=") == 1  # one folder listed after compaction
+    assert lake.silver.high_water_mark() == at(201)
+    assert refresh_gold(spark, lake, z).mode == "skipped"
+    assert refresh_agg(spark, lake).mode == "skipped"
+    assert resolve_read_plan(lake.silver.commits_frame()).mode == FULL  # original rule: replace → full
+    refresh_silver(spark, batch(spark, 300, 2), lake.silver)
+    assert refresh_gold(spark, lake, z).mode == "incremental"
+    assert refresh_agg(spark, lake).mode == "incremental"
+    assert sum(r.total_trips for r in lake.agg.as_of().collect()) == 8

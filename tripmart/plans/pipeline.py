@@ -35,7 +35,7 @@ from ..session import join_path
 from ..sources.bronze import raw_glob, read_bronze
 from .incremental import read_after_watermark
 from .read_plan import DELTA, resolve_read_plan
-from .versioned import APPEND, VersionedTable, partition_filter
+from .versioned import APPEND, REPLACE, VersionedTable, partition_filter
 
 FULL, INCREMENTAL, SKIPPED = "full", "incremental", "skipped"
 
@@ -173,7 +173,8 @@ def _upstream_slice(upstream: VersionedTable, last: int | None, latest: int, pro
         if plan.mode == DELTA:
             return INCREMENTAL, upstream.appended_between(plan.start_snapshot_id, plan.snapshot_id)
         return FULL, upstream.as_of(plan.snapshot_id)
-    newer = [c for c in upstream.commits() if last is None or c.commit_id > last]
+    # Compactions (replace) keep the content: they are not changes to consume.
+    newer = [c for c in upstream.commits() if (last is None or c.commit_id > last) and c.operation != REPLACE]
     if last is None or any(c.operation != APPEND for c in newer):
         return FULL, upstream.as_of(latest)
     if all(c.rows == 0 for c in newer):  # known from the log: nothing was appended
@@ -260,6 +261,8 @@ def refresh_agg(spark: SparkSession, lake: Lakehouse) -> StepResult:
     if last == latest:
         return StepResult("agg", SKIPPED, source_commit=latest, detail="gold unchanged")
     months = lake.gold.partitions_since(last) if last is not None else None
+    if months == []:  # only compactions since the last run
+        return StepResult("agg", SKIPPED, source_commit=latest, detail="gold content unchanged")
     gold = lake.gold.as_of(latest)
     if months is None:
         commit = lake.agg.overwrite(monthly_borough_agg(gold), source_commit=latest)

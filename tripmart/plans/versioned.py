@@ -390,12 +390,30 @@ class VersionedTable:
         keep = keyed.filter(in_scope & ~doomed).select(*self.schema.fieldNames())
         return self._write_commit(keep, DELETE, [partition_path(t) for t in touched], source_commit)
 
+    def compact(self) -> int | None:
+        """Rewrite the current version as one ``replace`` commit (same rows, fewer files).
+
+        Reads then list a single commit folder instead of every append since
+        the last overwrite.  Content is unchanged, so consumers tracking their
+        progress skip it; the consumed-upstream marker is carried over.
+        Returns None when there is nothing to merge (one live commit or none).
+        """
+        commits = self.commits()
+        if not commits or len(live_files(commits, commits[-1].commit_id)) <= 1:
+            return None
+        return self._write_commit(self.as_of(), REPLACE, [WHOLE_TABLE], self.last_source_commit())
+
     def partitions_since(self, start_exclusive: int | None) -> list[dict[str, str]] | None:
-        """Partitions written by commits after ``start_exclusive`` (None = whole table)."""
+        """Partitions whose content changed after ``start_exclusive`` (None = whole table).
+
+        Compactions (``replace``) keep the content and are skipped.
+        """
         touched: set[str] = set()
         for c in self.commits():
             if start_exclusive is not None and c.commit_id <= start_exclusive:
                 continue
+            if c.operation == REPLACE:
+                continue
             if WHOLE_TABLE in c.partitions:
                 return None
             touched.update(c.partitions)
