@@ -85,3 +85,5 @@ def test_cli_sql(spark, tmp_root, capsys):
     )
     assert '"pickup_borough": "Manhattan", "trips": 2' in capsys.readouterr().out
     assert spark.read.parquet(f"{tmp_root}/out").count() == 1
+    cli_main(["compact", "--lake", lake, "--table", "silver"], spark=spark)
+    assert '"table": "silver", "commit_id": null' in capsys.readouterr().out  # one commit: nothing to do

@@ -7,6 +7,7 @@
     python -m tripmart stream --bronze-path RAW --lake LAKE --zones-csv ZONES.csv
     python -m tripmart plan   --raw-root RAW [--year 2024] [--report-path OUT]
     python -m tripmart sql    --lake LAKE "SELECT ... FROM gold ..." [--output PATH]
+    python -m tripmart compact --lake LAKE [--table silver --table gold ...]
 
 Tables live under ``--lake`` or at explicit locations (``--silver-path``,
 ``--gold-path``, ``--agg-path``; the original jobs' names ``--silver_full_ref``,
@@ -39,7 +40,7 @@ from .sources.landing import (
 from .sources.zones import read_zones_csv
 from .streaming import ingest_available
 
-TABLE_JOBS = ("clean", "load", "agg", "run", "stream", "sql")
+TABLE_JOBS = ("clean", "load", "agg", "run", "stream", "sql", "compact")
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -63,6 +64,9 @@ def parse_args(argv=None) -> argparse.Namespace:
             p.add_argument("--incremental-col", default=PICKUP)
         if job == "load":
             p.add_argument("--progress", choices=["consumer", "latest-two"], default="consumer")
+        if job == "compact":
+            p.add_argument("--table", action="append", choices=["silver", "gold", "agg"],
+                           help="table(s) to compact (default: all with a location)")
         if job == "sql":
             p.add_argument("statement", help="SQL over the views silver, gold and agg")
             p.add_argument("--output", help="write the full result here as parquet")
@@ -115,6 +119,10 @@ def main(argv=None, spark=None) -> None:
     try:
         if args.job == "plan":
             results = _plan(spark, args)
+        elif args.job == "compact":
+            lake = _lake(spark, args)
+            names = args.table or [n for n in ("silver", "gold", "agg") if getattr(lake, n) is not None]
+            results = [{"table": n, "commit_id": getattr(lake, n).compact()} for n in names]
         elif args.job == "sql":
             lake = _lake(spark, args)
             register_views(lake)
