@@ -224,3 +224,12 @@ def test_compaction_keeps_content_and_is_not_reprocessed(spark, tmp_root, capsys
     assert refresh_gold(spark, lake, z).mode == "incremental"
     assert refresh_agg(spark, lake).mode == "incremental"
     assert sum(r.total_trips for r in lake.agg.as_of().collect()) == 8
+
+
+def test_bronze_file_with_zoned_timestamps(spark, tmp_root):
+    root = f"{tmp_root}/raw"
+    zoned = batch(spark, 0, 2).withColumn("tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("timestamp"))
+    zoned.coalesce(1).write.parquet(f"{root}/year=2024")
+    batch(spark, 10, 1).coalesce(1).write.parquet(f"{root}/year=2025")
+    rows = read_bronze(spark, raw_glob(root)).collect()
+    assert sorted(r.tpep_pickup_datetime for r in rows) == [at(0), at(1), at(10)]

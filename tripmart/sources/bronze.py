@@ -30,6 +30,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    TimestampType,
 )
 
 from ..schemas import BRONZE
@@ -101,6 +102,18 @@ _SPARK_TO_ARROW = {
 }
 
 
+def _stored_type(arrow_name: str, fallback):
+    """Spark type to read a column stored as ``arrow_name`` (before the cast).
+
+    Zoned parquet timestamps (``timestamp[us, tz=…]``) can only be read as
+    TIMESTAMP (with zone); the cast to the NTZ target then keeps the wall time
+    in the session zone (UTC in these jobs).
+    """
+    if arrow_name.startswith("timestamp[") and "tz=" in arrow_name:
+        return TimestampType()
+    return _ARROW_TO_SPARK.get(arrow_name, fallback)
+
+
 def expected_types(spark: SparkSession, schema: StructType = BRONZE) -> DataFrame:
     """``(column, expected_type)`` in Arrow type names."""
     rows = [(f.name, _SPARK_TO_ARROW.get(repr(f.dataType), f.dataType.simpleString())) for f in schema.fields]
@@ -173,7 +186,7 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType = BRONZE) ->
         # Read each drifted column in its stored type, then cast to the target.
         read_schema = StructType(
             [
-                StructField(f.name, _ARROW_TO_SPARK.get(stored[f.name], f.dataType), True) if f.name in stored else f
+                StructField(f.name, _stored_type(stored[f.name], f.dataType), True) if f.name in stored else f
                 for f in schema.fields
             ]
         )
