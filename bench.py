@@ -77,16 +77,20 @@ def main() -> None:
         return time.perf_counter() - t0
 
     run("monthly_borough_agg", "warmup")  # warm-up: JVM, codegen, file listing caches
-    timings, cold = {}, {}
+    timings, cold, errors = {}, {}, {}
     for name in names:
-        runs = [run(name, f"{name}#{i}") for i in range(repeat)]
+        try:
+            runs = [run(name, f"{name}#{i}") for i in range(repeat)]
+        except Exception as exc:  # noqa: BLE001 - one failing query must not lose the others
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:300]}"
+            continue
         cold[name] = round(runs[0], 3)
         timings[name] = round(min(runs), 3)
     spark.sparkContext.setJobGroup("done", "done")
     app_id = spark.sparkContext.applicationId
     spark.stop()  # flushes the event log
     shuffle = shuffle_by_group(scratch, app_id)
-    shuffle_mb = {n: round(shuffle.get(f"{n}#{repeat - 1}", 0) / 2**20, 3) for n in names}
+    shuffle_mb = {n: round(shuffle.get(f"{n}#{repeat - 1}", 0) / 2**20, 3) for n in timings}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(
         json.dumps(
@@ -98,6 +102,7 @@ def main() -> None:
                 "cold": cold,
                 "cold_total": round(sum(cold.values()), 3),
                 "shuffle_mb": shuffle_mb,
+                **({"errors": errors} if errors else {}),
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }
