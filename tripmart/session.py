@@ -55,16 +55,22 @@ def build_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for staged data, taken from ``spark.checkpoint.dir``.
 
-    When the setting is missing (tests, a laptop) a private folder is created
-    and registered both as the conf value and as the RDD checkpoint dir, so
-    ``DataFrame.checkpoint()`` and staged writes land in the same place.
+    When the setting is missing on a local master (tests, a laptop) a private
+    folder is created and registered as the RDD checkpoint dir, so
+    ``DataFrame.checkpoint()`` and staged writes land in the same place; on a
+    cluster a missing setting is an error rather than a driver-local folder.
     """
     sc = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
-        # Only reached when the deployment named no shared folder.
+        if not sc.master.startswith("local"):
+            # Executors could not see a folder on the driver's disk.
+            raise RuntimeError(
+                f"set {CHECKPOINT_CONF} to a shared folder (e.g. on the object store) for cluster runs"
+            )
+        # Local runs (tests, a laptop): a private folder is fine.
         root = tempfile.mkdtemp(prefix="tripmart-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
