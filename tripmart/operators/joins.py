@@ -16,16 +16,25 @@ _CHECKED: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 DEFAULT_BROADCAST_ROW_LIMIT = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT) -> DataFrame:
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT, bound_by: DataFrame | None = None
+) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan
-    early), so it stays cheap even when the answer is "too big"; in that case
-    the caller's join falls back to whatever Catalyst/AQE choose (sort-merge or
-    shuffled hash), which scales with the data instead of the driver heap.
+    The probe is ``limit(max_rows + 1).collect()`` of a constant column, which
+    Spark runs as an incremental take (one partition first, more only if
+    needed), so it reads at most about ``max_rows`` rows, never the whole
+    table.  ``bound_by`` names a cheaper frame with at least as many rows
+    (e.g. the fact side of a key lookup join) to probe instead of ``df``
+    itself, so a join never has to run just to learn that it is too big.
+    Above the bound the caller's join falls back to whatever Catalyst/AQE
+    choose (sort-merge or shuffled hash), which scales with the data instead
+    of the driver heap.
     """
     known = _CHECKED.get(df, {})
     if max_rows not in known:
-        known[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        probe = df if bound_by is None else bound_by
+        rows = probe.select(F.lit(1).alias("_")).limit(max_rows + 1).collect()
+        known[max_rows] = len(rows) <= max_rows
         _CHECKED[df] = known
     return F.broadcast(df) if known[max_rows] else df

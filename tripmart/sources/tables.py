@@ -76,7 +76,10 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     # twice instead of three times.  Catalyst cannot size a join result
     # without statistics, so the order side is broadcast only behind a
     # checked row bound (else a shuffle join, as at 100 TB).
-    order_zone = bounded_broadcast(_order_zones(spark, sf_dir), ORDER_ZONE_BROADCAST_ROWS)
+    # The probe runs on the orders scan: the customer lookup cannot add rows.
+    order_zone = bounded_broadcast(
+        _order_zones(spark, sf_dir), ORDER_ZONE_BROADCAST_ROWS, bound_by=table(spark, sf_dir, "orders")
+    )
     joined = li.join(order_zone, li.l_orderkey == order_zone.o_orderkey).join(
         supplier, F.col("l_suppkey") == supplier.s_suppkey
     )
