@@ -38,6 +38,7 @@ def plan_text(df) -> str:
     lines = []
     for line in buf.getvalue().splitlines():
         line = re.sub(r"#\d+L?", "", line)  # attribute ids are noise here
+        line = re.sub(r",? ?\[plan_id=\d+\]", "", line)  # so are exchange plan ids
         lines.append(line if len(line) <= 150 else line[:147] + "...")
     return "\n".join(lines)
 
