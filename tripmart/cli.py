@@ -46,8 +46,17 @@ TABLE_JOBS = ("clean", "load", "agg", "run", "stream", "sql", "compact")
 def parse_args(argv=None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="tripmart", description="Taxi trip lakehouse jobs")
     sub = parser.add_subparsers(dest="job", required=True)
+    helps = {
+        "clean": "bronze → silver: clean new raw trips (watermark; full load when empty)",
+        "load": "silver → gold: enrich unseen silver commits and MERGE them on trip_id",
+        "agg": "gold → monthly borough aggregate for the months gold rewrote",
+        "run": "clean, load and agg in order (one scheduled run)",
+        "stream": "ingest every not-yet-seen landed file (file stream, availableNow)",
+        "sql": "run SQL over the views silver, gold and agg",
+        "compact": "rewrite tables' live versions as single replace commits",
+    }
     for job in TABLE_JOBS:
-        p = sub.add_parser(job)
+        p = sub.add_parser(job, help=helps[job])
         p.add_argument("--lake", help="root folder of the silver/gold/agg tables")
         p.add_argument("--silver-path", "--silver_full_ref", dest="silver_path")
         p.add_argument("--gold-path", "--gold_full_ref", dest="gold_path")
