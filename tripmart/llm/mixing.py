@@ -73,7 +73,7 @@ def source_targets(docs: DataFrame, *, max_repeat: int = MAX_REPEAT) -> DataFram
 def _pareto_rank(key: Column, p: Column, tie: Column) -> Column:
     """Rank of a document with inclusion probability p: 40 bits of its odds ratio, then 22 that settle ties."""
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), key), 12).cast("double") + 0.5) / float(1 << 52)
-    odds = (u / (1 - u)) * ((1 - p) / p)
+    odds = (u / (1 - u)) * F.try_divide(1 - p, p)  # NULL where nothing is drawn
     high = F.floor(odds / (1 + odds) * float((1 << 40) - 1)).cast("long")
     return F.shiftleft(high, 22).bitwiseOR(F.shiftrightunsigned(F.xxhash64(tie), 42))
 
