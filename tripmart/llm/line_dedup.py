@@ -5,8 +5,8 @@ when at most TAU (2) edits turn one into the other.  If they are, then of the
 TAU + 1 even segments of the shorter line one occurs unchanged in the longer
 one, close to its place.  So every line stores a key for each of its segments,
 under its length, and looks up, for each length up to TAU shorter, the
-substrings that the multi-match-aware windows allow.  Joined lines whose word
-signatures are too far apart are dropped in the join condition, the rest is
+substrings that the multi-match-aware windows allow.  Joined lines whose letter
+counts are too far apart are dropped in the join condition, the rest is
 verified with a banded bit-parallel edit distance over the part between common
 prefix and suffix.
 
@@ -29,8 +29,8 @@ from .components import connected_components
 
 TAU = 2
 MIN_CHARS = 40
-# One edit changes at most three words (a space that goes merges two words into one).
-WORDS_PER_EDIT = 3
+# Letters whose counts are compared before the strings are; any letters give right results.
+COUNTED = "eantior"
 
 
 def _bounds(length: Column, i: int, tau: int) -> tuple[Column, Column]:
@@ -48,8 +48,27 @@ def _windows(delta: int, i: int, tau: int) -> range:
     return range(max(-i, delta - rest), min(i, delta + rest) + 1)
 
 
-def _signature(parts: Column) -> Column:
-    """A parity bit for each of 64 classes of a line's parts (words or characters)."""
+def _signature(line: Column) -> Column:
+    """A line's length and how often each COUNTED letter occurs, modulo 256, a byte each."""
+    total = F.length(line).bitwiseAND(F.lit(255)).cast("bigint")
+    for i, letter in enumerate(COUNTED, 1):
+        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)).cast("bigint"), 8 * i))
+    return total
+
+
+def _letters_apart(a: Column, b: Column) -> Column:
+    """Sum over the letters of how far two signatures' counts are apart; an edit adds 2 at most."""
+    total = F.lit(0).cast("bigint")
+    for i in range(1, len(COUNTED) + 1):
+        d = (F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255)))
+        d = d.bitwiseAND(F.lit(255))
+        total = total + F.least(d, 256 - d)
+    return total
+
+
+def _parity(parts: Column) -> Column:
+    """A parity bit for each of 64 classes of a line's characters."""
     one = F.lit(1).cast("bigint")
     bit = lambda w: F.call_function("shiftleft", one, F.xxhash64(w).bitwiseAND(F.lit(63)).cast("int"))
     return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, w: acc.bitwiseXOR(bit(w)))
@@ -172,16 +191,18 @@ def banded_distance(df: DataFrame, tau: int) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, tau: int, min_chars: int) -> DataFrame:
-    """Pairs of different lines that share a segment where it may lie and have close word signatures."""
+    """Pairs of different lines that share a segment where it may lie and have close letter counts."""
     lines = _lines(docs, min_chars)
     stored, looked = _keys(F.col("line"), F.col("length"), tau)
     # The keys follow from the line: distinct keeps one row for equal lines, mostly before the shuffle.
-    rows = lines.select("h", "length", _signature(F.split("line", " ")).alias("sig"), stored.alias("stored"), looked.alias("looked"))
-    rows = rows.distinct()
+    rows = lines.select("h", "length", _signature(F.col("line")).alias("sig"), stored.alias("stored"), looked.alias("looked"))
+    rows = staged(rows.distinct().drop("length"), "line-keys")  # read for both sides
     left = rows.select(F.explode("looked").alias("key"), F.col("h").alias("ha"), F.col("sig").alias("sa"))
     right = rows.select(F.explode("stored").alias("key"), F.col("h").alias("hb"), F.col("sig").alias("sb"))
-    close = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= WORDS_PER_EDIT * tau
-    return left.join(right, "key").where((F.col("ha") != F.col("hb")) & close).select(
+    close = _letters_apart(F.col("sa"), F.col("sb")) <= 2 * tau
+    # Lines of one length find each other both ways; one way is enough.
+    once = (F.col("sa").bitwiseXOR(F.col("sb")).bitwiseAND(F.lit(255)) != 0) | (F.col("ha") > F.col("hb"))
+    return left.join(right, "key").where((F.col("ha") != F.col("hb")) & once & close).select(
         F.greatest("ha", "hb").alias("a"), F.least("ha", "hb").alias("b")
     ).distinct()
 
@@ -194,7 +215,7 @@ def line_links(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -
     # Only lines of some candidate are carried on, and one of each.
     named = lines.join(_small(ids), "h", "left_semi").groupBy("h").agg(F.min("line").alias("line"))
     # One edit flips two characters' parity at most; this settles most pairs that differ in a word.
-    named = staged(named.withColumn("sig", _signature(F.split("line", ""))), "line-texts")
+    named = staged(named.withColumn("sig", _parity(F.split("line", ""))), "line-texts")
     both = pairs.join(named.select(F.col("h").alias("a"), F.col("sig").alias("sa"), F.col("line").alias("x")), "a")
     both = both.join(named.select(F.col("h").alias("b"), F.col("sig").alias("sb"), F.col("line").alias("y")), "b")
     close = F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= 2 * tau
