@@ -30,7 +30,7 @@ from .components import connected_components
 TAU = 2
 MIN_CHARS = 40
 # Letters whose counts are compared before the strings are; any letters give right results.
-COUNTED = "eantior"
+COUNTED = "eantiorslhdcumg"
 
 
 def _bounds(length: Column, i: int, tau: int) -> tuple[Column, Column]:
@@ -49,11 +49,11 @@ def _windows(delta: int, i: int, tau: int) -> range:
 
 
 def _signature(line: Column) -> Column:
-    """A line's length and how often each COUNTED letter occurs, modulo 256, a byte each."""
-    total = F.length(line).bitwiseAND(F.lit(255)).cast("bigint")
+    """A line's length and how often each COUNTED letter occurs, modulo 16, four bits each."""
+    total = F.length(line).bitwiseAND(F.lit(15)).cast("bigint")
     for i, letter in enumerate(COUNTED, 1):
         count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
-        total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(255)).cast("bigint"), 8 * i))
+        total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(15)).cast("bigint"), 4 * i))
     return total
 
 
@@ -61,9 +61,8 @@ def _letters_apart(a: Column, b: Column) -> Column:
     """Sum over the letters of how far two signatures' counts are apart; an edit adds 2 at most."""
     total = F.lit(0).cast("bigint")
     for i in range(1, len(COUNTED) + 1):
-        d = (F.shiftrightunsigned(a, 8 * i).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * i).bitwiseAND(F.lit(255)))
-        d = d.bitwiseAND(F.lit(255))
-        total = total + F.least(d, 256 - d)
+        d = (F.shiftrightunsigned(a, 4 * i) - F.shiftrightunsigned(b, 4 * i)).bitwiseAND(F.lit(15))
+        total = total + F.least(d, 16 - d)
     return total
 
 
@@ -201,7 +200,9 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int) -> DataFrame:
     right = rows.select(F.explode("stored").alias("key"), F.col("h").alias("hb"), F.col("sig").alias("sb"))
     close = _letters_apart(F.col("sa"), F.col("sb")) <= 2 * tau
     # Lines of one length find each other both ways; one way is enough.
-    once = (F.col("sa").bitwiseXOR(F.col("sb")).bitwiseAND(F.lit(255)) != 0) | (F.col("ha") > F.col("hb"))
+    once = (F.col("sa").bitwiseXOR(F.col("sb")).bitwiseAND(F.lit(15)) != 0) | (F.col("ha") > F.col("hb"))
+    if tau > 7:
+        raise ValueError("four bits tell lengths and counts apart for up to 7 edits")
     return left.join(right, "key").where((F.col("ha") != F.col("hb")) & once & close).select(
         F.greatest("ha", "hb").alias("a"), F.least("ha", "hb").alias("b")
     ).distinct()
