@@ -32,3 +32,13 @@ def test_stream_picks_up_late_files(spark, tmp_root):
     assert lake.silver.as_of().count() == 5
     assert lake.gold.as_of().count() == 5
     assert sum(r.total_trips for r in lake.agg.as_of().collect()) == 5
+
+
+def test_a_new_checkpoint_starts_its_batches_again(spark, tmp_root):
+    first, second, lake_root = f"{tmp_root}/raw1", f"{tmp_root}/raw2", f"{tmp_root}/lake"
+    land(spark, first, 2024, 0, 2)
+    land(spark, second, 2024, 50, 2)
+    land(spark, second, 2024, 90, 2)
+    assert ingest_available(spark, first, lake_root, checkpoint_location=f"{tmp_root}/a", max_files_per_trigger=1) == 1
+    assert ingest_available(spark, second, lake_root, checkpoint_location=f"{tmp_root}/b", max_files_per_trigger=1) == 2
+    assert Lakehouse.at(spark, lake_root).silver.as_of().count() == 6

@@ -10,13 +10,18 @@ MEASURE_SCALE = 2
 
 
 def stable_sum(column: str | Column, scale: int | None = MEASURE_SCALE) -> Column:
-    """Sum of a DOUBLE column rounded to ``scale`` decimals.
+    """Sum of a DOUBLE column, added up as DECIMAL and rounded once to ``scale`` decimals.
 
-    A raw floating-point sum changes in its last bits with the order in which
-    partitions are combined; rounding the final value (not every row) keeps the
-    hot path a primitive double add inside codegen while making reruns and
-    incremental merges reproduce the same number.  NaN still propagates.
-    ``scale=None`` returns the raw sum.
+    A floating-point sum changes with the order in which partitions are
+    combined; decimals of six places add up exactly, so the result is the same
+    for any partitioning.  A value that no such decimal holds (NaN, infinite, over
+    1e21) makes the sum a floating-point one, in which NaN propagates.
+    ``scale=None`` returns the raw floating-point sum.
     """
-    total = F.sum(column)
-    return total if scale is None else F.round(total, scale)
+    value = F.col(column) if isinstance(column, str) else column
+    raw = F.sum(value)
+    if scale is None:
+        return raw
+    exact = value.cast("double").try_cast("decimal(27,6)")
+    odd = F.count_if(value.isNotNull() & exact.isNull())
+    return F.when(odd > 0, F.round(raw, scale)).otherwise(F.round(F.sum(exact), scale).cast("double"))

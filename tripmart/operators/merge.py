@@ -27,10 +27,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A MERGE scope lists partitions on the driver; calendar months of a delta are
-# a few dozen, this bound only guards against a wrongly chosen scope column.
-MAX_SCOPE_PARTITIONS = 100_000
-
 _T, _S = "t__", "s__"
 _IN_T, _IN_S = "__target_row", "__source_row"
 
@@ -44,12 +40,31 @@ class MergeResult:
         """Merged rows plus the untouched target partitions (the complete new table)."""
         if self.scope is None:
             return self.merged
-        return target.filter(~_in_scope(self.scope)).unionByName(self.merged)
+        return target.filter(~any_of(self.scope)).unionByName(self.merged)
+
 
+def any_of(parts: list[dict[str, object]]) -> Column:
+    """Whether a row lies in one of the partitions (null-safe), as flat ``IN`` lists.
 
-def _in_scope(scope: list[dict[str, object]]) -> Column:
-    terms = [reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in part.items()]) for part in scope]
-    return reduce(lambda a, b: a | b, terms) if terms else F.lit(False)
+    Partitions that agree in all columns but the last share one list, and the
+    lists are OR-ed pairwise, so thousands of partitions make a shallow predicate.
+    """
+    if not parts:
+        return F.lit(False)
+    *outer, last = parts[0]
+    lists: dict[tuple, list[object]] = {}
+    for part in parts:
+        lists.setdefault(tuple(part[c] for c in outer), []).append(part[last])
+    terms = []
+    for prefix, values in lists.items():
+        known = [v for v in values if v is not None]
+        hit = F.coalesce(F.col(last).isin(known), F.lit(False)) if known else F.lit(False)
+        if len(known) < len(values):
+            hit = hit | F.col(last).isNull()
+        terms.append(reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(outer, prefix, strict=True)], hit))
+    while len(terms) > 1:
+        terms = [reduce(lambda a, b: a | b, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def validate_source(
@@ -59,7 +74,7 @@ def validate_source(
 
     Counts per key — a partial aggregate, so a hot key is collapsed map-side —
     then folds the counts per scope value.  Only the per-partition summary
-    (bounded, checked) reaches the driver.
+    reaches the driver.
     """
     scope_cols = list(scope_cols or [])
     # Count per key alone (a key repeated under two scope values is still a
@@ -68,9 +83,7 @@ def validate_source(
         F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in scope_cols]
     )
     summary = per_key.groupBy(*scope_cols).agg(F.max("n").alias("max_n"))
-    rows = summary.limit(MAX_SCOPE_PARTITIONS + 1).collect()
-    if len(rows) > MAX_SCOPE_PARTITIONS:
-        raise ValueError(f"merge scope {scope_cols} has more than {MAX_SCOPE_PARTITIONS} values")
+    rows = summary.collect()
     if any((r.max_n or 0) > 1 for r in rows):
         raise ValueError(f"MERGE source has duplicate keys on {list(keys)}")
     if not scope_cols:
@@ -79,10 +92,8 @@ def validate_source(
 
 
 def touched_partitions(source: DataFrame, scope_cols: Sequence[str]) -> list[dict[str, object]]:
-    """Distinct values of the scope columns in ``source`` (bounded, checked)."""
-    rows = source.select(*scope_cols).distinct().limit(MAX_SCOPE_PARTITIONS + 1).collect()
-    if len(rows) > MAX_SCOPE_PARTITIONS:
-        raise ValueError(f"merge scope {scope_cols} has more than {MAX_SCOPE_PARTITIONS} values")
+    """Distinct values of the scope columns in ``source``."""
+    rows = source.select(*scope_cols).distinct().collect()
     return [r.asDict() for r in rows]
 
 
@@ -96,7 +107,9 @@ def dedupe_source(source: DataFrame, keys: Sequence[str], latest_by: Sequence[st
     if not latest_by:
         raise ValueError("on_duplicate='dedupe' needs latest_by columns")
     rest = [c for c in source.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*latest_by)).alias("__row")
+    # All other columns settle ties, so that reruns pick the same row.
+    order = [*latest_by, *[c for c in rest if c not in latest_by]]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
     return source.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*source.columns)
 
 
@@ -128,7 +141,7 @@ def upsert(
     else:
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     if scope is not None:
-        target = target.filter(_in_scope(scope))
+        target = target.filter(any_of(scope))
     s = source.select(*[F.col(c).alias(_S + c) for c in columns], F.lit(True).alias(_IN_S))
     t = target.select(*[F.col(c).alias(_T + c) for c in columns], F.lit(True).alias(_IN_T))
 

@@ -42,11 +42,10 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ..operators.merge import any_of
 from ..schemas import COMMITS
 
 COMMIT_COL = "commit_id"
-# Bound on partitions one delete may rewrite (their values go through the driver).
-MAX_REWRITE_PARTITIONS = 100_000
 WHOLE_TABLE = "*"
 APPEND, OVERWRITE, DELETE, REPLACE = "append", "overwrite", "delete", "replace"
 
@@ -145,7 +144,7 @@ def _partition_match(paths: Iterable[str], schema: StructType | None) -> Column:
     terms = []
     for path in paths:
         conds = [
-            F.col(k) == (F.lit(v).cast(types[k]) if k in types else F.lit(v))
+            F.col(k).eqNullSafe(F.lit(v).cast(types[k]) if k in types else F.lit(v))
             for k, v in _parse_path(path).items()
         ]
         terms.append(reduce(lambda a, b: a & b, conds))
@@ -260,15 +259,19 @@ class VersionedTable:
     def high_water_mark(self):
         """Max watermark value over the live commits, from the log (no data scan).
 
-        Falls back to ``MAX(column)`` over the table when a live commit predates
-        watermark bookkeeping.  Returns a value of the column's type, or None.
+        Falls back to ``MAX(column)`` over the table when a live commit was partly
+        superseded or predates watermark bookkeeping.  Returns a value of the column's type, or None.
         """
         if not self.watermark_col:
             raise ValueError("table has no watermark column")
         commits = self.commits()
         if not commits:
             return None
-        live = {cid for cid, _ in live_files(commits, commits[-1].commit_id)}
+        files = live_files(commits, commits[-1].commit_id)
+        live = {cid for cid, _ in files}
+        if any(dead is not None for _, dead in files):
+            # The row that set a commit's mark may lie in a partition that was rewritten since.
+            return self.as_of().agg(F.max(self.watermark_col)).first()[0]
         marks = [c.high_water_mark for c in commits if c.commit_id in live and (c.rows or 0) > 0]
         if any(c.high_water_mark is None and (c.rows or 0) > 0 for c in commits if c.commit_id in live):
             return self.as_of().agg(F.max(self.watermark_col)).first()[0]
@@ -308,7 +311,6 @@ class VersionedTable:
         if self.watermark_col:
             stats.append(F.max(self.watermark_col).cast("string").alias("hwm"))
         observation = Observation(f"commit_{commit_id}_{uuid.uuid4().hex}")
-        out = out.observe(observation, *stats)
         if self.partition_by:
             # Rebalance on the partition columns: each task writes few table
             # partitions (no small-file explosion) and AQE splits any hot
@@ -316,6 +318,8 @@ class VersionedTable:
             out = out.hint("rebalance", *self.partition_by)
         if self.partition_by or self.sort_by:
             out = out.sortWithinPartitions(*self.partition_by, *self.sort_by)
+        # Observed in the write's own stage: a stage below a shuffle that ran again would count twice.
+        out = out.observe(observation, *stats)
         writer = out.write.mode("overwrite").option("compression", self.compression)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -375,18 +379,12 @@ class VersionedTable:
             keyed.filter(doomed)
             .select(*[F.col(f"__p_{n}").alias(n) for n in exprs])
             .distinct()
-            .limit(MAX_REWRITE_PARTITIONS + 1)
             .collect()
         )
         if not rows:
             return None
-        if len(rows) > MAX_REWRITE_PARTITIONS:
-            raise ValueError(f"delete touches more than {MAX_REWRITE_PARTITIONS} partitions")
         touched = [r.asDict() for r in rows]
-        in_scope = reduce(
-            lambda a, b: a | b,
-            [reduce(lambda x, y: x & y, [F.col(f"__p_{k}").eqNullSafe(F.lit(v)) for k, v in t.items()]) for t in touched],
-        )
+        in_scope = any_of([{f"__p_{k}": v for k, v in t.items()} for t in touched])
         keep = keyed.filter(in_scope & ~doomed).select(*self.schema.fieldNames())
         return self._write_commit(keep, DELETE, [partition_path(t) for t in touched], source_commit)
 
@@ -442,9 +440,12 @@ class VersionedTable:
     def as_of(self, commit_id: int | None = None, with_commit_id: bool = False) -> DataFrame:
         """The table as of ``commit_id`` (latest when None); typed empty if none.
 
-        ``with_commit_id`` keeps the commit that wrote each row.
+        ``with_commit_id`` keeps the commit that wrote each row.  A version
+        that was never committed is an error.
         """
         commits = self.commits()
+        if commit_id is not None and all(c.commit_id != commit_id for c in commits):
+            raise ValueError(f"no version {commit_id} of this table")
         cols = self.schema.fieldNames() + ([COMMIT_COL] if with_commit_id else [])
         if not commits:
             return self._empty_with(with_commit_id)

@@ -19,6 +19,7 @@ batch reader (``sources.bronze.read_bronze``), which groups and casts them.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,8 +60,10 @@ def ingest_available(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         silver = Lakehouse.at(spark, lake_root).silver  # fresh view of the commit log
-        done = silver.last_source_commit()
-        if done is not None and batch_id <= done:
+        # Batch ids start again with each checkpoint, whose query id stays with it: both name a batch.
+        query_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or checkpoint
+        batch_id += zlib.crc32(query_id.encode()) << 31
+        if any(c.source_commit == batch_id for c in silver.commits()):
             return  # replay of a batch that already committed
         cleaned = clean_trips(batch, excluded)
         if silver.latest_commit_id() is None:
