@@ -127,6 +127,19 @@ def test_latest_two_rule_is_available(spark, tmp_root):
     assert lake.gold.as_of().count() == 4
 
 
+def test_column_names_match_whatever_their_case(spark, tmp_root):
+    root = f"{tmp_root}/raw"
+    batch(spark, 0, 2).withColumnRenamed("Airport_fee", "airport_fee").withColumn(
+        "airport_fee", F.lit(3).cast("bigint")
+    ).coalesce(1).write.parquet(f"{root}/year=2023")
+    batch(spark, 10, 2).coalesce(1).write.parquet(f"{root}/year=2024")
+    report = {r.column: r for r in schema_drift(spark, list_files(spark, raw_glob(root))).collect()}
+    assert "airport_fee" not in report
+    assert (report["Airport_fee"].drift, report["Airport_fee"].files) == ("retyped", 2)
+    fees = [r.Airport_fee for r in read_bronze(spark, raw_glob(root)).collect()]
+    assert len(fees) == 4 and fees.count(3.0) >= 2
+
+
 def test_bronze_files_with_missing_column_and_int64_ids(spark, tmp_root):
     root = f"{tmp_root}/raw"
     batch(spark, 0, 2).drop("cbd_congestion_fee").coalesce(1).write.parquet(f"{root}/year=2023")

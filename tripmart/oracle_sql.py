@@ -371,6 +371,31 @@ SELECT * REPLACE (
 FROM trips
 """
 
+# The landed files as catalog.py writes them: 1995 lacks the CBD fee, 1996 stores int64 location ids.
+SCHEMA_DRIFT = f"""
+{with_(TRIPS)},
+landed AS (SELECT DISTINCT year(tpep_pickup_datetime) AS y FROM trips),
+wanted (name, kind) AS (VALUES
+  ('VendorID', 'int32'), ('tpep_pickup_datetime', 'timestamp[us]'), ('tpep_dropoff_datetime', 'timestamp[us]'),
+  ('passenger_count', 'int64'), ('trip_distance', 'double'), ('RatecodeID', 'int64'),
+  ('store_and_fwd_flag', 'string'), ('PULocationID', 'int32'), ('DOLocationID', 'int32'),
+  ('payment_type', 'int64'), ('fare_amount', 'double'), ('extra', 'double'), ('mta_tax', 'double'),
+  ('tip_amount', 'double'), ('tolls_amount', 'double'), ('improvement_surcharge', 'double'),
+  ('total_amount', 'double'), ('congestion_surcharge', 'double'), ('Airport_fee', 'double'),
+  ('cbd_congestion_fee', 'double')),
+stored AS (
+  SELECT name, kind, y,
+         CASE WHEN name IN ('PULocationID', 'DOLocationID') AND y = 1996 THEN 'int64' ELSE kind END AS found
+  FROM wanted CROSS JOIN landed
+  WHERE NOT (name = 'cbd_congestion_fee' AND y = 1995))
+SELECT name AS "column", COUNT(*) AS folders, string_agg(DISTINCT found, ',' ORDER BY found) AS types,
+       kind AS expected_type,
+       CASE WHEN COUNT(*) < (SELECT COUNT(*) FROM landed) THEN 'missing'
+            WHEN COUNT(DISTINCT found) > 1 OR MIN(found) <> kind THEN 'retyped' ELSE 'ok' END AS drift
+FROM stored
+GROUP BY name, kind
+"""
+
 LANDING = """
 years AS (SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS data_year FROM orders),
 run AS (

@@ -121,19 +121,23 @@ def expected_types(spark: SparkSession, schema: StructType = BRONZE) -> DataFram
 
 
 def schema_drift(spark: SparkSession, files: Sequence[str], schema: StructType = BRONZE) -> DataFrame:
-    """Per column: files carrying it, its types, and the drift kind.
+    """Per column: files and folders carrying it, its types, and the drift kind.
 
     ``missing`` = absent from some files (read as NULL there), ``added`` = not
     in the expected schema (dropped on read), ``retyped`` = some file stores a
-    different type (cast on read), ``ok`` otherwise.
+    different type (cast on read), ``ok`` otherwise.  Names that differ only in
+    case are one column, as they are for Spark's scan.
     """
     n_files = len(files)
-    found = file_schemas(spark, files)
-    per_col = found.groupBy("column").agg(
+    found = file_schemas(spark, files).withColumn("name", F.lower("column"))
+    per_col = found.groupBy("name").agg(
+        F.min("column").alias("stored"),
         F.countDistinct("file").alias("files"),
+        F.countDistinct(F.regexp_replace("file", "/[^/]*$", "")).alias("folders"),
         F.array_sort(F.collect_set("type")).alias("types"),
     )
-    joined = per_col.join(expected_types(spark, schema), "column", "full_outer")
+    wanted = expected_types(spark, schema).withColumn("name", F.lower("column"))
+    joined = per_col.join(wanted, "name", "full_outer")
     kind = (
         F.when(F.col("expected_type").isNull(), F.lit("added"))
         .when(F.coalesce(F.col("files"), F.lit(0)) < n_files, F.lit("missing"))
@@ -144,9 +148,10 @@ def schema_drift(spark: SparkSession, files: Sequence[str], schema: StructType =
         .otherwise(F.lit("ok"))
     )
     return joined.select(
-        "column",
+        F.coalesce("column", "stored").alias("column"),
         F.coalesce(F.col("files"), F.lit(0)).cast("bigint").alias("files"),
         F.lit(n_files).cast("bigint").alias("total_files"),
+        F.coalesce(F.col("folders"), F.lit(0)).cast("bigint").alias("folders"),
         F.coalesce(F.col("types"), F.array().cast("array<string>")).alias("types"),
         "expected_type",
         kind.alias("drift"),
@@ -165,9 +170,11 @@ def read_bronze(spark: SparkSession, path: str, schema: StructType = BRONZE) ->
     if not files:
         return spark.createDataFrame([], schema)
     found = file_schemas(spark, files)
-    wanted = expected_types(spark, schema)
+    # Matched like Spark's scan does, whatever the case; reported under the expected name.
+    found = found.withColumn("name", F.lower("column")).drop("column")
+    wanted = expected_types(spark, schema).withColumn("name", F.lower("column"))
     signature = (
-        found.join(wanted, "column")
+        found.join(wanted, "name")
         .filter(F.col("type") != F.col("expected_type"))
         .groupBy("file")
         .agg(F.array_sort(F.collect_set(F.concat_ws(":", "column", "type"))).alias("sig"))
