@@ -48,13 +48,19 @@ def _windows(delta: int, i: int, tau: int) -> range:
     return range(max(-i, delta - rest), min(i, delta + rest) + 1)
 
 
-def _signature(line: Column) -> Column:
-    """A line's length and how often each COUNTED letter occurs, modulo 16, four bits each."""
-    total = F.length(line).bitwiseAND(F.lit(15)).cast("bigint")
+def _with_signature(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``sig``: a line's length and its count of each COUNTED letter, modulo 16, four bits each.
+
+    Counted letters are taken out, one column a step, so each search has less to read.
+    """
+    total = F.length("line").bitwiseAND(F.lit(15)).cast("bigint")
+    rest = "line"
     for i, letter in enumerate(COUNTED, 1):
-        count = F.length(line) - F.length(F.replace(line, F.lit(letter), F.lit("")))
+        lines = lines.withColumn(f"__r{i}", F.replace(F.col(rest), F.lit(letter), F.lit("")))
+        count = F.octet_length(rest) - F.octet_length(f"__r{i}")  # the letters are one byte each
         total = total.bitwiseOR(F.shiftleft(count.bitwiseAND(F.lit(15)).cast("bigint"), 4 * i))
-    return total
+        rest = f"__r{i}"
+    return lines.withColumn("sig", total)
 
 
 def _letters_apart(a: Column, b: Column) -> Column:
@@ -76,15 +82,19 @@ def _parity(parts: Column) -> Column:
 def _keys(line: Column, length: Column, tau: int) -> tuple[Column, Column]:
     """Keys a line is stored under, and keys it looks up."""
     stored, looked = [], []
+    base, least = (F.floor((length - d) / (tau + 1)).cast("int") for d in (0, tau))
     for i in range(tau + 1):
+        # The stretch that holds segment i at all its places, so that each is cut from a short string.
+        begin = F.greatest(least * i + 1 - i, F.lit(1))
+        stretch = F.substring(line, begin, base + 4 * i + 4)
         start, size = _bounds(length, i, tau)
-        stored.append(F.xxhash64(F.lit(i), length, F.substring(line, start, size)))
+        stored.append(F.xxhash64(F.lit(i), length, F.substring(stretch, start - begin + 1, size)))
         for delta in range(tau + 1):
             short = (length - delta).cast("int")
             at, size = _bounds(short, i, tau)
             for shift in _windows(delta, i, tau):
                 # Never before the line's start: segments before this one are longer than the shift.
-                looked.append(F.xxhash64(F.lit(i), short, F.substring(line, at + shift, size)))
+                looked.append(F.xxhash64(F.lit(i), short, F.substring(stretch, at + shift - begin + 1, size)))
     return F.array(*stored), F.array(*looked)
 
 
@@ -194,7 +204,7 @@ def _candidates(docs: DataFrame, tau: int, min_chars: int) -> DataFrame:
     lines = _lines(docs, min_chars)
     stored, looked = _keys(F.col("line"), F.col("length"), tau)
     # The keys follow from the line: distinct keeps one row for equal lines, mostly before the shuffle.
-    rows = lines.select("h", "length", _signature(F.col("line")).alias("sig"), stored.alias("stored"), looked.alias("looked"))
+    rows = _with_signature(lines).select("h", "length", "sig", stored.alias("stored"), looked.alias("looked"))
     rows = staged(rows.distinct().drop("length"), "line-keys")  # read for both sides
     left = rows.select(F.explode("looked").alias("key"), F.col("h").alias("ha"), F.col("sig").alias("sa"))
     right = rows.select(F.explode("stored").alias("key"), F.col("h").alias("hb"), F.col("sig").alias("sb"))
