@@ -115,6 +115,20 @@ def test_base_spans():
         text = "".join(rng.choices(bits, k=rng.randint(1, 14)))
         assert pii.detect(text) == slow_pii(text), text
     assert pii.detect("a" * 200_000 + "1" * 200_000) == []
+    zeros = "0" * 5000 + "1.2.3.4"  # more digits than int() reads
+    assert pii.detect(zeros) == [("ip", 0, len(zeros))]
+
+
+def test_added_spans_never_overlap_base_ones():
+    rng = random.Random(8)
+    bits = ["bob@ex.org", "ann [at] ex [dot] org", " at ", " dot ", "1.2.3.4", " ", "，", "x", "１.2.3.4", "(at)", "q@w.e [dot] r"]
+    for _ in range(2000):
+        text = "".join(rng.choices(bits, k=rng.randint(1, 12)))
+        base, spans = pii.find(text)
+        tape = pii.deobfuscate(text)
+        moved = [(k, *tape.source(s, e)) for k, s, e in pii.detect(tape.text)] if tape else []
+        new = [x for x in moved if not any(x[0] == k and x[1] < b and a < x[2] for k, a, b in base)]
+        assert sorted(spans) == sorted(base + new), text
 
 
 @pytest.mark.parametrize(

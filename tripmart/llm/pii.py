@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -56,7 +57,8 @@ def detect(text: str) -> list[Span]:
     """Leftmost non-overlapping identifiers of each kind, by kind and start."""
     found: list[Span] = [("email", s, e) for s, e in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text) if "." in text else ():
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+        parts = [x.lstrip("0") or "0" for x in m[0].split(".")]
+        if all(len(x) <= 3 and int(x) <= 255 for x in parts):
             found.append(("ip", *m.span()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:
@@ -168,9 +170,12 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     spans = list(base)
     tape = deobfuscate(text)
     if tape is not None:
+        # Spans of a kind are sorted and apart: only the first one that ends after a start can overlap.
+        taken = {k: [(b, a) for kind, a, b in base if kind == k] for k in KINDS}
         for kind, s, e in detect(tape.text):
             start, end = tape.source(s, e)
-            if not any(k == kind and start < b and a < end for k, a, b in base):
+            at = bisect_left(taken[kind], (start + 1,))
+            if at == len(taken[kind]) or taken[kind][at][1] >= end:
                 spans.append((kind, start, end))
         spans.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
     return base, spans
