@@ -191,6 +191,22 @@ def test_packing(spark):
         assert sum(p.length for p in ps) <= 4096
 
 
+def test_words_encode_as_whole_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    encoder = packing.WordEncoder(packing.tokenizer_path())
+    rng = random.Random(11)
+    bits = ["Word", "x", "QUEUE", "don't", "it'S", "42", ".", ",;", "?!", "é", "e\u0301", "h\u0331", "H\u0331", "İ", "ΣΑΣ", "ß", "你好", "😀", "\u200b",
+            "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>.", "\u00a0", "\u2003", "\x1c", "\x85", "\u0301", "\x00", "K", "_", "<", "Ñandú", "µª", "ŉ", "Ǆ", "ɏ"]
+    for _ in range(3000):
+        text = "".join(rng.choice(bits) + rng.choice(["", "", " ", "\n", "\t ", "\r\x0b\x0c"]) for _ in range(rng.randint(0, 12)))
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        got = encoder.encode(text.encode())
+        assert got == b"".join(x.to_bytes(4, "little") for x in ids), text.encode("unicode_escape")
+
+
 def test_first_fit_decreasing():
     import numpy as np
 

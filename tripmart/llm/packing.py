@@ -10,8 +10,10 @@ a tournament tree over the sequences' free room finds in a logarithm of steps.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,10 +27,9 @@ SEQUENCE = 4096
 END_ID = 2
 GROUP_PIECES = 2000
 SEED = 7
-CACHED_WORDS = 500_000  # words whose ids a worker keeps
+CACHED_WORDS = 500_000  # words, and parts of words, whose ids a worker keeps
 
-_tokenizers: dict[str, object] = {}
-_words: dict[str, dict[bytes, bytes]] = {}
+_encoders: dict[str, WordEncoder] = {}
 
 
 def tokenizer_path() -> str:
@@ -38,35 +39,69 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _encoder(path: str | None):
-    path = path or tokenizer_path()
-    if path not in _tokenizers:
+class _Kept(dict):
+    """What ``make`` gave for each key so far, for ``CACHED_WORDS`` keys at most."""
+
+    def __init__(self, make: Callable[[str | bytes], bytes]) -> None:
+        self.make = make
+
+    def __missing__(self, key: str | bytes) -> bytes:
+        made = self.make(key)
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        self[key] = made
+        return made
+
+
+class WordEncoder:
+    """Ids of words by a tokenizer that lower-cases, drops white space and never joins characters over it.
+
+    Words and their parts (what the tokenizer's own splitting leaves) are looked
+    up once known, so an unseen word of seen parts costs no merging.
+    """
+
+    def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _words[path] = {}
-    return _tokenizers[path], _words[path]
+        self.whole = Tokenizer.from_file(path)
+        self.normalizer, self.splitter = self.whole.normalizer, self.whole.pre_tokenizer
+        self.model = self.whole.model
+        self.marks = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # Latin letters that stay one letter in lower case, and how the tokenizer writes each.
+        latin = [c for c in map(chr, range(0x250)) if c.isalpha() and c.lower().isalpha()]
+        self.written = {ord(c): self.splitter.pre_tokenize_str(c)[0][0] for c in latin if not c.isascii()}
+        self.plain = re.compile(f"([{''.join(latin)}]+)([.,;:!?]*)")
+        self.words, self.parts = _Kept(self._word), _Kept(self._part)
+
+    def _part(self, part: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(part)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        plain = self.plain.fullmatch(text)
+        if plain:  # letters are a part, and the signs after them another
+            letters, signs = plain.groups()
+            found = self.parts[letters.lower().translate(self.written)]
+            return found + self.parts[signs] if signs else found
+        if any(m in text for m in self.marks):  # cut out by the tokenizer before anything else
+            ids = self.whole.encode(text, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        split = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(text))
+        return b"".join([self.parts[p] for p, _ in split])
+
+    def encode(self, text: bytes) -> bytes:
+        """The ids of a UTF-8 text as little-endian 32-bit numbers."""
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 def encode_texts(texts: list[bytes], path: str | None = None) -> list[bytes]:
-    """The ids of each UTF-8 text as little-endian 32-bit numbers.
-
-    The vocabulary never joins characters over white space, so texts are
-    encoded word by word, and words that were seen before are looked up.
-    """
-    tokenizer, known = _encoder(path)
-    split = [t.split() for t in texts]
-    new = list({w for ws in split for w in ws} - known.keys())
-    if len(known) + len(new) > CACHED_WORDS:
-        known.clear()
-        new = list({w for ws in split for w in ws})
-    for at in range(0, len(new), 4096):
-        some = new[at : at + 4096]
-        coded = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in some], add_special_tokens=False)
-        for w, e in zip(some, coded, strict=True):
-            known[w] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(known.__getitem__, ws)) for ws in split]
+    """The ids of each UTF-8 text as little-endian 32-bit numbers, by the vocabulary file at ``path``."""
+    path = path or tokenizer_path()
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return [_encoders[path].encode(t) for t in texts]
 
 
 def token_pieces(docs: DataFrame, *, path: str | None = None, sequence: int = SEQUENCE) -> DataFrame:
