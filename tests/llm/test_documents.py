@@ -83,6 +83,15 @@ def test_syncmers(spark):
     assert [int(x.split(":")[1], 16) for x in got[7].fingerprint.split(",")] == want
 
 
+def test_short_texts_without_syncmers_have_an_anchor(spark):
+    texts = [" ".join(f"t{i}w{j}" for j in range(9 + i % 6)) for i in range(60)]  # 9 to 14 words, no word in common
+    got = syncmers.fingerprints(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)).collect()
+    assert all(r.fingerprint and r.near_next < 1 for r in got) and len({r.fingerprint for r in got}) == len(texts)
+    longer = [(2 * i + j, t + " more" * j, "en", "s", 0) for i, t in enumerate(texts) for j in (0, 1)]
+    near = {r.doc_id: r.near_next for r in syncmers.fingerprints(spark.createDataFrame(longer, DOCS)).collect()}
+    assert sum(near[2 * i + 1] > 0 for i in range(len(texts))) > 40  # a word added at the end moves few anchors
+
+
 REGEX = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -4,7 +4,9 @@ A text is lower-cased (A-Z) and cut into words.  Every run of K (9) words is a
 k-mer and has K - S + 1 (8) inner s-mers of S (2) words; it is a closed syncmer when
 its least s-mer hash lies at its first or last s-mer.  Whether a k-mer is chosen
 depends on its own words alone, so equal passages give equal anchors wherever
-they stand.  An anchor is a k-mer's hash with its word position.
+they stand.  An anchor is a k-mer's hash with its word position.  Of 15 words on
+at least one k-mer is chosen; a shorter text without a chosen one is anchored at
+its k-mer of least hash.
 
 Positional matching compares texts by links: an anchor together with the next
 one and the distance between them.  Likeness is the Jaccard similarity of the
@@ -28,8 +30,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with ``out``: the anchors ``array<struct<h: bigint, p: int>>`` of column ``text``, by position.
 
-    A text of 1 to 8 words has one anchor, the hash of them all; a text
-    without words (or NULL) has none.
+    A text of 1 to 8 words has one anchor, the hash of them all; a longer one
+    has its closed syncmers, or its k-mer of least hash if there are none; a
+    text without words (or NULL) has no anchor.
     """
     t = lambda i: f"__{out}_{i}"
     df = df.withColumn(t("w"), F.transform(words(F.translate(text, UPPER, LOWER)), lambda w: F.xxhash64(w)))
@@ -54,12 +57,14 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     chosen = F.zip_with(F.col(t("m")), edge, lambda m, e: m == e)
     picked = F.zip_with(F.col(t("h")), chosen, lambda h, c: F.when(c, h))
     marks = F.transform(picked, lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    anchors = F.filter(marks, lambda x: x["h"].isNotNull())
+    df = df.withColumn(t("a"), F.filter(marks, lambda x: x["h"].isNotNull()))
+    every = F.transform(t("h"), lambda h, i: F.struct(h.alias("h"), i.alias("p")))
+    anchors = F.when(F.size(t("a")) == 0, F.array(F.array_min(every))).otherwise(F.col(t("a")))
     whole = F.array(F.struct(F.xxhash64(t("w")).alias("h"), F.lit(0).alias("p")))
     none = F.slice(whole, 1, 0)
     short = F.when(F.size(t("w")) == 0, none).otherwise(whole)
     df = df.withColumn(out, F.when(F.size(t("w")) < K, short).otherwise(anchors))
-    return df.drop(t("w"), t("s"), t("h"), t("m"))
+    return df.drop(t("w"), t("s"), t("h"), t("m"), t("a"))
 
 
 def as_string(anchors: Column) -> Column:
