@@ -272,6 +272,62 @@ def test_license_forms(spark):
     assert got[2].n_license_lines == 1 and got[3].licenses == ""
 
 
+def test_whole_licenses(spark):
+    from pathlib import Path
+
+    folder = Path(licenses.__file__).parent / "license_texts"
+    apache = (folder / "Apache-2.0.txt").read_text()
+    bsd = """Copyright 2019 The Authors. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are
+met:
+
+   * Redistributions of source code must retain the above copyright
+notice, this list of conditions and the following disclaimer.
+   * Redistributions in binary form must reproduce the above
+copyright notice, this list of conditions and the following disclaimer
+in the documentation and/or other materials provided with the
+distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS
+"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR
+A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+OWNER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT
+LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY
+THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+    names = """   * Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission."""
+    mit0 = licenses.MIT_TEXT.replace(", subject to the following conditions:", ".").split("\n")
+    cases = [
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) Microsoft Corporation.\n\n" + licenses.MIT_TEXT),
+        ("MIT", "MIT License\n(c) Facebook, Inc. and its affiliates.\n" + licenses.MIT_TEXT),
+        ("MIT", "© The Authors\n" + licenses.MIT_TEXT),
+        ("MIT-0", "\n".join([mit0[0], mit0[2]])),
+        ("BSD-2-Clause", "BSD 2-Clause License\n" + bsd % ""),
+        ("BSD-3-Clause", bsd % names),
+        ("BSD-3-Clause", (bsd % names).replace("reserved.\n", "reserved.\nAll rights reserved.\n", 1).replace("OWNER", "HOLDER")),
+        ("0BSD", licenses.ISC_TEXT.replace(", provided that the above copyright notice and this permission notice appear in all copies", "")),
+        ("Apache-2.0", apache.replace("[yyyy] [name of copyright owner]", "2020 A. Person")),
+        ("Apache-2.0", " ".join(apache[: apache.index("END OF TERMS")].split())),
+        (None, apache.replace("(c) You must retain", "(c) You may drop")),
+        (None, licenses.MIT_TEXT.replace("without restriction", "with restriction")),
+    ]
+    files = sorted(folder.glob("*.txt"))
+    assert len(files) == 12
+    cases += [(f.stem, f.read_text()) for f in files]
+    rows = [(i, t, "en", "s", 0) for i, (_, t) in enumerate(cases)]
+    got = {r.doc_id: r.whole_license for r in licenses.scan_licenses(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[i] for i in range(len(cases))] == [n for n, _ in cases]
+
+
 def test_toxicity_learns_sentences():
     rng = random.Random(8)
     calm, rude = [f"word{chr(97 + i)}" for i in range(26)], ["idiot", "scumbag"]

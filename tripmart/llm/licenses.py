@@ -5,18 +5,20 @@ spellings made equal, white space and punctuation dropped.  The digest of the
 form is joined with the digests of known licences.  Entire documents are looked
 up, and so is each line, since licence notices stand as lines of their own.
 
-The table of known licences has a fixed number of rows (``KNOWN``), which is
+The table of known licences has a fixed number of rows (``ALL_KNOWN``), which is
 why it is broadcast.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged
+from .license_texts import whole_texts
 
 # Canonical names and texts of known licences and licence notices.
 MIT_TEXT = (
@@ -67,6 +69,7 @@ KNOWN: list[tuple[str, str]] = [
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
 ]
+ALL_KNOWN = KNOWN + whole_texts(MIT_TEXT, ISC_TEXT)
 
 # Spellings that mean the same, after lower-casing.
 SPELLINGS: list[tuple[str, str]] = [
@@ -80,23 +83,36 @@ SPELLINGS: list[tuple[str, str]] = [
     ("(c)", "©"),
 ]
 COPYRIGHT_LINE = r"^[^\p{L}\p{N}\n]*(copyright|©|\(c\))[^\n]*([0-9]{4}|all rights reserved)[^\n]*$"
+# Lines without a year.  A bare (c) begins one only where it is not the third item after (a) and (b).
+YEARLESS_LINE = r"^[^\p{L}\p{N}\n]*(copyright[\x20\t]*(©|\(c\))|©)[^\n]*$"
+BARE_LINE = r"^[^\p{L}\p{N}\n]*\(c\)[^\n]*$"
 NOISE = r"[^\p{L}\p{N}©]+"
 
 
 def canonical_lines(text: Column) -> Column:
     """The normal form of each line of a text; NULL counts as empty.
 
-    Every step stays within a line, so the form of the whole text is the forms joined.
+    Every step stays within a line, so the form of the whole text is the forms
+    joined; only whether a bare (c) is a list item is asked of the whole text.
     """
 
-    def form(line: Column) -> Column:
-        same = reduce(lambda t, s: F.replace(t, F.lit(s[0]), F.lit(s[1])), SPELLINGS, line)
-        return F.when(line.rlike(COPYRIGHT_LINE), "").otherwise(F.regexp_replace(same, NOISE, ""))
+    def form(*dropped: str) -> Callable[[Column], Column]:
+        def one(line: Column) -> Column:
+            same = reduce(lambda t, s: F.replace(t, F.lit(s[0]), F.lit(s[1])), SPELLINGS, line)
+            drop = reduce(lambda a, b: a | b, [line.rlike(x) for x in dropped])
+            return F.when(drop, "").otherwise(F.regexp_replace(same, NOISE, ""))
 
-    return F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), "\n"), form)
+        return one
+
+    low = F.lower(F.coalesce(text, F.lit("")))
+    lines = F.split(low, "\n")
+    listed = F.transform(lines, form(COPYRIGHT_LINE, YEARLESS_LINE))
+    return F.when(F.contains(low, F.lit("(b)")), listed).otherwise(
+        F.transform(lines, form(COPYRIGHT_LINE, YEARLESS_LINE, BARE_LINE))
+    )
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] = ALL_KNOWN) -> DataFrame:
     """``(digest, license, form_length)`` of the known texts, one row per digest; empty forms are left out."""
     rows = spark.createDataFrame(known, "license string, text string")
     forms = rows.select("license", F.array_join(canonical_lines(F.col("text")), "").alias("form")).where("form <> ''")
@@ -105,7 +121,7 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) ->
     )
 
 
-def scan_licenses(docs: DataFrame, *, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def scan_licenses(docs: DataFrame, *, known: list[tuple[str, str]] = ALL_KNOWN) -> DataFrame:
     """One row per document: doc_id, digest, whole_license, n_license_lines and licenses.
 
     ``digest`` is that of the entire text's form; ``whole_license`` the licence
@@ -115,8 +131,9 @@ def scan_licenses(docs: DataFrame, *, known: list[tuple[str, str]] = KNOWN) -> D
     same result each; a NULL doc_id is a document like others; other columns
     are ignored; an empty table gives no rows.
     """
-    table = known_digests(docs.sparkSession, known)
-    longest = table.agg(F.max("form_length")).first()[0] or 0
+    rows = known_digests(docs.sparkSession, known).collect()  # len(known) at most
+    table = docs.sparkSession.createDataFrame(rows, "digest string, form_length int, license string")
+    lengths = sorted({r["form_length"] for r in rows})
     slim = docs.select(
         "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), canonical_lines(F.col("text")).alias("lines")
     )
@@ -126,10 +143,8 @@ def scan_licenses(docs: DataFrame, *, known: list[tuple[str, str]] = KNOWN) -> D
             "doc_id",
             "th",
             F.sha2("whole", 256).alias("digest"),
-            # A form longer than every known one cannot be equal to any.
-            F.transform(
-                F.filter("lines", lambda x: (x != "") & (F.length(x) <= longest)), lambda x: F.sha2(x, 256)
-            ).alias("line_digests"),
+            # A form of another length than every known one cannot be equal to any.
+            F.transform(F.filter("lines", lambda x: F.length(x).isin(lengths)), lambda x: F.sha2(x, 256)).alias("line_digests"),
         ),
         "license-digests",
     )
