@@ -154,3 +154,12 @@ def test_repeated_rows_and_null_ids(spark):
     long = "this line is long enough to be compared with others"
     got = line_dedup.dedup_lines(docs(spark, [(1, long), (1, long), (None, long), (2, long + "!")])).collect()
     assert sorted((str(r.doc_id), r.text) for r in got) == [("1", ""), ("1", ""), ("2", ""), ("None", long)]
+
+
+def test_exact_repeats_of_shorter_lines(spark):
+    notice = "Released under the MIT License."
+    rows = [(1, f"{notice}\nhead\n{notice}\n--------"), (2, f"own line\n{notice}\n--------\nhead"), (3, f"{notice}!\nown line\nOwn line")]
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(docs(spark, rows)).collect()}
+    assert got[1].text == f"{notice}\nhead\n--------" and got[1].dropped == [2]
+    assert got[2].text == "own line\n--------\nhead" and got[2].dropped == [1]
+    assert got[3].text == f"{notice}!\nOwn line" and got[3].dropped == [1]

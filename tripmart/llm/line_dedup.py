@@ -14,6 +14,9 @@ Alike lines form classes (connected); the first line of a class by (doc_id, text
 hash, line number) stays in its document, all others are dropped.  Equal lines
 are one line for the join, so frequent lines cost one row.
 
+Shorter lines take part in exact repeats only: from ``EXACT_CHARS`` code points
+on if they hold a letter or digit, by one grouped hash and without the join.
+
 A line is identified by a 64-bit hash and its length.
 """
 
@@ -29,6 +32,7 @@ from .components import connected_components
 
 TAU = 2
 MIN_CHARS = 40
+EXACT_CHARS = 6
 # Letters whose counts are compared before the strings are; any letters give right results.
 COUNTED = "eantiorslhdcumg"
 
@@ -98,12 +102,15 @@ def _keys(line: Column, length: Column, tau: int) -> tuple[Column, Column]:
     return F.array(*stored), F.array(*looked)
 
 
-def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``(doc_id, th, pos, line, length, h)`` for each comparable line of ``docs``."""
+def _lines(docs: DataFrame, min_chars: int, exact_chars: int | None = None) -> DataFrame:
+    """``(doc_id, th, pos, line, length, h)`` for each line of ``min_chars``, or of ``exact_chars`` with a letter or digit."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.select("doc_id", F.xxhash64(text).alias("th"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
     lines = lines.withColumn("length", F.length("line"))
-    return lines.where(F.col("length") >= min_chars).withColumn("h", F.xxhash64("line"))
+    wanted = F.col("length") >= min_chars
+    if exact_chars is not None:
+        wanted = wanted | ((F.col("length") >= exact_chars) & F.col("line").rlike(r"[\p{L}\p{N}]"))
+    return lines.where(wanted).withColumn("h", F.xxhash64("line"))
 
 
 def _common_prefix(a: Column, b: Column) -> Column:
@@ -246,14 +253,16 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= SMALL_ROWS else ids
 
 
-def dropped_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def dropped_lines(
+    docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS
+) -> DataFrame:
     """``(doc_id, th, dropped)``: sorted numbers (from 0) of the lines to drop, for documents that have any.
 
     ``th`` is the text's hash; repeated rows (same doc_id and text) count as one document.
     """
     links = line_links(docs, tau=tau, min_chars=min_chars)
     classes = connected_components(links)
-    where = _lines(docs, min_chars).select("doc_id", "th", "pos", "h")
+    where = _lines(docs, min_chars, exact_chars).select("doc_id", "th", "pos", "h")
     where = staged(where, "line-places")
     place = F.struct("doc_id", "th", "pos")
     firsts = where.groupBy("h").agg(F.min(place).alias("first"), F.count("*").alias("n"))
@@ -265,15 +274,18 @@ def dropped_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS
     return late.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("pos")).alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS
+) -> DataFrame:
     """``docs`` with each dropped line taken out of its text, and columns n_lines, n_dropped and dropped.
 
-    Lines are split at newlines; lines under ``min_chars`` code points stay.  A
+    Lines are split at newlines; lines under ``min_chars`` code points go
+    only as exact repeats, those under ``exact_chars`` or without a letter or digit stay.  A
     NULL text stays NULL (no lines), an empty one empty; a document may lose
     all its lines; a NULL doc_id comes first in the order of documents; repeated
     rows are one document and get the same result; an empty table stays empty.
     """
-    lost = staged(dropped_lines(docs, tau=tau, min_chars=min_chars), "line-dropped")
+    lost = staged(dropped_lines(docs, tau=tau, min_chars=min_chars, exact_chars=exact_chars), "line-dropped")
     lost = lost.select(F.struct("doc_id").alias("__key"), F.col("th").alias("__th"), "dropped")
     keyed = docs.withColumns(
         {"__key": F.struct("doc_id"), "__th": F.xxhash64(F.coalesce("text", F.lit("")))}
