@@ -156,6 +156,30 @@ def test_disguises(text, kind, shown):
     assert [k for k, s, e in spans if text[s:e] == shown] == [kind] and set(base) <= set(spans)
 
 
+@pytest.mark.parametrize(
+    ("text", "kind", "shown"),
+    [
+        ("call +1 five five five 123 4567 now", "phone", "+1 five five five 123 4567"),
+        ("call +1 (five five five) 123-4567", "phone", "+1 (five five five) 123-4567"),
+        ("call plus one 706 five five five 0199", "phone", "plus one 706 five five five 0199"),
+        ("call plus four, four, two, oh, seven, nine, four, six, oh, nine", "phone", "plus four, four, two, oh, seven, nine, four, six, oh, nine"),
+        ("card 4111 one one one one 1111 1111 end", "card", "4111 one one one one 1111 1111"),
+        ("card four 111 1111 1111 111 one end", "card", "four 111 1111 1111 111 one"),
+        ("mail john dot q dot smith [at] example [dot] com now", "email", "john dot q dot smith [at] example [dot] com"),
+        ("mail john dot smith at example dot com now", "email", "john dot smith at example dot com"),
+    ],
+)
+def test_mixed_disguises(text, kind, shown):
+    assert [(k, text[s:e]) for k, s, e in pii.find(text)[1]] == [(kind, shown)]
+
+
+def test_short_counts_are_not_identifiers():
+    for text in ("One, two 3 birds (four) at 5 dot 6.", "In 2020 one of 12, two of 1400 and five 300 came.", "a dot b dot c"):
+        assert pii.find(text) == ([], [])
+    long = "one - " * 50_000 + "a dot " * 50_000 + "plus " * 50_000
+    assert pii.find(long) == ([], [])
+
+
 def test_clean_text_has_no_spans():
     assert pii.find("Meet me at noon, at the corner dot by dot. One two three four birds.") == ([], [])
 

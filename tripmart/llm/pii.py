@@ -89,8 +89,15 @@ _HIDDEN = re.compile("[​‌‍⁠﻿­]+")
 _DIGITS = {w: str(d) for d, ws in enumerate("zero,one,two,three,four,five,six,seven,eight,nine".split(",")) for w in [ws]}
 _DIGITS["oh"] = "0"
 _WORD = "(?:" + "|".join(_DIGITS) + ")"
-# Spelled digits count in runs of four or more; "plus" before and "dot" or "point" between belong to a run.
-_SPELLED = re.compile(rf"(?<![^\W_])(?:plus[ -]+)?{_WORD}(?:[ -]+(?:(?:dot|point)[ -]+)?{_WORD}){{3,}}(?![^\W_])", re.IGNORECASE)
+# Spelled digits count beside one another, a numeral or a plus; "dot" or "point" between belong to a run.  What parts
+# them is dropped; the detectors' own checks (a plus and 9 digits, Luhn, four parts) tell identifiers from counting.
+_ONE = rf"(?<![^\W_]){_WORD}(?![^\W_])"
+_GAP = r"[ ,()-]++(?:(?:dot|point)[ ,-]++)?"
+_LEAD = rf"(?:(?<![^\W_])plus[ -]++|(?<=[0-9]){_GAP}|(?<=\+)[ (]*+)"
+_TRAIL = rf"{_GAP}(?=[0-9])"
+_SPELLED = re.compile(
+    rf"{_LEAD}{_ONE}(?:{_GAP}{_ONE})*(?:{_TRAIL})?|{_ONE}(?:(?:{_GAP}{_ONE})+(?:{_TRAIL})?|{_TRAIL})", re.IGNORECASE
+)
 _PART = re.compile(rf"plus|dot|point|{_WORD}", re.IGNORECASE)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
 _AT = re.compile(
@@ -100,6 +107,8 @@ _AT = re.compile(
 )
 _DOT = re.compile(rf"[ ]*{_OPEN}[ ]*(?:dot|\.)[ ]*{_CLOSE}[ ]*", re.IGNORECASE)
 _BARE_DOT = re.compile(r"(@[A-Za-z0-9.-]*)[ ]+dot[ ]+(?=[A-Za-z0-9])", re.IGNORECASE)
+_WORD_DOT = re.compile(r"(?<=[A-Za-z0-9_%+-])[ ]+dot[ ]+(?=[A-Za-z0-9_%+-])", re.IGNORECASE)
+_RUN = re.compile(r"[A-Za-z0-9._%+-]++")
 
 
 class Tape:
@@ -140,6 +149,16 @@ def _spelled(m: re.Match) -> list[tuple[str, int, int]]:
     ]
 
 
+def _dots_before_at(text: str) -> set[int]:
+    """Where a spelled dot begins that only local parts and such dots part from an @."""
+    found: set[int] = set()
+    for m in reversed(list(_WORD_DOT.finditer(text))):
+        end = _RUN.match(text, m.end()).end()
+        if text.startswith("@", end) or end in found:
+            found.add(m.start())
+    return found
+
+
 def deobfuscate(text: str) -> Tape | None:
     """The rewritten text, or None if nothing in it is disguised."""
     odd, hidden = not text.isascii() and _ODD.search(text), not text.isascii() and _HIDDEN.search(text)
@@ -156,6 +175,12 @@ def deobfuscate(text: str) -> Tape | None:
     changed |= tape.rewrite(_SPELLED, _spelled)
     changed |= tape.rewrite(_AT, lambda m: [("@", m.start(), m.end())])
     changed |= tape.rewrite(_DOT, lambda m: [(".", m.start(), m.end())])
+    dots = _dots_before_at(tape.text) if "@" in tape.text else set()
+    if dots:
+        changed |= tape.rewrite(
+            _WORD_DOT,
+            lambda m: [(".", *m.span())] if m.start() in dots else [(c, i, i + 1) for i, c in enumerate(m[0], m.start())],
+        )
     # One dot at a time along a domain: a dot that is written lengthens what stands before the next.
     while "@" in tape.text and tape.rewrite(
         _BARE_DOT, lambda m: [(c, m.start() + i, m.start() + i + 1) for i, c in enumerate(m[1])] + [(".", m.end(1), m.end())]
