@@ -27,15 +27,20 @@ BASE_RULES = ("few_words", "repeated_words")
 HOST_RULES = (*BASE_RULES, "symbols", "repeated_lines", "word_length")
 
 
-def _windows(w: Column) -> Column:
-    """A hash of each run of REPEAT_WINDOW (5) words, in order.
+def _with_windows(df: DataFrame) -> DataFrame:
+    """``df`` with ``__h``: a hash of each run of REPEAT_WINDOW (5) words of ``__w``, in order.
 
     Built from shifted copies of the array, never by indexing it inside a
-    lambda, which would evaluate the array again for every element.
+    lambda, which would evaluate the array again for every element.  Each step
+    uses the one before it several times and so is a projection of its own.
     """
-    two = zip_shifted(w, w, 1, lambda a, b: F.xxhash64(a, b))
-    four = zip_shifted(two, two, 2, lambda a, b: F.xxhash64(a, b))
-    return zip_shifted(four, w, 4, lambda a, b: F.xxhash64(a, b))
+
+    def pair(a: Column, b: Column) -> Column:
+        return F.xxhash64(a, b)
+
+    df = df.withColumn("__two", zip_shifted(F.col("__w"), F.col("__w"), 1, pair))
+    df = df.withColumn("__four", zip_shifted(F.col("__two"), F.col("__two"), 2, pair))
+    return df.withColumn("__h", zip_shifted(F.col("__four"), F.col("__w"), 4, pair)).drop("__two", "__four")
 
 
 def _covered(order: Column) -> Column:
@@ -66,7 +71,7 @@ def measures(docs: DataFrame) -> DataFrame:
     df = docs.withColumns(
         {"__w": words(F.col("text")), "__l": F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))}
     )
-    df = df.withColumns({"__h": _windows(F.col("__w"))})
+    df = _with_windows(df)
     df = df.withColumns({"__u": F.size(F.array_distinct("__h"))})
     order = F.array_sort(F.transform("__h", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
     df = df.withColumns({"__o": F.when(F.col("__u") < F.size("__h"), order)})
