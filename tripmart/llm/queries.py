@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, line_dedup, mixing, packing, pii, quality_rules, simhash, syncmers, toxicity
+from . import (
+    chat,
+    embedding_dedup,
+    filter_audit,
+    licenses,
+    line_dedup,
+    mixing,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    spelling,
+    syncmers,
+    toxicity,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +80,18 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash_near_dedup": op1_simhash_near_dedup,
@@ -78,6 +104,9 @@ def queries() -> dict[str, Query]:
         "op8_quality_rules": op8_quality_rules,
         "op9_license_scan": op9_license_scan,
         "op10_syncmer_fingerprints": op10_syncmer_fingerprints,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_embedding_near_dedup": op12_embedding_near_dedup,
+        "op13_filter_audit": op13_filter_audit,
     }
 
 
@@ -85,4 +114,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op8_quality_rules": quality_rules.ORACLE,
         "op9_license_scan": licenses.ORACLE,
+        "op13_filter_audit": filter_audit.ORACLE,
     }
