@@ -42,8 +42,8 @@ def test_null_safe_keys_match_null_groups(spark):
 def test_duplicate_source_keys(spark):
     target = spark.createDataFrame([("a", 1, 1, "t")], SCHEMA)
     source = spark.createDataFrame([("a", 1, 5, "s"), ("a", 1, 7, "s")], SCHEMA)
-    with pytest.raises(ValueError, match="duplicate"):
-        upsert(target, source, ["k"])
+    with pytest.raises(Exception, match="duplicate"):
+        upsert(target, source, ["k"]).merged.collect()
     deduped = upsert(target, source, ["k"], on_duplicate="dedupe", latest_by=["v"]).merged
     assert rows(deduped) == [("a", 1, 7, "s")]
 
@@ -81,17 +81,17 @@ def test_partial_aggregates_merge_to_the_full_aggregate(spark):
 def test_duplicate_key_across_partitions_is_caught(spark):
     target = spark.createDataFrame([("a", 1, 1, "t")], SCHEMA)
     source = spark.createDataFrame([("a", 1, 5, "s"), ("a", 2, 7, "s")], SCHEMA)
-    with pytest.raises(ValueError, match="duplicate"):
-        upsert(target, source, ["k"], scope_cols=["part"])
+    with pytest.raises(Exception, match="duplicate"):
+        upsert(target, source, ["k"], scope_cols=["part"]).merged.collect()
 
 
 def test_hot_key_is_collapsed_before_the_shuffle(spark, capsys):
-    # A third of the source on one key: validation aggregates it map-side.
+    # A third of the source on one key: the check fails at its second row, dedupe aggregates it map-side.
     rows = [("hot", 1, i, "s") for i in range(30)] + [(f"k{i}", 1, i, "s") for i in range(60)]
     source = spark.createDataFrame(rows, SCHEMA)
     target = spark.createDataFrame([("hot", 1, 0, "t")], SCHEMA)
-    with pytest.raises(ValueError, match="duplicate"):
-        upsert(target, source, ["k"], scope_cols=["part"])
+    with pytest.raises(Exception, match="duplicate"):
+        upsert(target, source, ["k"], scope_cols=["part"]).merged.collect()
     merged = upsert(target, source, ["k"], on_duplicate="dedupe", latest_by=["v"]).merged
     assert {r.k: r.v for r in merged.collect()}["hot"] == 29
     merged.explain()
@@ -109,3 +109,36 @@ def test_null_borough_groups_upserted_twice_stay_single(spark):
     assert sorted(map(tuple, twice.collect()), key=repr) == sorted(
         [(2024, 1, None, "Q", 5), (2024, 1, "M", None, 2), (2024, 1, None, None, 7)], key=repr
     )
+
+
+def test_unmatched_duplicates_are_inserted_and_matched_ones_fail(spark):
+    target = spark.createDataFrame([("a", 1, 1, "t")], SCHEMA)
+    source = spark.createDataFrame([("z", 1, 5, "s"), ("z", 1, 7, "s"), ("a", 1, 3, "s")], SCHEMA)
+    assert rows(upsert(target, source, ["k"], on_duplicate="insert").merged) == [("a", 1, 3, "s"), ("z", 1, 5, "s"), ("z", 1, 7, "s")]
+    with pytest.raises(Exception, match="duplicate"):
+        upsert(target, source.union(source.where("k = 'a'")), ["k"], on_duplicate="insert").merged.collect()
+    with pytest.raises(ValueError, match="unknown"):
+        upsert(target, source, ["k"], on_duplicate="guess")
+
+
+def test_duplicates_are_found_in_the_exchange_of_the_join(spark, capsys):
+    target = spark.range(0, 1000).selectExpr("cast(id as string) k", "1 part", "1 v", "'t' created")
+    source = spark.range(500, 1500).selectExpr("cast(id as string) k", "1 part", "2 v", "'s' created")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = upsert(target, source, ["k"], scope_cols=["part"]).merged
+        merged.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning") == 2 and "InMemoryTableScan" not in plan and "Window" in plan
+    assert merged.count() == 1500
+
+
+def test_changes_are_the_replaced_and_written_rows(spark):
+    target = spark.createDataFrame([("a", 1, 1, "t"), ("b", 1, 2, "t")], SCHEMA)
+    source = spark.createDataFrame([("b", 1, 9, "s"), ("c", 2, 3, "s")], SCHEMA)
+    result = upsert(target, source, ["k"], preserve=["created"])
+    assert rows(result.changes) == [(-1, "b", 1, 2, "t"), (1, "b", 1, 9, "t"), (1, "c", 2, 3, "s")]
+    mirrored = upsert(target, source, ["k"], delete_missing=True)
+    assert rows(mirrored.changes) == [(-1, "a", 1, 1, "t"), (-1, "b", 1, 2, "t"), (1, "b", 1, 9, "s"), (1, "c", 2, 3, "s")]

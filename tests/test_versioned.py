@@ -1,13 +1,14 @@
 """Versioned parquet tables and the full/delta read decision."""
 
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from tripmart.plans.read_plan import DELTA, FULL, NONE, resolve_read_plan
-from tripmart.plans.versioned import Commit, VersionedTable, live_files
-from tripmart.schemas import COMMITS
+from tripmart.plans.versioned import Commit, VersionedTable, commits_from_frame, live_files
+from tripmart.schemas import COMMIT_LOG, COMMITS
 
 SCHEMA = "k string, part int, v int"
 
@@ -50,7 +51,9 @@ def test_replace_partitions_records_scope_and_prunes(spark, tmp_root, capsys):
     assert t.partitions_since(1) == [{"part": "1"}]
     assert t.partitions_since(None) is None
     t.as_of().explain("formatted")
-    assert "PartitionFilters" in capsys.readouterr().out
+    plan = capsys.readouterr().out
+    assert "commit_id=1/part=2" in plan and "commit_id=1/part=1" not in plan  # the rewritten folder is not read
+    assert contents(t.as_of()) == [("a", 1, 5), ("b", 2, 2)]
 
 
 def test_live_files_rules():
@@ -125,3 +128,61 @@ def test_commits_are_snappy_parquet(spark, tmp_root):
     t.append(frame(spark, ("a", 1, 1)))
     files = glob.glob(f"{t.data_root}/commit_id=1/**/*.parquet", recursive=True)
     assert files and all(".snappy." in f for f in files)
+
+
+def long_table(spark, root, commits, written):
+    """A table whose log and folders are laid out by hand: one row a commit, value = commit id."""
+    t = table(spark, root)
+    one = f"{root}/one"
+    frame(spark, ("k", 0, 0)).drop("part").coalesce(1).write.parquet(one)
+    import glob
+    import os
+    import shutil
+
+    (part_file,) = glob.glob(f"{one}/part-*.parquet")
+    for c, parts in written.items():
+        for p in parts:
+            os.makedirs(f"{root}/data/commit_id={c}/{p}")
+            shutil.copy(part_file, f"{root}/data/commit_id={c}/{p}/part-0.parquet")
+    spark.createDataFrame(commits, COMMIT_LOG).coalesce(1).write.parquet(f"{root}/_commits/all")
+    return t
+
+
+def test_thousands_of_commits_read_back(spark, tmp_root):
+    now, n = dt.datetime(2024, 1, 1), 5000
+    log = [(c, "append", now, "*", None, 1, None, [f"part={c % 7}"]) for c in range(1, n + 1)]
+    t = long_table(spark, f"{tmp_root}/appends", log, {c: [f"part={c % 7}"] for c in range(1, n + 1)})
+    df = t.as_of()
+    assert df.count() == n and t.as_of(1234).count() == 1234
+    started = time.monotonic()
+    df.filter("part = 3")._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - started < 2
+
+
+def test_thousands_of_rewritten_partitions_read_back(spark, tmp_root):
+    now, n = dt.datetime(2024, 1, 1), 2000
+    every = [f"part={p}" for p in range(n)]
+    log = [(1, "append", now, "*", None, n, None, every)]
+    log += [(2 + p, "overwrite", now, f"part={p}", None, 1, None, [f"part={p}"]) for p in range(n - 1)]
+    written = {1: every, **{2 + p: [f"part={p}"] for p in range(n - 1)}}
+    t = long_table(spark, f"{tmp_root}/rewrites", log, written)
+    df = t.as_of(with_commit_id=True)
+    live = {(r.part, r.commit_id) for r in df.select("part", "commit_id").collect()}
+    assert live == {(p, 2 + p) for p in range(n - 1)} | {(n - 1, 1)}
+    assert df.count() == n and t.as_of(500).count() == n
+    started = time.monotonic()
+    df._jdf.queryExecution().executedPlan()
+    assert time.monotonic() - started < 2
+
+
+def test_logs_without_folder_lists_and_null_partitions(spark, tmp_root):
+    t = table(spark, f"{tmp_root}/t")
+    t.append(frame(spark, ("a", 1, 1), ("n", None, 2)))
+    t.replace_partitions(frame(spark, ("n", None, 5)), [{"part": None}])
+    assert sorted(map(str, contents(t.as_of()))) == sorted(map(str, [("a", 1, 1), ("n", None, 5)]))
+    log = spark.read.schema(COMMITS).option("recursiveFileLookup", "true").parquet(t.log_root).collect()
+    spark.createDataFrame(log, COMMITS).coalesce(1).write.mode("overwrite").parquet(f"{tmp_root}/old")
+    old = table(spark, f"{tmp_root}/t")
+    old._commits = commits_from_frame(spark.read.parquet(f"{tmp_root}/old"))
+    assert [c.written for c in old.commits()] == [None, None]
+    assert sorted(map(str, contents(old.as_of()))) == sorted(map(str, contents(t.as_of())))

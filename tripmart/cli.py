@@ -71,6 +71,12 @@ def parse_args(argv=None) -> argparse.Namespace:
             )
         if job in ("clean", "run"):
             p.add_argument("--incremental-col", default=PICKUP)
+            p.add_argument("--lookback-days", type=int, help="also load late trips of so many days below the watermark")
+        if job in ("load", "run"):
+            p.add_argument("--on-duplicate", choices=["error", "insert", "dedupe"], default="error",
+                           help="several new trips of one key: fail, insert the unmatched as a MERGE does, or keep the latest")
+            p.add_argument("--single-precision", action="store_true", help="round distances and amounts to FLOAT")
+            p.add_argument("--sync-deletes", action="store_true", help="after a full re-read, drop trips that silver no longer has")
         if job == "load":
             p.add_argument("--progress", choices=["consumer", "latest-two"], default="consumer")
         if job == "compact":
@@ -101,6 +107,10 @@ def _lake(spark, args) -> Lakehouse:
     )
 
 
+def _gold_options(args) -> dict:
+    return {"on_duplicate": args.on_duplicate, "single_precision": args.single_precision, "sync_deletes": args.sync_deletes}
+
+
 def _plan(spark, args) -> list[dict]:
     if args.year is None:
         months = previous_month(spark, args.run_date)
@@ -140,14 +150,16 @@ def main(argv=None, spark=None) -> None:
                 result.write.mode("overwrite").parquet(args.output)
             results = [r.asDict() for r in result.take(args.show)]
         elif args.job == "clean":
-            results = [refresh_silver(spark, args.bronze_path, _lake(spark, args).silver)]
+            results = [refresh_silver(spark, args.bronze_path, _lake(spark, args).silver, lookback_days=args.lookback_days)]
         elif args.job == "load":
             zones = read_zones_csv(spark, args.zones_csv)
-            results = [refresh_gold(spark, _lake(spark, args), zones, progress=args.progress)]
+            results = [refresh_gold(spark, _lake(spark, args), zones, progress=args.progress, **_gold_options(args))]
         elif args.job == "agg":
             results = [refresh_agg(spark, _lake(spark, args))]
         elif args.job == "run":
-            results = run_pipeline(spark, args.bronze_path, _lake(spark, args), read_zones_csv(spark, args.zones_csv))
+            zones = read_zones_csv(spark, args.zones_csv)
+            options = {"lookback_days": args.lookback_days, **_gold_options(args)}
+            results = run_pipeline(spark, args.bronze_path, _lake(spark, args), zones, **options)
         else:
             if not args.lake:
                 raise SystemExit("stream needs --lake (its checkpoint lives there)")

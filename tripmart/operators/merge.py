@@ -5,12 +5,14 @@ Semantics of ``MERGE INTO target USING source ON keys``:
 ``WHEN NOT MATCHED THEN INSERT *``; target rows without a source match stay.
 
 Plan: one full outer join on the keys.  Each side is shuffled once on the
-keys (a sort-merge or shuffled-hash join chosen by Catalyst/AQE), and every
-output column is a ``CASE`` on which side matched, so nothing is joined twice
-and no side is broadcast blindly.  AQE cannot split skewed partitions of a
-full outer join, but none can arise: the source is validated (or deduplicated)
-to one row per key first, and the target holds one row per key, so every
-join key carries at most two rows.
+keys, and every output column is a ``CASE`` on which side matched, so nothing is
+joined twice and no side is broadcast blindly.  Duplicate source keys are found
+inside that exchange: rows are numbered per key, over the partitioning and order
+that the join needs anyway, and a second row of a key ends the job when it
+runs.  The numbering holds one row at a time, so a key with very many rows fails
+at its second row.  AQE cannot split skewed partitions of a full outer join, but
+none can arise where the source is checked or deduplicated: every join key then
+carries at most two rows.
 
 When the target is partitioned on columns that the key determines (trip_id
 fixes the pickup month), ``scope`` restricts the target to the partitions the
@@ -24,17 +26,20 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _T, _S = "t__", "s__"
 _IN_T, _IN_S = "__target_row", "__source_row"
+_NTH = "__nth_of_key"
+SIGN = "change_sign"
 
 
 @dataclass
 class MergeResult:
     merged: DataFrame  # new contents of the scoped partitions (or the whole table)
     scope: list[dict[str, object]] | None  # partitions rewritten; None = whole table
+    changes: DataFrame | None = None  # source rows (+1) and the target rows they replace (-1), with a column SIGN
 
     def full_table(self, target: DataFrame) -> DataFrame:
         """Merged rows plus the untouched target partitions (the complete new table)."""
@@ -67,28 +72,19 @@ def any_of(parts: list[dict[str, object]]) -> Column:
     return terms[0]
 
 
-def validate_source(
-    source: DataFrame, keys: Sequence[str], scope_cols: Sequence[str] | None
-) -> list[dict[str, object]] | None:
-    """One pass over the source: fail on duplicate keys, return the touched partitions.
+def _numbered(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return source.withColumn(_NTH, F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
 
-    Counts per key — a partial aggregate, so a hot key is collapsed map-side —
-    then folds the counts per scope value.  Only the per-partition summary
-    reaches the driver.
-    """
-    scope_cols = list(scope_cols or [])
-    # Count per key alone (a key repeated under two scope values is still a
-    # duplicate); the scope values ride along for the per-partition summary.
-    per_key = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *[F.min(c).alias(c) for c in scope_cols]
-    )
-    summary = per_key.groupBy(*scope_cols).agg(F.max("n").alias("max_n"))
-    rows = summary.collect()
-    if any((r.max_n or 0) > 1 for r in rows):
-        raise ValueError(f"MERGE source has duplicate keys on {list(keys)}")
-    if not scope_cols:
-        return None
-    return [{c: r[c] for c in scope_cols} for r in rows]
+
+def _refuse(df: DataFrame, bad: Column, keys: Sequence[str]) -> DataFrame:
+    """``df``, whose evaluation fails at a row for which ``bad`` holds."""
+    message = F.lit(f"MERGE source has duplicate keys on {list(keys)}")
+    return df.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+
+
+def unique_source(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``source``, whose evaluation fails at the second row of a key (for loads that join nothing)."""
+    return _refuse(_numbered(source, keys), F.col(_NTH) > 1, keys).drop(_NTH)
 
 
 def touched_partitions(source: DataFrame, scope_cols: Sequence[str]) -> list[dict[str, object]]:
@@ -130,19 +126,24 @@ def upsert(
     ``null_safe`` matches NULL keys to NULL keys (``<=>``) so NULL groups are
     updated instead of re-inserted.  ``delete_missing`` adds ``WHEN NOT MATCHED
     BY SOURCE THEN DELETE`` (within the scope): the result mirrors the source.
+
+    ``on_duplicate`` says what several source rows of one key do: ``error``
+    fails the job that evaluates the result, ``insert`` fails only where they
+    match a target row and otherwise inserts them all (a plain MERGE), and
+    ``dedupe`` keeps the row that is greatest by ``latest_by``.
     """
     columns = target.columns
-    if on_duplicate == "error":
-        # Duplicate check and scope discovery share one pass over the source.
-        scope = validate_source(source, keys, scope_cols)
-    elif on_duplicate == "dedupe":
-        source = dedupe_source(source, keys, latest_by)
-        scope = touched_partitions(source, scope_cols) if scope_cols else None
-    else:
+    if on_duplicate not in ("error", "insert", "dedupe"):
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
+    if on_duplicate == "dedupe":
+        source = dedupe_source(source, keys, latest_by)
+    # Reads the scope columns only; no key is shuffled for it.
+    scope = touched_partitions(source, scope_cols) if scope_cols else None
     if scope is not None:
         target = target.filter(any_of(scope))
     s = source.select(*[F.col(c).alias(_S + c) for c in columns], F.lit(True).alias(_IN_S))
+    if on_duplicate != "dedupe":
+        s = _numbered(s, [_S + k for k in keys])
     t = target.select(*[F.col(c).alias(_T + c) for c in columns], F.lit(True).alias(_IN_T))
 
     def key_eq(k: str) -> Column:
@@ -151,6 +152,9 @@ def upsert(
 
     joined = t.join(s, reduce(lambda a, b: a & b, [key_eq(k) for k in keys]), "full_outer")
     in_source, in_target = F.col(_IN_S).isNotNull(), F.col(_IN_T).isNotNull()
+    if on_duplicate != "dedupe":
+        repeated = F.col(_NTH) > 1
+        joined = _refuse(joined, repeated if on_duplicate == "error" else repeated & in_target, keys)
 
     out = []
     for c in columns:
@@ -159,6 +163,15 @@ def upsert(
         else:  # matched → source value; target-only rows unchanged
             expr = F.when(in_source, F.col(_S + c)).otherwise(F.col(_T + c))
         out.append(expr.alias(c))
+    gone = in_target if delete_missing else in_target & in_source
+    rows = F.filter(
+        F.array(
+            F.struct(F.lit(-1).alias(SIGN), gone.alias("counts"), *[F.col(_T + c).alias(c) for c in columns]),
+            F.struct(F.lit(1).alias(SIGN), in_source.alias("counts"), *out),
+        ),
+        lambda x: x["counts"],
+    )
+    changes = joined.select(F.explode(rows).alias("x")).select(f"x.{SIGN}", *[F.col(f"x.{c}").alias(c) for c in columns])
     if delete_missing:
         joined = joined.filter(in_source)
-    return MergeResult(joined.select(*out), scope)
+    return MergeResult(joined.select(*out), scope, changes)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.keys import trip_id
 from ..functions.quality import after_watermark
 
 
@@ -22,3 +26,17 @@ def read_after_watermark(bronze: DataFrame, column: str, watermark) -> DataFrame
     if watermark is None:
         return bronze
     return bronze.filter(after_watermark(column, watermark))
+
+
+def late_rows(bronze: DataFrame, silver: DataFrame, column: str, watermark: dt.datetime, days: int) -> DataFrame:
+    """Rows of the last ``days`` days up to ``watermark`` whose trip key silver does not hold.
+
+    Both sides are cut to that window by a pushed-down range, so the anti join
+    on the key shuffles no more than the window, however long silver is.  Rows
+    older than the window stay out; several new rows of one key come in
+    together, as they do above the watermark.
+    """
+    start = F.lit(watermark - dt.timedelta(days=days)).cast(dict(bronze.dtypes)[column])
+    inside = (F.col(column) > start) & (F.col(column) <= F.lit(watermark))
+    known = silver.filter(inside).select(trip_id().alias("known_key"))
+    return bronze.filter(inside).join(known, trip_id() == F.col("known_key"), "left_anti")

@@ -20,7 +20,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType
@@ -29,18 +28,17 @@ from ..functions.quality import EXCLUDED_LOCATIONS, PICKUP
 from ..operators.aggregate import monthly_borough_agg
 from ..operators.clean import clean_trips
 from ..operators.enrich import to_gold
-from ..operators.merge import dedupe_source, upsert, validate_source
+from ..operators.merge import dedupe_source, unique_source, upsert
 from ..schemas import AGG, GOLD, GOLD_PARTITIONS, SILVER
 from ..session import join_path
 from ..sources.bronze import raw_glob, read_bronze
-from .incremental import read_after_watermark
+from .incremental import late_rows, read_after_watermark
 from .read_plan import DELTA, resolve_read_plan
 from .versioned import APPEND, REPLACE, VersionedTable, partition_filter
 
 FULL, INCREMENTAL, SKIPPED = "full", "incremental", "skipped"
 
 
-
 def silver_partitions(grain: str) -> dict:
     """Hidden partition columns of silver for a grain (``month`` or ``day``)."""
     if grain == "month":
@@ -125,11 +123,14 @@ def refresh_silver(
     bronze: DataFrame | str,
     silver: VersionedTable,
     excluded_locations: Iterable[int] = EXCLUDED_LOCATIONS,
+    lookback_days: int | None = None,
 ) -> StepResult:
     """Clean new bronze rows into silver (full load when silver is empty).
 
     ``bronze`` is a DataFrame or the raw landing root (``year=*/*.parquet``).
-    Late rows at or below the watermark are not reloaded (strict ``>``).
+    Late rows at or below the watermark are not reloaded (strict ``>``), unless
+    ``lookback_days`` is given: rows of so many days up to the watermark are
+    then loaded too when silver does not hold their trip key yet.
     """
     if silver is None:
         raise ValueError("no location given for the silver table")
@@ -138,6 +139,8 @@ def refresh_silver(
         bronze = read_bronze(spark, raw_glob(bronze))
     watermark = silver.high_water_mark()
     incoming = read_after_watermark(bronze, col, watermark)
+    if watermark is not None and lookback_days is not None:
+        incoming = incoming.unionByName(late_rows(bronze, silver.as_of(), col, watermark, lookback_days))
     if incoming.isEmpty():
         return StepResult("silver", SKIPPED, detail="no bronze rows after the watermark")
     cleaned = clean_trips(incoming, excluded_locations)
@@ -210,43 +213,35 @@ def refresh_gold(
     if mode == SKIPPED:
         return StepResult("gold", SKIPPED, source_commit=latest, detail="new silver commits are empty")
     incoming = to_gold(silver_rows, zones, created_at=created_at, single_precision=single_precision)
-    # Two actions read the incoming rows (validation pass, merge write): keep
-    # them instead of re-reading and re-enriching the silver slice.  Lost
-    # blocks are recomputed from lineage, so executor loss stays safe.
-    incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
     mirror = sync_deletes and mode == FULL
-    try:
-        if lake.gold.latest_commit_id() is None:
-            # First load: nothing to match against, so MERGE reduces to an
-            # insert; skipping the join avoids shuffling the whole source.
-            if on_duplicate == "dedupe":
-                first = dedupe_source(incoming, ["trip_id"], ["dropoff_datetime", "total_amount"])
-                months = first.select(*GOLD_PARTITIONS).limit(1).collect()
-            else:
-                first = incoming
-                months = validate_source(incoming, ["trip_id"], GOLD_PARTITIONS)
-            if not months:
-                return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
-            commit = lake.gold.overwrite(first, source_commit=latest)
-            return StepResult("gold", mode, commit, latest, _rows(lake.gold, commit))
-        result = upsert(
-            lake.gold.as_of(),
-            incoming,
-            ["trip_id"],
-            preserve=["created_at"],
-            scope_cols=None if mirror else GOLD_PARTITIONS,
-            on_duplicate=on_duplicate,
-            latest_by=["dropoff_datetime", "total_amount"],
-            delete_missing=mirror,
-        )
-        if mirror:
-            commit = lake.gold.overwrite(result.merged, source_commit=latest)
-        elif not result.scope:
+    order = ["dropoff_datetime", "total_amount"]
+    if lake.gold.latest_commit_id() is None:
+        # First load: nothing to match against, so MERGE reduces to an insert
+        # without a join; only the key check shuffles, and ``insert`` not even that.
+        if incoming.isEmpty():
             return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
-        else:
-            commit = lake.gold.replace_partitions(result.merged, result.scope, source_commit=latest)
-    finally:
-        incoming.unpersist()
+        if on_duplicate == "dedupe":
+            incoming = dedupe_source(incoming, ["trip_id"], order)
+        elif on_duplicate == "error":
+            incoming = unique_source(incoming, ["trip_id"])
+        commit = lake.gold.overwrite(incoming, source_commit=latest)
+        return StepResult("gold", mode, commit, latest, _rows(lake.gold, commit))
+    result = upsert(
+        lake.gold.as_of(),
+        incoming,
+        ["trip_id"],
+        preserve=["created_at"],
+        scope_cols=None if mirror else GOLD_PARTITIONS,
+        on_duplicate=on_duplicate,
+        latest_by=order,
+        delete_missing=mirror,
+    )
+    if mirror:
+        commit = lake.gold.overwrite(result.merged, source_commit=latest)
+    elif not result.scope:
+        return StepResult("gold", SKIPPED, source_commit=latest, detail="no rows to merge")
+    else:
+        commit = lake.gold.replace_partitions(result.merged, result.scope, source_commit=latest)
     return StepResult("gold", mode, commit, latest, _rows(lake.gold, commit))
 
 
@@ -279,11 +274,23 @@ def run_pipeline(
     zones: DataFrame,
     excluded_locations: Iterable[int] = EXCLUDED_LOCATIONS,
     created_at: Column | None = None,
+    on_duplicate: str = "error",
+    single_precision: bool = False,
+    sync_deletes: bool = False,
+    lookback_days: int | None = None,
 ) -> list[StepResult]:
-    """clean → load → aggregate, one call per scheduled run."""
+    """clean → load → aggregate, one call per scheduled run; options as in ``refresh_silver`` and ``refresh_gold``."""
     lake = root if isinstance(root, Lakehouse) else Lakehouse.at(spark, root)
     return [
-        refresh_silver(spark, bronze, lake.silver, excluded_locations),
-        refresh_gold(spark, lake, zones, created_at=created_at),
+        refresh_silver(spark, bronze, lake.silver, excluded_locations, lookback_days),
+        refresh_gold(
+            spark,
+            lake,
+            zones,
+            created_at=created_at,
+            on_duplicate=on_duplicate,
+            single_precision=single_precision,
+            sync_deletes=sync_deletes,
+        ),
         refresh_agg(spark, lake),
     ]

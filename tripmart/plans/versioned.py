@@ -14,10 +14,11 @@ partitions (that is how an upsert commits).  Data is written before its commit
 row, so a reader never sees half a commit, and a crashed writer's leftovers are
 ignored (no commit row) and cleared by the next write of that commit id.
 
-Reading a version is a filter on partition columns that Spark prunes
-statically: the commit log (a few rows per commit) is read on the driver, the
-live ``(commit, partition)`` set is turned into a literal predicate, and only
-those directories are scanned.
+Reading a version means reading its live folders: the commit log (a few rows
+per commit, with the partitions that the commit wrote) is read on the driver,
+and only the folders whose rows still count are handed to the reader, whole
+commits where nothing in them was rewritten since.  There is no predicate, so a
+plan does not grow with the log.
 """
 
 from __future__ import annotations
@@ -26,7 +27,6 @@ import datetime as dt
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -43,10 +43,11 @@ from pyspark.sql.types import (
 )
 
 from ..operators.merge import any_of
-from ..schemas import COMMITS
+from ..schemas import COMMIT_LOG, COMMITS
 
 COMMIT_COL = "commit_id"
 WHOLE_TABLE = "*"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: Spark's folder name of a NULL
 APPEND, OVERWRITE, DELETE, REPLACE = "append", "overwrite", "delete", "replace"
 
 
@@ -59,6 +60,7 @@ class Commit:
     source_commit: int | None = None  # upstream commit this one was computed from
     rows: int | None = None  # rows written
     high_water_mark: str | None = None  # max of the table's watermark column in this commit
+    written: tuple[str, ...] | None = None  # partition folders it wrote; None if the log does not tell
 
 
 def parse_literal(text: str, dtype: DataType):
@@ -75,31 +77,49 @@ def parse_literal(text: str, dtype: DataType):
 
 
 def partition_path(values: dict[str, object]) -> str:
-    return "/".join(f"{k}={v}" for k, v in values.items())
+    """Folder of a partition below its commit (numbers, dates and plain names; no characters that Spark escapes)."""
+    return "/".join(f"{k}={NULL_PARTITION if v is None else v}" for k, v in values.items())
+
+
+def _path_column(names: Sequence[str]) -> Column:
+    """``partition_path`` of a row's partition columns."""
+    value = [F.coalesce(F.col(n).cast("string"), F.lit(NULL_PARTITION)) for n in names]
+    return F.concat_ws("/", *[F.concat(F.lit(f"{n}="), v) for n, v in zip(names, value, strict=True)])
 
 
 def _parse_path(path: str) -> dict[str, str]:
     return dict(part.split("=", 1) for part in path.split("/") if part)
 
 
+def live_commits(commits: Sequence[Commit], as_of: int) -> tuple[list[Commit], dict[str, int]]:
+    """Commits up to ``as_of`` since the last whole overwrite, and who last rewrote each partition since.
+
+    A commit's rows in a partition are live unless a later commit rewrote it.
+    A delete commit holds the rows that survive in the partitions it rewrote.
+    """
+    live: list[Commit] = []
+    rewritten: dict[str, int] = {}
+    for c in sorted(commits, key=lambda c: c.commit_id):
+        if c.commit_id > as_of:
+            break
+        if c.operation != APPEND:
+            if WHOLE_TABLE in c.partitions:
+                live, rewritten = [], {}
+            else:
+                rewritten.update(dict.fromkeys(c.partitions, c.commit_id))
+        live.append(c)
+    return live, rewritten
+
+
 def live_files(commits: Sequence[Commit], as_of: int) -> list[tuple[int, frozenset[str] | None]]:
     """Per commit ≤ ``as_of``: (commit_id, partitions superseded later) of what is live.
 
     ``None`` as the second element means "every partition of that commit is
     still live"; a set lists partitions rewritten by a later overwrite.
     """
-    live: dict[int, set[str] | None] = {}
-    for c in sorted(commits, key=lambda c: c.commit_id):
-        if c.commit_id > as_of:
-            break
-        if c.operation in (OVERWRITE, REPLACE, DELETE) and WHOLE_TABLE in c.partitions:
-            live = {}
-        elif c.operation in (OVERWRITE, REPLACE, DELETE):
-            for earlier, dead in live.items():
-                live[earlier] = set(c.partitions) | (dead or set())
-        # A delete commit holds the rows that survive in the partitions it rewrote.
-        live[c.commit_id] = None
-    return [(cid, frozenset(dead) if dead else None) for cid, dead in live.items()]
+    live, rewritten = live_commits(commits, as_of)
+    dead = {c.commit_id: frozenset(p for p, by in rewritten.items() if by > c.commit_id) for c in live}
+    return [(c.commit_id, dead[c.commit_id] or None) for c in live]
 
 
 def commits_from_frame(log: DataFrame) -> list[Commit]:
@@ -107,6 +127,8 @@ def commits_from_frame(log: DataFrame) -> list[Commit]:
 
     Metadata only: one row per commit and rewritten partition.
     """
+    if "written" not in log.columns:  # a log without folder lists
+        log = log.withColumn("written", F.lit(None).cast("array<string>"))
     grouped = (
         log.groupBy(COMMIT_COL)
         .agg(
@@ -116,6 +138,7 @@ def commits_from_frame(log: DataFrame) -> list[Commit]:
             F.max("source_commit").alias("source_commit"),
             F.max("rows").alias("rows"),
             F.max("high_water_mark").alias("high_water_mark"),
+            F.first("written", ignorenulls=True).alias("written"),
         )
         .orderBy(COMMIT_COL)
         .collect()
@@ -129,41 +152,30 @@ def commits_from_frame(log: DataFrame) -> list[Commit]:
             None if r.source_commit is None else int(r.source_commit),
             None if r.rows is None else int(r.rows),
             r.high_water_mark,
+            None if r.written is None else tuple(sorted(r.written)),
         )
         for r in grouped
     ]
 
 
 def partition_filter(partitions: Iterable[dict[str, object]], schema: StructType) -> Column:
-    """Predicate matching any of the given partition value maps (typed literals)."""
-    return _partition_match([partition_path(p) for p in partitions], schema)
+    """Predicate matching any of the given partition value maps, as flat ``IN`` lists of typed literals."""
 
+    def typed(name: str, value: object) -> object:
+        if value == NULL_PARTITION:
+            return None
+        known = isinstance(value, str) and name in schema.fieldNames()
+        return parse_literal(value, schema[name].dataType) if known else value
 
-def _partition_match(paths: Iterable[str], schema: StructType | None) -> Column:
-    types = {f.name: f.dataType for f in schema.fields} if schema else {}
-    terms = []
-    for path in paths:
-        conds = [
-            F.col(k).eqNullSafe(F.lit(v).cast(types[k]) if k in types else F.lit(v))
-            for k, v in _parse_path(path).items()
-        ]
-        terms.append(reduce(lambda a, b: a & b, conds))
-    return reduce(lambda a, b: a | b, terms)
-
+    return any_of([{k: typed(k, v) for k, v in p.items()} for p in partitions])
 
-def live_predicate(commits: Sequence[Commit], as_of: int, schema: StructType | None = None) -> Column:
-    """Predicate over ``commit_id`` (+ partition columns) selecting rows live at ``as_of``.
 
-    All literals, so on a table partitioned by ``commit_id`` Spark prunes
-    directories before listing files.
-    """
-    terms = []
-    for cid, dead in live_files(commits, as_of):
-        term = F.col(COMMIT_COL) == F.lit(cid)
-        if dead:
-            term = term & ~_partition_match(dead, schema)
-        terms.append(term)
-    return reduce(lambda a, b: a | b, terms) if terms else F.lit(False)
+def live_predicate(commits: Sequence[Commit], as_of: int) -> Column:
+    """Predicate over ``commit_id`` selecting rows live at ``as_of``, for logs of whole-table operations."""
+    live, rewritten = live_commits(commits, as_of)
+    if rewritten:
+        raise ValueError("partitions were rewritten: read their folders instead")
+    return F.col(COMMIT_COL).isin([c.commit_id for c in live]) if live else F.lit(False)
 
 
 def appended_predicate(commits: Sequence[Commit], start_exclusive: int, end_inclusive: int) -> Column:
@@ -230,7 +242,7 @@ class VersionedTable:
     def _read_log(self) -> DataFrame | None:
         """The commit log files, or None before the first commit wrote any."""
         try:
-            return self.spark.read.schema(COMMITS).option("recursiveFileLookup", "true").parquet(self.log_root)
+            return self.spark.read.schema(COMMIT_LOG).option("recursiveFileLookup", "true").parquet(self.log_root)
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" in str(exc):
                 return None
@@ -239,7 +251,7 @@ class VersionedTable:
     def commits_frame(self) -> DataFrame:
         """The commit log as a DataFrame (typed and empty before the first commit)."""
         log = self._read_log()
-        return log if log is not None else self.spark.createDataFrame([], COMMITS)
+        return log if log is not None else self.spark.createDataFrame([], COMMIT_LOG)
 
     def commits(self) -> list[Commit]:
         """Commit log on the driver, cached until this object writes a commit.
@@ -267,13 +279,13 @@ class VersionedTable:
         commits = self.commits()
         if not commits:
             return None
-        files = live_files(commits, commits[-1].commit_id)
-        live = {cid for cid, _ in files}
-        if any(dead is not None for _, dead in files):
+        live, rewritten = live_commits(commits, commits[-1].commit_id)
+        newest = max(rewritten.values(), default=0)
+        if any(c.commit_id < newest for c in live):
             # The row that set a commit's mark may lie in a partition that was rewritten since.
             return self.as_of().agg(F.max(self.watermark_col)).first()[0]
-        marks = [c.high_water_mark for c in commits if c.commit_id in live and (c.rows or 0) > 0]
-        if any(c.high_water_mark is None and (c.rows or 0) > 0 for c in commits if c.commit_id in live):
+        marks = [c.high_water_mark for c in live if (c.rows or 0) > 0]
+        if None in marks:
             return self.as_of().agg(F.max(self.watermark_col)).first()[0]
         if not marks:
             return None
@@ -287,10 +299,10 @@ class VersionedTable:
         if not commits:
             return 0
         as_of = commit_id if commit_id is not None else commits[-1].commit_id
-        live = live_files(commits, as_of)
-        by_id = {c.commit_id: c for c in commits}
-        if all(dead is None and by_id[cid].rows is not None for cid, dead in live):
-            return sum(by_id[cid].rows for cid, _ in live)
+        live, rewritten = live_commits(commits, as_of)
+        newest = max(rewritten.values(), default=0)
+        if all(c.commit_id >= newest and c.rows is not None for c in live):
+            return sum(c.rows for c in live)
         return self.as_of(as_of).count()
 
     def last_source_commit(self) -> int | None:
@@ -331,16 +343,19 @@ class VersionedTable:
             written = self.spark.read.schema(self.stored_schema).parquet(target)
             metrics = written.agg(*stats).first().asDict()
         n_rows, hwm = int(metrics.get("rows") or 0), metrics.get("hwm")
-        rows = [(commit_id, operation, now, p, source_commit, n_rows, hwm) for p in sorted(set(partitions))]
+        scope = sorted(set(partitions))
+        written = self._written_folders(commit_id) if self.partition_by and n_rows else None
+        # The folder list stands in the commit's first row only.
+        rows = [(commit_id, operation, now, p, source_commit, n_rows, hwm, None if i else written) for i, p in enumerate(scope)]
         (
-            self.spark.createDataFrame(rows, COMMITS)
+            self.spark.createDataFrame(rows, COMMIT_LOG)
             .coalesce(1)
             .write.mode("overwrite")
             .parquet(f"{self.log_root}/commit-{commit_id:010d}")
         )
         if self._commits is not None:  # we are the only writer: extend the cached log
             self._commits = self._commits + [
-                Commit(commit_id, operation, now, tuple(sorted(set(partitions))), source_commit, n_rows, hwm)
+                Commit(commit_id, operation, now, tuple(scope), source_commit, n_rows, hwm, written and tuple(written))
             ]
         return commit_id
 
@@ -397,7 +412,7 @@ class VersionedTable:
         Returns None when there is nothing to merge (one live commit or none).
         """
         commits = self.commits()
-        if not commits or len(live_files(commits, commits[-1].commit_id)) <= 1:
+        if not commits or len(live_commits(commits, commits[-1].commit_id)[0]) <= 1:
             return None
         return self._write_commit(self.as_of(), REPLACE, [WHOLE_TABLE], self.last_source_commit())
 
@@ -424,12 +439,34 @@ class VersionedTable:
         extra = [StructField(name, dtype, True) for name, (_, dtype) in self.derived.items()]
         return StructType(list(self.schema.fields) + extra)
 
-    def _scan(self, commit_ids: Sequence[int]) -> DataFrame:
-        """Scan of the given commits' folders only: old versions are not even listed."""
+    def _scan(self, folders: Sequence[str]) -> DataFrame:
+        """Scan of the given folders below the data root only: old versions are not even listed."""
         fields = list(self.stored_schema.fields) + [StructField(COMMIT_COL, COMMITS[COMMIT_COL].dataType, True)]
-        paths = [f"{self.data_root}/{COMMIT_COL}={c}" for c in sorted(set(commit_ids))]
+        paths = [f"{self.data_root}/{f}" for f in sorted(set(folders))]
         return self.spark.read.schema(StructType(fields)).option("basePath", self.data_root).parquet(*paths)
 
+    def _written_folders(self, commit_id: int) -> list[str]:
+        """Partition folders of a commit, from a scan that reads no data column."""
+        rows = self._scan([f"{COMMIT_COL}={commit_id}"]).select(_path_column(self.partition_by).alias("p")).distinct()
+        return sorted(r.p for r in rows.collect())
+
+    def _live_folders(self, as_of: int) -> list[str]:
+        """Folders below the data root whose rows are live: whole commits, or single partitions where some were rewritten."""
+        live, rewritten = live_commits(self.commits(), as_of)
+        newest = max(rewritten.values(), default=0)
+        folders = []
+        for c in live:
+            root = f"{COMMIT_COL}={c.commit_id}"
+            if c.rows == 0:
+                continue
+            if c.commit_id >= newest:
+                folders.append(root)
+                continue
+            written = c.written if c.written is not None else self._written_folders(c.commit_id)
+            kept = [p for p in written if rewritten.get(p, 0) <= c.commit_id]
+            folders += [root] if len(kept) == len(written) else [f"{root}/{p}" for p in kept]
+        return folders
+
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
@@ -450,11 +487,10 @@ class VersionedTable:
         if not commits:
             return self._empty_with(with_commit_id)
         as_of = commit_id if commit_id is not None else commits[-1].commit_id
-        live = [cid for cid, _ in live_files(commits, as_of)]
-        if not live:
+        folders = self._live_folders(as_of)
+        if not folders:
             return self._empty_with(with_commit_id)  # e.g. as of a delete-all commit
-        pred = live_predicate(commits, as_of, self.stored_schema)
-        return self._scan(live).filter(pred).select(*cols)
+        return self._scan(folders).select(*cols)
 
     def appended_between(self, start_exclusive: int, end_inclusive: int) -> DataFrame:
         """Rows added by ``append`` commits with start < commit_id ≤ end."""
@@ -465,4 +501,4 @@ class VersionedTable:
         ]
         if not ids:
             return self._empty()
-        return self._scan(ids).select(*self.schema.fieldNames())
+        return self._scan([f"{COMMIT_COL}={i}" for i in ids]).select(*self.schema.fieldNames())

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     DateType,
     DoubleType,
     IntegerType,
@@ -108,6 +109,8 @@ COMMITS = _struct(
     ("rows", LongType()),
     ("high_water_mark", StringType()),
 )
+# As stored: the first row of a commit also lists the partition folders it wrote.
+COMMIT_LOG = StructType([*COMMITS.fields, StructField("written", ArrayType(StringType()), True)])
 
 LANDING = _struct(
     ("status", StringType()),
