@@ -18,19 +18,40 @@ from .functions.calendar import calendar_parts
 from .functions.keys import TRIP_KEY_FIELDS, trip_id
 from .functions.measures import stable_sum
 from .functions.quality import PICKUP, clean_predicate
-from .operators.aggregate import high_water_mark, merge_partial_aggs, monthly_borough_agg, with_avg_revenue
+from .operators.aggregate import (
+    add_states,
+    agg_delta,
+    agg_state,
+    high_water_mark,
+    merge_partial_aggs,
+    monthly_borough_agg,
+    state_to_agg,
+    with_avg_revenue,
+)
+from .operators.casts import reject_counts, split_casts
 from .operators.clean import apply_global_rules, apply_rate_rules, clean_trips, reject_reasons
 from .operators.enrich import enrich_with_zones, to_gold
 from .operators.merge import upsert
 from .plans.incremental import read_after_watermark, scalar
-from .plans.pipeline import Lakehouse, refresh_silver, run_pipeline
+from .plans.named_tables import publish_lake
+from .plans.pipeline import Lakehouse, refresh_agg, refresh_gold, refresh_silver, run_pipeline
 from .plans.read_plan import read_plans
 from .plans.versioned import COMMIT_COL, appended_predicate, commits_from_frame, latest_commits, live_predicate
-from .schemas import AGG_KEYS, GOLD_PARTITIONS
+from .schemas import AGG, AGG_KEYS, GOLD_PARTITIONS
 from .session import scratch_path
 from .sources import history, tables
-from .sources.bronze import list_files, raw_glob, read_bronze, schema_drift
-from .sources.landing import landing_report, landing_status, missing_months, month_plan, months_of_years
+from .sources.bronze import file_listing, raw_glob, read_bronze, read_new_files, schema_drift
+from .sources.landing import (
+    landing_outcomes,
+    landing_report,
+    landing_status,
+    missing_months,
+    month_plan,
+    months_of_years,
+    outcome_report,
+    previous_month,
+)
+from .sources.sortedness import order_violations
 from .sources.zones import read_zones_csv, write_zones_csv
 from .streaming import ingest_available
 
@@ -69,17 +90,20 @@ def q_monthly_borough_agg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same aggregate through SQL: gold as a temp view, GROUP BY ordinals."""
     view = f"gold_incoming_{uuid.uuid4().hex[:8]}"
     _gold(spark, sf_dir).createOrReplaceTempView(view)
-    return spark.sql(
-        f"""
-        SELECT pickup_year, pickup_month, pickup_borough, dropoff_borough,
-               COUNT(trip_id) AS total_trips,
-               ROUND(SUM(total_amount), 2) AS total_revenue,
-               ROUND(SUM(trip_distance), 2) AS total_trip_distance,
-               CAST(SUM(passenger_count) AS BIGINT) AS total_passengers
-        FROM {view}
-        GROUP BY 1, 2, 3, 4
-        """
-    )
+    try:
+        return spark.sql(
+            f"""
+            SELECT pickup_year, pickup_month, pickup_borough, dropoff_borough,
+                   COUNT(trip_id) AS total_trips,
+                   CAST(SUM(CAST(total_amount AS DECIMAL(18, 2))) AS DOUBLE) AS total_revenue,
+                   CAST(SUM(CAST(trip_distance AS DECIMAL(18, 2))) AS DOUBLE) AS total_trip_distance,
+                   CAST(SUM(passenger_count) AS BIGINT) AS total_passengers
+            FROM {view}
+            GROUP BY 1, 2, 3, 4
+            """
+        )
+    finally:
+        spark.catalog.dropTempView(view)  # the analysed query no longer needs it
 
 
 def q_dq_global_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +121,43 @@ def q_dq_reject_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_reasons(tables.trips(spark, sf_dir), tables.FIXTURE_EXCLUDED_LOCATIONS)
 
 
+def q_dq_reject_reasons_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over trips with faults that the given tables lack: every one of the 16 rules is the first to fail."""
+    return reject_reasons(tables.faulty_trips(spark, sf_dir), tables.FIXTURE_EXCLUDED_LOCATIONS)
+
+
+def q_dq_clean_faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips that pass every rule, out of the faulty ones."""
+    return clean_trips(tables.faulty_trips(spark, sf_dir), tables.FIXTURE_EXCLUDED_LOCATIONS)
+
+
+def q_gold_single_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold with distances and amounts cast to FLOAT, as the original job stored them."""
+    zones = tables.zones(spark, sf_dir)
+    return to_gold(_silver(spark, sf_dir), zones, created_at=_created_at(), single_precision=True)
+
+
+# A feed in which some values do not fit their type: scaled counts, a word for the third payment type.
+FEED_SCALE = 100_000_000
+FEED_CASTS = {"passenger_count": "int", "payment_type": "int", "RatecodeID": "tinyint"}
+
+
+def _raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = tables.trips(spark, sf_dir)
+    payment = F.when(F.col("payment_type") == 3, F.lit("no charge")).otherwise(F.col("payment_type").cast("string"))
+    return trips.withColumns({"passenger_count": F.col("passenger_count") * FEED_SCALE, "payment_type": payment})
+
+
+def q_cast_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the feed whose counts, payment types and rate codes all cast."""
+    return split_casts(_raw_feed(spark, sf_dir), FEED_CASTS)[0]
+
+
+def q_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the feed that a strict cast would have ended the job at, by the columns at fault."""
+    return reject_counts(split_casts(_raw_feed(spark, sf_dir), FEED_CASTS)[1])
+
+
 def q_zone_enrich_left_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both zone roles left-joined onto every raw trip."""
     return enrich_with_zones(tables.trips(spark, sf_dir), tables.zones(spark, sf_dir))
@@ -243,6 +304,74 @@ def q_merge_monthly_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert(target, source, AGG_KEYS, null_safe=True).merged
 
 
+def q_agg_signed_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate kept up to date by a MERGE's replaced (-1) and written (+1) rows.
+
+    The redelivery raises every amount and names the boroughs in lower case, so
+    its trips leave their old groups and enter new ones.
+    """
+    target = _gold_window(spark, sf_dir, upper=MERGE_TARGET_BEFORE)
+    source = _gold_window(spark, sf_dir, lower=MERGE_SOURCE_FROM).withColumns(
+        {
+            "pickup_borough": F.lower("pickup_borough"),
+            "total_amount": F.col("total_amount") + 10,
+            "passenger_count": F.when(F.col("passenger_count") % 5 > 0, F.col("passenger_count")),
+        }
+    )
+    changes = upsert(target, source, ["trip_id"], preserve=["created_at"], scope_cols=GOLD_PARTITIONS).changes
+    return state_to_agg(add_states(agg_state(target), agg_delta(changes)))
+
+
+LATE_VENDOR, LOOKBACK_DAYS = 2, 400
+
+
+def q_late_rows_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after one vendor's trips arrive late, below the watermark that the other's set.
+
+    The second run looks back 400 days; the third finds nothing new, so every
+    trip is loaded once, and late trips older than the window stay out.
+    """
+    lake = Lakehouse.at(spark, scratch_path(spark, "late-rows"))
+    trips = tables.trips(spark, sf_dir)
+    early = (F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")) & (F.col("VendorID") != LATE_VENDOR)
+    for bronze in (trips.filter(early), trips, trips):
+        refresh_silver(spark, bronze, lake.silver, tables.FIXTURE_EXCLUDED_LOCATIONS, lookback_days=LOOKBACK_DAYS)
+    return lake.silver.as_of()
+
+
+def q_silver_sort_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a written silver table and how many of them break the pickup order inside their file."""
+    lake = Lakehouse.at(spark, scratch_path(spark, "silver-sorted"))
+    lake.silver.overwrite(_silver(spark, sf_dir))
+    return order_violations(spark.read.parquet(lake.silver.data_root), PICKUP)
+
+
+def q_named_table_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly aggregate by table name from another session, after two runs published to the catalog."""
+    root = scratch_path(spark, "named")
+    lake = Lakehouse.at(spark, root)
+    trips, zones = tables.trips(spark, sf_dir), tables.zones(spark, sf_dir)
+    first = trips.filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
+    database = f"trips_{uuid.uuid4().hex[:8]}"
+    for bronze in (first, trips):
+        run_pipeline(spark, bronze, lake, zones, tables.FIXTURE_EXCLUDED_LOCATIONS, created_at=_created_at())
+        publish_lake(spark, lake, database, f"{root}/catalog")
+    columns = ", ".join(AGG.fieldNames())
+    return spark.newSession().sql(f"SELECT {columns} FROM {database}.agg")
+
+
+def q_bronze_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the files that landed after the first load, told by the ledger of files already read."""
+    root, ledger = scratch_path(spark, "landing-files"), scratch_path(spark, "landing-ledger")
+    trips = tables.trips(spark, sf_dir).withColumn("year", F.year(PICKUP))
+    early = F.col("year") <= INT64_LOCATION_YEAR
+    trips.filter(early).write.partitionBy("year").parquet(root)
+    read_new_files(spark, raw_glob(root), ledger).commit()
+    wide = trips.filter(~early).withColumn("DOLocationID", F.col("DOLocationID").cast("bigint"))
+    wide.write.mode("append").partitionBy("year").parquet(root)
+    return read_new_files(spark, raw_glob(root), ledger).rows
+
+
 def q_incremental_load_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver rows after a full load of pre-2000 trips, then an incremental load of all trips."""
     lake = Lakehouse.at(spark, scratch_path(spark, "incremental-load"))
@@ -271,6 +400,25 @@ def q_pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.agg.as_of()
 
 
+def q_agg_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The aggregate job where no aggregate exists yet: computed in full from gold."""
+    lake = Lakehouse.at(spark, scratch_path(spark, "agg-first-run"))
+    lake.gold.overwrite(_gold(spark, sf_dir))
+    refresh_agg(spark, lake)
+    return lake.agg.as_of()
+
+
+def q_gold_empty_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load job by the two-newest-commits rule when the newest append is empty: all of silver is read."""
+    lake = Lakehouse.at(spark, scratch_path(spark, "empty-delta"))
+    silver = _silver(spark, sf_dir)
+    lake.silver.overwrite(silver)
+    lake.silver.append(silver.filter(F.col(PICKUP).isNull()))  # no clean trip lacks its pickup time
+    zones = tables.zones(spark, sf_dir)
+    refresh_gold(spark, lake, zones, created_at=_created_at(), progress="latest-two", on_duplicate="insert")
+    return lake.gold.as_of()
+
+
 def q_silver_sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean trips written as a day-partitioned, pickup-sorted snappy table and read back.
 
@@ -285,7 +433,7 @@ def q_silver_sorted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_zone_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone dimension round trip through a headed CSV file read with its schema."""
     path = scratch_path(spark, "zones-csv")
-    write_zones_csv(tables.zones(spark, sf_dir), path)
+    write_zones_csv(tables.all_zones(spark, sf_dir), path)
     return read_zones_csv(spark, path)
 
 
@@ -322,7 +470,7 @@ def q_schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     How many files a folder has depends on the writing tasks, so files are left out.
     """
     root = _land_drifted_trips(spark, sf_dir)
-    report = schema_drift(spark, list_files(spark, raw_glob(root)))
+    report = schema_drift(spark, file_listing(spark, raw_glob(root)))
     return report.select("column", "folders", F.array_join("types", ",").alias("types"), "expected_type", "drift")
 
 
@@ -373,12 +521,39 @@ def q_landing_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_report(landing_status(plan, landed))
 
 
+def q_landing_previous_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly mode: the plan of the month before the last order's month."""
+    last = scalar(tables.table(spark, sf_dir, "orders").agg(F.max("o_orderdate")))
+    return month_plan(previous_month(spark, last.date()), last.date())
+
+
+def q_landing_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months per outcome of a landing run, and the run's status.
+
+    Of the months with orders: the first year landed before and is not planned,
+    a March vanishes during the run, a February fails and a March is missing in
+    the last year but one; months without orders yet are pending.
+    """
+    plan, landed = _landing_frames(spark, sf_dir)
+    bounds = landed.agg(F.min("data_year").alias("first"), F.max("data_year").alias("last")).first()
+    year, month = F.col("data_year"), F.col("data_month")
+    plan = plan.filter(year > bounds["first"])
+    before = landed.filter(year <= bounds["first"] + 2)
+    failed = (year == bounds["last"] - 1) & (month == 2)
+    gone = (year == bounds["first"] + 1) & (month == 3)
+    after = landed.filter(~failed & ~gone & ~((year == bounds["last"] - 1) & (month == 3)))
+    errors = landed.filter(failed).withColumn("error", F.lit("HTTP 404"))
+    return outcome_report(landing_outcomes(plan, before, after, errors))
+
+
 QUERIES: dict[str, Query] = {
     "monthly_borough_agg": q_monthly_borough_agg,
     "monthly_borough_agg_sql": q_monthly_borough_agg_sql,
     "dq_global_filter": q_dq_global_filter,
     "dq_rate_rules": q_dq_rate_rules,
     "dq_reject_reasons": q_dq_reject_reasons,
+    "dq_reject_reasons_faulty": q_dq_reject_reasons_faulty,
+    "dq_clean_faulty": q_dq_clean_faulty,
     "zone_enrich_left_join": q_zone_enrich_left_join,
     "trip_key_hash": q_trip_key_hash,
     "calendar_parts": q_calendar_parts,
@@ -396,8 +571,12 @@ QUERIES: dict[str, Query] = {
     "merge_upsert_trips": q_merge_upsert_trips,
     "merge_partial_aggs": q_merge_partial_aggs,
     "merge_monthly_agg": q_merge_monthly_agg,
+    "agg_signed_deltas": q_agg_signed_deltas,
     "incremental_load_effect": q_incremental_load_effect,
+    "late_rows_load": q_late_rows_load,
     "pipeline_end_to_end": q_pipeline_end_to_end,
+    "agg_first_run": q_agg_first_run,
+    "gold_empty_delta": q_gold_empty_delta,
     "silver_sorted_write": q_silver_sorted_write,
     "zone_csv_scan": q_zone_csv_scan,
     "bronze_drift_read": q_bronze_drift_read,
@@ -405,7 +584,15 @@ QUERIES: dict[str, Query] = {
     "landing_month_plan": q_landing_month_plan,
     "landing_missing_months": q_landing_missing_months,
     "landing_report": q_landing_report,
+    "landing_previous_month": q_landing_previous_month,
+    "landing_outcomes": q_landing_outcomes,
     "stream_ingest_silver": q_stream_ingest_silver,
+    "gold_single_precision": q_gold_single_precision,
+    "cast_accepted": q_cast_accepted,
+    "cast_rejects": q_cast_rejects,
+    "silver_sort_check": q_silver_sort_check,
+    "named_table_select": q_named_table_select,
+    "bronze_new_files": q_bronze_new_files,
 }
 
 ORACLES: dict[str, str] = {
@@ -414,6 +601,8 @@ ORACLES: dict[str, str] = {
     "dq_global_filter": sql.DQ_GLOBAL_FILTER,
     "dq_rate_rules": sql.DQ_RATE_RULES,
     "dq_reject_reasons": sql.DQ_REJECT_REASONS,
+    "dq_reject_reasons_faulty": sql.DQ_REJECT_REASONS_FAULTY,
+    "dq_clean_faulty": sql.DQ_CLEAN_FAULTY,
     "zone_enrich_left_join": sql.ZONE_ENRICH_LEFT_JOIN,
     "trip_key_hash": sql.TRIP_KEY_HASH,
     "calendar_parts": sql.CALENDAR_PARTS,
@@ -431,8 +620,12 @@ ORACLES: dict[str, str] = {
     "merge_upsert_trips": sql.MERGE_UPSERT_TRIPS,
     "merge_partial_aggs": sql.MONTHLY_BOROUGH_AGG,
     "merge_monthly_agg": sql.MERGE_MONTHLY_AGG,
+    "agg_signed_deltas": sql.AGG_SIGNED_DELTAS,
     "incremental_load_effect": sql.INCREMENTAL_LOAD_EFFECT,
+    "late_rows_load": sql.LATE_ROWS_LOAD,
     "pipeline_end_to_end": sql.MONTHLY_BOROUGH_AGG,
+    "agg_first_run": sql.MONTHLY_BOROUGH_AGG,
+    "gold_empty_delta": sql.GOLD_OBT_PROJECTION,
     "silver_sorted_write": sql.SILVER_SORTED_WRITE,
     "zone_csv_scan": sql.ZONE_CSV_SCAN,
     "bronze_drift_read": sql.BRONZE_DRIFT_READ,
@@ -440,7 +633,15 @@ ORACLES: dict[str, str] = {
     "landing_month_plan": sql.LANDING_MONTH_PLAN,
     "landing_missing_months": sql.LANDING_MISSING_MONTHS,
     "landing_report": sql.LANDING_REPORT,
+    "landing_previous_month": sql.LANDING_PREVIOUS_MONTH,
+    "landing_outcomes": sql.LANDING_OUTCOMES,
     "stream_ingest_silver": sql.SILVER_SORTED_WRITE,
+    "gold_single_precision": sql.GOLD_SINGLE_PRECISION,
+    "cast_accepted": sql.CAST_ACCEPTED,
+    "cast_rejects": sql.CAST_REJECTS,
+    "silver_sort_check": sql.SILVER_SORT_CHECK,
+    "named_table_select": sql.MONTHLY_BOROUGH_AGG,
+    "bronze_new_files": sql.BRONZE_NEW_FILES,
 }
 
 

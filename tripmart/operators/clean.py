@@ -38,11 +38,6 @@ def clean_trips(df: DataFrame, excluded_locations: Iterable[int] = EXCLUDED_LOCA
     return df.filter(clean_predicate(excluded_locations)).select(*SILVER_COLUMNS)
 
 
-def sort_for_write(df: DataFrame, incremental_col: str = PICKUP) -> DataFrame:
-    """Cluster each output file on the incremental column (tighter min/max stats)."""
-    return df.sortWithinPartitions(incremental_col)
-
-
 def reject_reasons(df: DataFrame, excluded_locations: Iterable[int] = EXCLUDED_LOCATIONS) -> DataFrame:
     """Count of rejected rows per first failing rule: ``(reject_reason, rejected_rows)``.
 

@@ -21,10 +21,10 @@ def bounded_broadcast(
 ) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The probe is ``limit(max_rows + 1).collect()`` of a constant column, which
-    Spark runs as an incremental take (one partition first, more only if
+    The probe asks for one row of a constant column after ``max_rows`` others,
+    which Spark runs as an incremental take (one partition first, more only if
     needed), so it reads at most about ``max_rows`` rows, never the whole
-    table.  ``bound_by`` names a cheaper frame with at least as many rows
+    table, and hands one row to Python.  ``bound_by`` names a cheaper frame with at least as many rows
     (e.g. the fact side of a key lookup join) to probe instead of ``df``
     itself, so a join never has to run just to learn that it is too big.
     Above the bound the caller's join falls back to whatever Catalyst/AQE
@@ -34,7 +34,6 @@ def bounded_broadcast(
     known = _CHECKED.get(df, {})
     if max_rows not in known:
         probe = df if bound_by is None else bound_by
-        rows = probe.select(F.lit(1).alias("_")).limit(max_rows + 1).collect()
-        known[max_rows] = len(rows) <= max_rows
+        known[max_rows] = probe.select(F.lit(1).alias("_")).offset(max_rows).isEmpty()
         _CHECKED[df] = known
     return F.broadcast(df) if known[max_rows] else df

@@ -358,9 +358,9 @@ SILVER_SORTED_WRITE = f"""
 SELECT * FROM clean
 """
 
-ZONE_CSV_SCAN = f"""
-{with_(ZONES)}
-SELECT * FROM zones
+ZONE_CSV_SCAN = """
+SELECT CAST(n_nationkey AS INT) AS LocationID, r_name AS Borough, n_name AS Zone, 'Z' AS service_zone
+FROM nation JOIN region ON n_regionkey = r_regionkey
 """
 
 BRONZE_DRIFT_READ = f"""
@@ -461,3 +461,116 @@ SELECT pickup_borough, pickup_zone,
 FROM gold
 GROUP BY pickup_borough, pickup_zone
 """
+
+FAULTY = """
+faulty AS (
+  SELECT * REPLACE (
+    CASE WHEN passenger_count = 1 THEN NULL ELSE PULocationID END AS PULocationID,
+    CASE WHEN passenger_count = 2 THEN 0 ELSE DOLocationID END AS DOLocationID,
+    CASE WHEN passenger_count = 3 THEN NULL ELSE tpep_pickup_datetime END AS tpep_pickup_datetime,
+    CASE WHEN passenger_count = 4 THEN NULL ELSE tpep_dropoff_datetime END AS tpep_dropoff_datetime,
+    CASE WHEN passenger_count = 5 THEN CAST(0 AS DOUBLE) ELSE total_amount END AS total_amount,
+    CASE WHEN passenger_count = 6 THEN CAST(-1 AS DOUBLE) ELSE trip_distance END AS trip_distance,
+    CASE WHEN passenger_count = 7 THEN 3 ELSE RatecodeID END AS RatecodeID,
+    CASE WHEN passenger_count = 7 THEN CAST(-1 AS DOUBLE) ELSE fare_amount END AS fare_amount)
+  FROM trips
+)"""
+
+DQ_REJECT_REASONS_FAULTY = DQ_REJECT_REASONS.replace(with_(TRIPS), with_(TRIPS, FAULTY)).replace("FROM trips", "FROM faulty")
+DQ_REJECT_REASONS_FAULTY = DQ_REJECT_REASONS_FAULTY.replace("FROM faulty\n)", "FROM trips\n)", 1)
+
+DQ_CLEAN_FAULTY = f"""
+{with_(TRIPS, FAULTY)}
+SELECT * FROM faulty WHERE {GLOBAL_OK} AND {RATE_OK}
+"""
+
+GOLD_SINGLE_PRECISION = f"""
+{with_(TRIPS, CLEAN, ZONES, GOLD)}
+SELECT * REPLACE (CAST(trip_distance AS FLOAT) AS trip_distance, CAST(total_amount AS FLOAT) AS total_amount) FROM gold
+"""
+
+CAST_ACCEPTED = f"""
+{with_(TRIPS)}
+SELECT * REPLACE (CAST(passenger_count * 100000000 AS INT) AS passenger_count, CAST(payment_type AS INT) AS payment_type,
+                  CAST(RatecodeID AS TINYINT) AS RatecodeID)
+FROM trips WHERE passenger_count * 100000000 <= 2147483647 AND payment_type <> 3
+"""
+
+CAST_REJECTS = f"""
+{with_(TRIPS)}
+SELECT CASE WHEN passenger_count * 100000000 <= 2147483647 THEN 'payment_type'
+            WHEN payment_type <> 3 THEN 'passenger_count' ELSE 'passenger_count,payment_type' END AS rejected_columns,
+       COUNT(*) AS rejected_rows
+FROM trips WHERE passenger_count * 100000000 > 2147483647 OR payment_type = 3
+GROUP BY ALL
+"""
+
+AGG_SIGNED_DELTAS = f"""
+{with_(TRIPS, CLEAN, ZONES, MERGE_WINDOWS)},
+t AS ({gold_select('clean_old', "TIMESTAMP '2024-01-01 00:00:00'")}),
+s AS (SELECT * REPLACE (lower(pickup_borough) AS pickup_borough, total_amount + 10 AS total_amount,
+             CASE WHEN passenger_count % 5 > 0 THEN passenger_count END AS passenger_count)
+      FROM ({gold_select('clean_new', "TIMESTAMP '2024-01-01 00:00:00'")})),
+merged AS (SELECT * FROM s UNION ALL SELECT * FROM t WHERE trip_id NOT IN (SELECT trip_id FROM s))
+{AGG_SELECT}
+FROM merged
+GROUP BY pickup_year, pickup_month, pickup_borough, dropoff_borough
+"""
+
+LATE_ROWS_LOAD = f"""
+{with_(TRIPS, CLEAN)},
+mark AS (SELECT MAX(tpep_pickup_datetime) AS w FROM clean
+         WHERE tpep_pickup_datetime < TIMESTAMP '2000-01-01 00:00:00' AND VendorID <> 2)
+SELECT clean.* FROM clean, mark
+WHERE tpep_pickup_datetime > w OR VendorID <> 2 OR tpep_pickup_datetime > w - INTERVAL 400 DAY
+"""
+
+SILVER_SORT_CHECK = f"""
+{with_(TRIPS, CLEAN)}
+SELECT COUNT(*) AS rows, CAST(0 AS BIGINT) AS violations FROM clean
+"""
+
+BRONZE_NEW_FILES = f"""
+{with_(TRIPS)}
+SELECT * FROM trips WHERE year(tpep_pickup_datetime) > 1996
+"""
+
+LANDING_PREVIOUS_MONTH = """
+WITH run AS (SELECT CAST(MAX(o_orderdate) AS DATE) AS run_date FROM orders),
+prev AS (SELECT run_date, date_trunc('month', run_date) - INTERVAL 1 MONTH AS m FROM run)
+SELECT CAST(year(m) AS INT) AS data_year, CAST(month(m) AS INT) AS data_month,
+       printf('yellow_tripdata_%04d-%02d.parquet', year(m), month(m)) AS file_name,
+       'raw/taxi/year=' || CAST(year(run_date) AS VARCHAR) || '/'
+         || printf('yellow_tripdata_%04d-%02d.parquet', year(m), month(m)) AS object_key,
+       CAST(year(run_date) AS INT) AS landed_year,
+       FALSE AS pending
+FROM prev
+"""
+
+LANDING_OUTCOMES = f"""
+{with_(LANDING)},
+b AS (SELECT MIN(data_year) AS lo, MAX(data_year) AS hi FROM landed),
+seen AS (
+  SELECT data_year, data_month, data_year <= lo + 2 AS was,
+         NOT (data_year = hi - 1 AND data_month IN (2, 3)) AND NOT (data_year = lo + 1 AND data_month = 3) AS now,
+         data_year = hi - 1 AND data_month = 2 AS failed
+  FROM landed, b
+),
+months_seen AS (
+  SELECT p.pending, p.data_year IS NOT NULL AS planned, coalesce(was, FALSE) AS was, coalesce(now, FALSE) AS now,
+         coalesce(failed, FALSE) AS failed
+  FROM (SELECT plan.* FROM plan, b WHERE data_year > lo) p
+  FULL JOIN seen s ON s.data_year = p.data_year AND s.data_month = p.data_month
+  WHERE p.data_year IS NOT NULL OR was OR now
+),
+counts AS (
+  SELECT CASE WHEN was AND NOT now THEN 'lost' WHEN NOT planned THEN 'unplanned' WHEN was THEN 'skipped'
+              WHEN now THEN 'success' WHEN failed THEN 'failed' WHEN pending THEN 'pending' ELSE 'missing' END AS status,
+         COUNT(*) AS months
+  FROM months_seen GROUP BY ALL
+)
+SELECT status, months,
+       CASE WHEN (SELECT COUNT(*) FROM counts WHERE status IN ('failed', 'lost')) > 0 THEN 'failed'
+            WHEN (SELECT COUNT(*) FROM counts WHERE status = 'missing') > 0 THEN 'incomplete' ELSE 'completed' END AS run_status
+FROM counts
+"""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .versioned import COMMIT_COL, DELETE, OVERWRITE, REPLACE
 
 # Operations that force a full re-read downstream.
-FULL_LOAD_OPERATIONS = (OVERWRITE, DELETE, REPLACE)
+REWRITING_OPERATIONS = (OVERWRITE, DELETE, REPLACE)
 NONE, FULL, DELTA = "none", "full", "delta"
 
 
@@ -33,7 +33,7 @@ class ReadPlan:
 
 def read_mode(operation: Column, previous_id: Column, delta_rows: Column | None = None) -> Column:
     """The full/delta decision as a Column over one commit and its predecessor."""
-    full = previous_id.isNull() | operation.isin(list(FULL_LOAD_OPERATIONS))
+    full = previous_id.isNull() | operation.isin(list(REWRITING_OPERATIONS))
     if delta_rows is not None:
         full = full | (F.coalesce(delta_rows, F.lit(0)) == 0)
     return F.when(full, F.lit(FULL)).otherwise(F.lit(DELTA))

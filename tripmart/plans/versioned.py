@@ -467,6 +467,22 @@ class VersionedTable:
             folders += [root] if len(kept) == len(written) else [f"{root}/{p}" for p in kept]
         return folders
 
+    def partition_folders(self, commit_id: int | None = None) -> dict[str, tuple[int, str]]:
+        """Partition path → (commit, folder) of a version in which each partition lies in one commit."""
+        live, rewritten = live_commits(self.commits(), commit_id or self.latest_commit_id() or 0)
+        found: dict[str, tuple[int, str]] = {}
+        for c in live:
+            if c.rows == 0:
+                continue
+            written = c.written if c.written is not None else self._written_folders(c.commit_id)
+            for p in written:
+                if rewritten.get(p, 0) > c.commit_id:
+                    continue
+                if p in found:
+                    raise ValueError(f"partition {p} lies in commits {found[p][0]} and {c.commit_id}")
+                found[p] = c.commit_id, f"{self.data_root}/{COMMIT_COL}={c.commit_id}/{p}"
+        return found
+
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import raw_file_key, raw_file_name
@@ -20,10 +20,18 @@ from .bronze import list_files
 SKIPPED = "skipped"  # file already landed
 PENDING = "pending"  # month not published yet at the run date
 MISSING = "missing"  # due but not landed: to download (or failed)
+SUCCESS = "success"  # landed by this run
+FAILED = "failed"  # tried by this run, with an error
+LOST = "lost"  # there before the run, gone after it
+UNPLANNED = "unplanned"  # landed, but not in the plan
 REASONS = {
     SKIPPED: "File already exists in S3",
     PENDING: "Month not published yet",
     MISSING: "File not landed",
+    SUCCESS: "File landed",
+    FAILED: "Download failed",
+    LOST: "File no longer there",
+    UNPLANNED: "Month not in the plan",
 }
 
 # Year and month as written in a raw file name: yellow_tripdata_YYYY-MM.parquet
@@ -101,6 +109,49 @@ def landing_status(plan: DataFrame, landed: DataFrame) -> DataFrame:
     return joined.select("data_year", "data_month", "file_name", "object_key", status.alias("status"))
 
 
+def landing_outcomes(plan: DataFrame, before: DataFrame, after: DataFrame, errors: DataFrame, source_root: str = "") -> DataFrame:
+    """What a run made of every month: one row per month that is planned or listed.
+
+    ``before`` and ``after`` list the landed months (data_year, data_month)
+    around the run, ``errors`` (data_year, data_month, error) the downloads
+    that ended in an error.  The listings meet in a full outer join, and again
+    with the plan, so months that vanished or were never planned show up too.
+    A month that landed after an error is a success; its error is kept.
+    """
+    keys = ["data_year", "data_month"]
+    listed = (
+        before.select(*keys, F.lit(True).alias("was")).distinct()
+        .join(after.select(*keys, F.lit(True).alias("is")).distinct(), keys, "full_outer")
+    )
+    last_error = errors.groupBy(*keys).agg(F.max("error").alias("error"))
+    joined = plan.withColumn("planned", F.lit(True)).join(listed, keys, "full_outer").join(last_error, keys, "left")
+    was, now = F.col("was").isNotNull(), F.col("is").isNotNull()
+    status = (
+        F.when(was & ~now, F.lit(LOST))
+        .when(F.col("planned").isNull(), F.lit(UNPLANNED))
+        .when(was, F.lit(SKIPPED))
+        .when(now, F.lit(SUCCESS))
+        .when(F.col("error").isNotNull(), F.lit(FAILED))
+        .when(F.col("pending"), F.lit(PENDING))
+        .otherwise(F.lit(MISSING))
+    )
+    name = raw_file_name("data_year", "data_month")
+    return joined.select(
+        *keys, name.alias("file_name"), "object_key", status.alias("status"), "error",
+        F.concat(F.lit(source_root), name).alias("source_url"),
+    )
+
+
+def outcome_report(outcomes: DataFrame) -> DataFrame:
+    """Months per status and the run's: ``failed`` if a download failed or a file was lost, ``incomplete`` if a due
+    month is missing, else ``completed``."""
+    counts = outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("months"))
+    bad = counts.filter(F.col("status").isin(FAILED, LOST)).agg(F.count(F.lit(1))).scalar()
+    missing = counts.filter(F.col("status") == MISSING).agg(F.count(F.lit(1))).scalar()
+    run = F.when(bad > 0, F.lit("failed")).when(missing > 0, F.lit("incomplete")).otherwise(F.lit("completed"))
+    return counts.select("status", "months", run.alias("run_status"))
+
+
 def landing_report(status: DataFrame) -> DataFrame:
     """Months per status, plus the derived run status (``completed`` only if none is missing)."""
     counts = status.groupBy("status").agg(F.count(F.lit(1)).alias("months"))
@@ -114,21 +165,26 @@ def landing_records(status: DataFrame, store_uri: str | None = None) -> DataFram
     """Per-month records in the landing-result shape (``schemas.LANDING``).
 
     ``s3_uri`` is the object key under ``store_uri`` (e.g. ``s3://bucket``);
-    no download happens here, so ``source_url`` and ``error`` stay NULL.
+    ``source_url`` and ``error`` are those of ``landing_outcomes``, NULL for a
+    status without them.
     """
     reason = F.create_map(*[x for k, v in REASONS.items() for x in (F.lit(k), F.lit(v))])[F.col("status")]
     uri = F.col("object_key") if not store_uri else F.concat_ws("/", F.lit(store_uri.rstrip("/")), "object_key")
     return status.select(
         F.col("status"),
         reason.alias("reason"),
-        F.lit(None).cast("string").alias("source_url"),
+        _or_null(status, "source_url"),
         uri.alias("s3_uri"),
         F.col("data_year").cast("int").alias("year"),
         F.col("data_month").cast("int").alias("month"),
-        F.lit(None).cast("string").alias("error"),
+        _or_null(status, "error"),
     )
 
 
+def _or_null(df: DataFrame, column: str) -> Column:
+    return (F.col(column) if column in df.columns else F.lit(None)).cast("string").alias(column)
+
+
 def write_landing_report(status: DataFrame, path: str, store_uri: str | None = None) -> None:
     """Persist one run's per-month records as JSON lines.
 

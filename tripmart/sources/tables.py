@@ -110,6 +110,21 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*SILVER_COLUMNS)
 
 
+def faulty_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trips with faults by passenger count, so that also the rules that no given row fails have rows to reject."""
+    faults = {
+        "PULocationID": F.when(F.col("passenger_count") == 1, F.lit(None).cast("int")),
+        "DOLocationID": F.when(F.col("passenger_count") == 2, F.lit(0)),
+        "tpep_pickup_datetime": F.when(F.col("passenger_count") == 3, F.lit(None).cast("timestamp_ntz")),
+        "tpep_dropoff_datetime": F.when(F.col("passenger_count") == 4, F.lit(None).cast("timestamp_ntz")),
+        "total_amount": F.when(F.col("passenger_count") == 5, F.lit(0.0)),
+        "trip_distance": F.when(F.col("passenger_count") == 6, F.lit(-1.0)),
+        "RatecodeID": F.when(F.col("passenger_count") == 7, F.lit(3).cast("bigint")),
+        "fare_amount": F.when(F.col("passenger_count") == 7, F.lit(-1.0)),
+    }
+    return trips(spark, sf_dir).withColumns({c: fault.otherwise(F.col(c)) for c, fault in faults.items()})
+
+
 _ZONES: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -125,15 +140,16 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _build_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return all_zones(spark, sf_dir).filter(F.col("LocationID") < FIXTURE_ZONE_KEY_LIMIT)
+
+
+def all_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation as a zone; the joins use ``zones``, which leaves some out so that trips miss them."""
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
-    return (
-        nation.filter(F.col("n_nationkey") < FIXTURE_ZONE_KEY_LIMIT)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select(
-            F.col("n_nationkey").cast("int").alias("LocationID"),
-            F.col("r_name").alias("Borough"),
-            F.col("n_name").alias("Zone"),
-            F.lit(FIXTURE_SERVICE_ZONE).alias("service_zone"),
-        )
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        F.col("n_nationkey").cast("int").alias("LocationID"),
+        F.col("r_name").alias("Borough"),
+        F.col("n_name").alias("Zone"),
+        F.lit(FIXTURE_SERVICE_ZONE).alias("service_zone"),
     )
