@@ -128,7 +128,7 @@ def test_base_spans():
     assert pii.detect(zeros) == [("ip", 0, len(zeros))]
 
 
-def test_added_spans_never_overlap_base_ones():
+def test_added_spans_hold_base_ones_whole_or_not_at_all():
     rng = random.Random(8)
     bits = ["bob@ex.org", "ann [at] ex [dot] org", " at ", " dot ", "1.2.3.4", " ", "，", "x", "１.2.3.4", "(at)", "q@w.e [dot] r"]
     for _ in range(2000):
@@ -136,7 +136,8 @@ def test_added_spans_never_overlap_base_ones():
         base, spans = pii.find(text)
         tape = pii.deobfuscate(text)
         moved = [(k, *tape.source(s, e)) for k, s, e in pii.detect(tape.text)] if tape else []
-        new = [x for x in moved if not any(x[0] == k and x[1] < b and a < x[2] for k, a, b in base)]
+        cuts = lambda x, y: x[0] == y[0] and x[1] < y[2] and y[1] < x[2] and not (x[1] <= y[1] and y[2] <= x[2])
+        new = [x for x in moved if x not in base and not any(cuts(x, y) for y in base)]
         assert sorted(spans) == sorted(base + new), text
 
 
@@ -180,6 +181,24 @@ def test_short_counts_are_not_identifiers():
     assert pii.find(long) == ([], [])
 
 
+def test_a_span_around_a_base_one_is_added():
+    text = "write to john@mail.example (dot) com or john@mail.example dot co dot uk"
+    base, spans = pii.find(text)
+    assert [text[a:b] for _, a, b in base] == ["john@mail.example"] * 2
+    assert [text[a:b] for _, a, b in spans] == ["john@mail.example", "john@mail.example (dot) com", "john@mail.example", "john@mail.example dot co dot uk"]
+
+
+def test_long_runs_are_read_once():
+    import time
+
+    for text in (" " * 200_000, "a@b" + " dot c" * 20_000, "[" + " " * 100_000 + "[" + " " * 100_000, " at" * 60_000, "x at y" + " " * 200_000 + "dot"):
+        started = time.monotonic()
+        pii.find(text)
+        assert time.monotonic() - started < 2
+    chain = "a@b" + " dot c" * 50 + " d@e dot f"
+    assert [chain[s:e] for _, s, e in pii.find(chain)[1]] == ["a@b" + " dot c" * 50, "d@e dot f"]
+
+
 def test_clean_text_has_no_spans():
     assert pii.find("Meet me at noon, at the corner dot by dot. One two three four birds.") == ([], [])
 
@@ -288,6 +307,25 @@ def test_mixing_refines_large_sources(spark, monkeypatch):
     assert all(abs(r.n - r.t) <= r.m for r in got.collect())
 
 
+def test_longer_documents_are_drawn_more_often(spark, monkeypatch):
+    rows = [(i, "w " * (8 if i % 2 else 128), "en", "ab"[i % 40 == 0], 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    drawn = {8: 0, 128: 0}
+    for seed in range(12):
+        monkeypatch.setattr(mixing, "SEED", seed)
+        got = mixing.mix(docs, carry=["doc_id", "source"]).where("source = 'a'").collect()
+        assert abs(sum(r.copies * r.size for r in got) - got[0].target) <= 128
+        for r in got:
+            drawn[r.size] += r.copies
+    want = {r["cls"]: r["whole"] + r["p"] for r in mixing._wanted(
+        docs.select(F.struct("source").alias("sk"), mixing.n_words(F.col("text")).alias("size")).withColumn("cls", mixing.size_class(F.col("size"))),
+        mixing.source_targets(docs.select(F.struct("source").alias("sk"), mixing.n_words(F.col("text")).alias("size"))), 3).collect() if r.sk.source == "a"}
+    assert want[7] == pytest.approx(2 * want[3]) and 0 < want[7] < 1  # 2^(4/4) times as often
+    for size, cls in ((8, 3), (128, 7)):
+        n = sum(1 for _, t, _, s, _ in rows if s == "a" and len(t.split()) == size)
+        assert drawn[size] / (12 * n) == pytest.approx(want[cls], rel=0.1)
+
+
 def test_license_forms(spark):
     mit = "Copyright (c) 2020 A. Person\n\n" + licenses.MIT_TEXT.replace("sublicense", "sub-licence").upper()
     rows = [(1, mit, "en", "s", 0), (2, "x\nReleased  under the MIT Licence!\ny", "en", "s", 0), (3, "MIT", "en", "s", 0)]

@@ -17,7 +17,7 @@ are one line for the join, so frequent lines cost one row.
 Shorter lines take part in exact repeats only: from ``EXACT_CHARS`` code points
 on if they hold a letter or digit, by one grouped hash and without the join.
 
-A line is identified by a 64-bit hash and its length.
+A line is identified by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -275,10 +275,13 @@ def dropped_lines(
 
 
 def dedup_lines(
-    docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS
+    docs: DataFrame, *, tau: int = TAU, min_chars: int = MIN_CHARS, exact_chars: int = EXACT_CHARS, report: bool = True
 ) -> DataFrame:
     """``docs`` with each dropped line taken out of its text, and columns n_lines, n_dropped and dropped.
 
+    A column of ``docs`` with one of these three names is replaced; without
+    ``report`` the columns are those of ``docs`` as they are.
+
     Lines are split at newlines; lines under ``min_chars`` code points go
     only as exact repeats, those under ``exact_chars`` or without a letter or digit stay.  A
     NULL text stays NULL (no lines), an empty one empty; a document may lose
@@ -286,22 +289,23 @@ def dedup_lines(
     rows are one document and get the same result; an empty table stays empty.
     """
     lost = staged(dropped_lines(docs, tau=tau, min_chars=min_chars, exact_chars=exact_chars), "line-dropped")
-    lost = lost.select(F.struct("doc_id").alias("__key"), F.col("th").alias("__th"), "dropped")
+    lost = lost.select(F.struct("doc_id").alias("__key"), F.col("th").alias("__th"), F.col("dropped").alias("__dropped"))
     keyed = docs.withColumns(
         {"__key": F.struct("doc_id"), "__th": F.xxhash64(F.coalesce("text", F.lit("")))}
     )
     found = keyed.join(lost, ["__key", "__th"], "left")
     lines = F.split("text", "\n")
     numbered = F.transform(lines, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
-    left = F.filter(numbered, lambda x: ~F.array_contains(F.col("dropped"), x["i"]))
-    text = F.when(F.col("dropped").isNull(), F.col("text")).otherwise(
+    left = F.filter(numbered, lambda x: ~F.array_contains(F.col("__dropped"), x["i"]))
+    text = F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(left, lambda x: x["x"]), "\n")
     )
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    return found.select(
-        *others,
-        text.alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
-        F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"),
-    )
+    if not report:
+        return found.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    added = {
+        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long"),
+        "n_dropped": F.coalesce(F.size("__dropped"), F.lit(0)).cast("long"),
+        "dropped": F.coalesce("__dropped", F.array().cast("array<int>")),
+    }
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text" and c not in added]
+    return found.select(*others, text.alias("text"), *[x.alias(c) for c, x in added.items()])

@@ -1,14 +1,19 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source's target is its weighted share of all words, at most MAX_REPEAT (3)
-times its size; what a capped source cannot take is shared again by weight.  A
-document is wanted c = target / source size times: floor(c) whole copies are
+times its size; what a capped source cannot take is shared again by weight.
+
+Longer documents are wanted more often: a document of 2^b to 2^(b+1) words is
+wanted c = min(MAX_REPEAT, k * 2^(b * SIZE_POWER)) times, with k such that the
+wanted words of the source add up to its target.  floor(c) whole copies are
 certain, and its inclusion probability for one more is p = c - floor(c).
 
 Pareto order sampling gives every document a random number u and ranks the
-documents of a source by the odds u / (1 - u) divided by p / (1 - p).  The
-sample is fixed in size, measured in words: the leading documents up to what the
-whole copies leave of the target, and at the end those that still fit.
+documents of a source by the odds u / (1 - u) divided by p / (1 - p), so that
+documents of unequal probability meet in one order.  The sample is fixed in
+size, measured in words: the leading documents up to what the whole copies
+leave of the target, and at the end those that still fit, among the documents
+of the last range (see SORT_ROWS, which therefore is a parameter of the result).
 
 The rank is a 62-bit integer.  Where a source's sample ends is found by
 histograms of 16 bins over the next 4 bits of the rank, for all large sources
@@ -24,9 +29,10 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, staged
 
 MAX_REPEAT = 3
+SIZE_POWER = 0.25  # how much more often twice as long documents are wanted, as a power of their words
 SEED = 20240229
 RANK_BITS, BIN_BITS = 62, 4
-SORT_ROWS = 1000  # a range with so many documents or fewer is ordered exactly
+SORT_ROWS = 1000  # a range with so many documents or fewer is ordered exactly, and its documents tried for fit
 
 
 def n_words(text: Column) -> Column:
@@ -70,6 +76,33 @@ def source_targets(docs: DataFrame, *, max_repeat: int = MAX_REPEAT) -> DataFram
     return sources.withColumn("target", target)
 
 
+def size_class(size: Column) -> Column:
+    """Binary digits of a document's words, less one."""
+    return F.floor(F.log2(F.greatest(size, F.lit(1)))).cast("int")
+
+
+def _wanted(docs: DataFrame, sources: DataFrame, max_repeat: int) -> DataFrame:
+    """``(sk, cls, total, target, whole, p, rest)`` per source and size class; at most 40 classes a source.
+
+    The classes wanted most reach ``max_repeat`` first.  With the j longest
+    classes at it, the others share what is left of the target in proportion;
+    the least j for which none of them exceeds it is the solution.
+    """
+    classes = docs.groupBy("sk", "cls").agg(F.sum("size").alias("words"))
+    classes = classes.join(sources.select("sk", "total", "target"), "sk")
+    f = F.pow(F.lit(2.0), F.col("cls") * F.lit(SIZE_POWER))
+    down = Window.partitionBy("sk").orderBy(F.col("cls").desc())
+    full = F.coalesce(F.sum("words").over(down.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) * max_repeat
+    free = F.sum(f * F.col("words")).over(down.rowsBetween(0, Window.unboundedFollowing))
+    classes = classes.withColumns({"f": f, "k": F.try_divide(F.col("target") - full, free)})
+    holds = F.when(F.col("k") * F.col("f") <= max_repeat * (1 + 1e-9), F.struct((-F.col("cls")).alias("at"), F.col("k").alias("k")))
+    k = F.min(holds).over(Window.partitionBy("sk"))["k"]
+    c = F.round(F.least(F.lit(float(max_repeat)), F.coalesce(k, F.lit(0.0)) * F.col("f")), 9)
+    classes = classes.withColumn("c", c).withColumn("whole", F.floor("c")).withColumn("p", F.col("c") - F.floor("c"))
+    certain = F.sum(F.col("whole") * F.col("words")).over(Window.partitionBy("sk"))
+    return classes.select("sk", "cls", "total", "target", "whole", "p", (F.col("target") - certain).alias("rest"))
+
+
 def _pareto_rank(key: Column, p: Column, tie: Column) -> Column:
     """Rank of a document with inclusion probability p: 40 bits of its odds ratio, then 22 that settle ties."""
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(SEED), key), 12).cast("double") + 0.5) / float(1 << 52)
@@ -143,19 +176,17 @@ def mix(docs: DataFrame, *, carry: list[str] | None = None, max_repeat: int = MA
         F.xxhash64("doc_id", "text").alias("key"),
         F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
     )
-    slim = staged(slim, "mix-documents")
+    slim = staged(slim.withColumn("cls", size_class(F.col("size"))), "mix-documents")
     sources = source_targets(slim, max_repeat=max_repeat)
-    c = F.when(F.col("total") > 0, F.least(F.col("target") / F.col("total"), F.lit(float(max_repeat)))).otherwise(0.0)
-    sources = sources.withColumn("whole", F.floor(c)).withColumn("p", c - F.floor(c))
-    sources = staged(sources.withColumn("rest", F.col("target") - F.col("whole") * F.col("total")), "mix-sources")
-    drawn = sources.where("p > 0")
+    wanted = staged(_wanted(slim, sources, max_repeat), "mix-wanted")
+    drawn = wanted.where("p > 0")
     # Identical rows tie in their key; their place in the written table tells them apart.
     placed = slim.withColumn("tie", F.monotonically_increasing_id())
     rank = _pareto_rank(F.col("key"), F.col("p"), F.col("tie"))
-    ranked = placed.select("sk", "size", "key", "tie").join(drawn.select("sk", "p"), "sk").select("sk", "size", rank.alias("rank"))
-    ends = _ends(staged(ranked, "mix-ranks"), drawn)
-    known = staged(sources.join(ends, "sk", "left"), "mix-ends")
-    out = placed.join(known, "sk")
+    ranked = placed.select("sk", "cls", "size", "key", "tie").join(drawn.select("sk", "cls", "p"), ["sk", "cls"])
+    ends = _ends(staged(ranked.select("sk", "size", rank.alias("rank")), "mix-ranks"), drawn.select("sk", "rest").distinct())
+    known = staged(wanted.join(ends, "sk", "left"), "mix-ends")
+    out = placed.join(known, ["sk", "cls"])
     inside = (rank - F.col("low") < F.col("width")) & F.array_contains("picked", rank)
     extra = F.when((F.col("p") > 0) & ((rank < F.col("low")) | inside), 1).otherwise(0)
     return out.select(

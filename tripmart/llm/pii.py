@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -100,13 +100,15 @@ _SPELLED = re.compile(
 )
 _PART = re.compile(rf"plus|dot|point|{_WORD}", re.IGNORECASE)
 _OPEN, _CLOSE = r"[\[({<]", r"[\])}>]"
+# Spaces are taken from the start of their run and never given back, so that a long run is read once.
 _AT = re.compile(
-    rf"[ ]*{_OPEN}[ ]*(?:at|@)[ ]*{_CLOSE}[ ]*"
-    rf"|[ ]+at[ ]+(?=[A-Za-z0-9-]+(?:[ ]+dot[ ]+|[ ]*{_OPEN}[ ]*dot[ ]*{_CLOSE}[ ]*)[A-Za-z])",
+    rf"(?<! )[ ]*+{_OPEN}[ ]*+(?:at|@)[ ]*+{_CLOSE}[ ]*+"
+    rf"|(?<! )[ ]++at[ ]++(?=[A-Za-z0-9-]++(?:[ ]++dot[ ]++|[ ]*+{_OPEN}[ ]*+dot[ ]*+{_CLOSE}[ ]*+)[A-Za-z])",
     re.IGNORECASE,
 )
-_DOT = re.compile(rf"[ ]*{_OPEN}[ ]*(?:dot|\.)[ ]*{_CLOSE}[ ]*", re.IGNORECASE)
-_BARE_DOT = re.compile(r"(@[A-Za-z0-9.-]*)[ ]+dot[ ]+(?=[A-Za-z0-9])", re.IGNORECASE)
+_DOT = re.compile(rf"(?<! )[ ]*+{_OPEN}[ ]*+(?:dot|\.)[ ]*+{_CLOSE}[ ]*+", re.IGNORECASE)
+_BARE_DOT = re.compile(r"[ ]++dot[ ]++(?=[A-Za-z0-9])", re.IGNORECASE)
+_SPELLED_DOMAIN = re.compile(rf"@[A-Za-z0-9.-]*+(?:{_BARE_DOT.pattern}[A-Za-z0-9.-]*+)+", re.IGNORECASE)
 _WORD_DOT = re.compile(r"(?<=[A-Za-z0-9_%+-])[ ]+dot[ ]+(?=[A-Za-z0-9_%+-])", re.IGNORECASE)
 _RUN = re.compile(r"[A-Za-z0-9._%+-]++")
 
@@ -159,6 +161,15 @@ def _dots_before_at(text: str) -> set[int]:
     return found
 
 
+def _dotted(m: re.Match) -> list[tuple[str, int, int]]:
+    """A domain behind its @ with each spelled dot written as one."""
+    out, last = [], m.start()
+    for d in _BARE_DOT.finditer(m.string, m.start(), m.end()):
+        out += [(m.string[i], i, i + 1) for i in range(last, d.start())] + [(".", *d.span())]
+        last = d.end()
+    return out + [(m.string[i], i, i + 1) for i in range(last, m.end())]
+
+
 def deobfuscate(text: str) -> Tape | None:
     """The rewritten text, or None if nothing in it is disguised."""
     odd, hidden = not text.isascii() and _ODD.search(text), not text.isascii() and _HIDDEN.search(text)
@@ -181,11 +192,8 @@ def deobfuscate(text: str) -> Tape | None:
             _WORD_DOT,
             lambda m: [(".", *m.span())] if m.start() in dots else [(c, i, i + 1) for i, c in enumerate(m[0], m.start())],
         )
-    # One dot at a time along a domain: a dot that is written lengthens what stands before the next.
-    while "@" in tape.text and tape.rewrite(
-        _BARE_DOT, lambda m: [(c, m.start() + i, m.start() + i + 1) for i, c in enumerate(m[1])] + [(".", m.end(1), m.end())]
-    ):
-        changed = True
+    if "@" in tape.text:
+        changed |= tape.rewrite(_SPELLED_DOMAIN, _dotted)
     return tape if changed else None
 
 
@@ -195,14 +203,16 @@ def find(text: str) -> tuple[list[Span], list[Span]]:
     spans = list(base)
     tape = deobfuscate(text)
     if tape is not None:
-        # Spans of a kind are sorted and apart: only the first one that ends after a start can overlap.
-        taken = {k: [(b, a) for kind, a, b in base if kind == k] for k in KINDS}
+        # A span that cuts through a base one is left out; one that holds base ones whole, and more, is added.
+        taken = {k: [(a, b) for kind, a, b in base if kind == k] for k in KINDS}
         for kind, s, e in detect(tape.text):
             start, end = tape.source(s, e)
-            at = bisect_left(taken[kind], (start + 1,))
-            if at == len(taken[kind]) or taken[kind][at][1] >= end:
+            own = taken[kind]  # sorted and apart
+            first, last = bisect_right(own, start, key=lambda x: x[1]), bisect_left(own, end, key=lambda x: x[0])
+            met = own[first:last]
+            if not met or (met[0][0] >= start and met[-1][1] <= end and met != [(start, end)]):
                 spans.append((kind, start, end))
-        spans.sort(key=lambda x: (KINDS.index(x[0]), x[1]))
+        spans.sort(key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
     return base, spans
 
 
