@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier one has, exactly or nearly."""
-    return _documents(line_dedup.dedup_lines(docs), docs)
+    return _documents(line_dedup.dedup_lines(docs, report=False), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ STAGES = [
     ("packing", packed),
 ]
 
-# Edit-distance joins, XXH64 fingerprints and tokens are beyond SQL; tests compare with a brute-force version.
+# Edit-distance joins, XXH64 fingerprints and tokens are beyond SQL; tests/llm/test_pipeline.py runs the chain by hand.
 ORACLE_SQL = None
 
 

@@ -22,7 +22,3 @@ def raw_file_key(prefix: str, landed_year: str | Column, year: str | Column, mon
     """
     folder = F.format_string(RAW_FOLDER_PATTERN, landed_year)
     return F.concat_ws("/", F.lit(prefix.strip("/")), folder, raw_file_name(year, month))
-
-
-def raw_file_name_py(year: int, month: int) -> str:
-    return RAW_FILE_PATTERN % (year, month)

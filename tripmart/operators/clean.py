@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.quality import (
     EXCLUDED_LOCATIONS,
-    PICKUP,
     clean_predicate,
     first_failed_rule,
     global_predicate,
