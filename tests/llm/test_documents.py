@@ -6,6 +6,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -412,6 +413,43 @@ def test_toxicity_learns_sentences():
     assert right >= 195
 
 
+def test_toxicity_scores_match_a_slow_version(spark):
+    rng = random.Random(9)
+    words = ["rude", "awful", "plain", "nice", "word", "é"]
+    weights, bias = toxicity.fit([])[0], -5.0
+    for w in words[:4]:
+        for f in toxicity.features(w):
+            weights[f] = rng.choice([2.5, 1.0, -1.0, 0.01])
+    texts = [" ".join(rng.choices([*words, ".", "!", "\n"], k=rng.randint(0, 60))) for _ in range(40)] + ["", None, "...", "rude"]
+    got = toxicity.score_documents(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS), (weights, bias))
+    got = {r.doc_id: r for r in got.collect()}
+    for i, t in enumerate(texts):
+        parts = [m for m in re.finditer(r"[^.!?\n]+", t or "") if re.search(r"[^\W\d_]", m[0])]
+        z = [bias + sum(weights[f] for f in sorted({f for w in re.findall(r"[^\W\d_]+", m[0].lower()) for f in toxicity.features(w)})) for m in parts]
+        sure = [1 / (1 + np.exp(-x)) for x in z]
+        left = 1 - 1 / (1 + np.exp(-bias))
+        want = 1 - left * np.prod([(1 - p) / left for p in sure if p > 1 - left])
+        assert got[i].score == pytest.approx(want, abs=1e-9) and got[i].predicted == int(want >= 0.7)
+        assert got[i].n_offending == sum(p >= 0.5 for p in sure)
+        worst = parts[z.index(max(z))].span() if parts else (0, 0)
+        assert (got[i].worst_start, got[i].worst_end) == worst
+
+
+def test_toxicity_does_not_rise_with_length(spark):
+    def bag(text):
+        return [sorted({f for w in ws for f in toxicity.features(w)}) for *_, ws in toxicity.sentences(text)]
+
+    rng = random.Random(10)
+    calm = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(300)]
+    clean = [". ".join(" ".join(rng.choices(calm, k=8)) for _ in range(rng.randint(2, 30))) for _ in range(400)]
+    toxic = [t + ". you idiot" for t in clean[:100]]
+    model = toxicity.fit([(0, bag(t)) for t in clean[100:]] + [(1, bag(t)) for t in toxic])
+    long = ". ".join(" ".join(rng.choices(calm, k=8)) for _ in range(10000))
+    rows = [(1, long, "en", "s", 0), (2, long + ". you idiot", "en", "s", 0), (3, "you idiot", "en", "s", 0)]
+    score = {r.doc_id: r.score for r in toxicity.score_documents(spark.createDataFrame(rows, DOCS), model).collect()}
+    assert score[1] < 0.1 and score[2] >= 0.7 and score[3] >= 0.7
+
+
 def test_toxicity_ignores_held_out_labels(spark):
     docs, labels = table(spark, ORACLE_SF, "documents"), table(spark, ORACLE_SF, "labels")
     sample = toxicity.training_sample(docs, labels)
