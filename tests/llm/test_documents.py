@@ -335,6 +335,22 @@ def test_license_forms(spark):
     assert got[2].n_license_lines == 1 and got[3].licenses == ""
 
 
+def test_license_sql_knows_all_texts(spark, tmp_path):
+    heads = ["", "Copyright (c) 2020 A. Person\n\n", "(c) The Authors\n", "\u00a9 The Authors\n"]
+    texts = [h + t + "\n" for i, (_, t) in enumerate(licenses.ALL_KNOWN) for h in (heads if i % 7 == 0 else heads[i % 4 : i % 4 + 1])]
+    texts += [t.replace("license", "licence").upper() for t in texts[:40]] + ["a) one\n(b) two\n(c) three", "(c) three", None, ""]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = licenses.scan_licenses(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    found = con.execute(licenses.ORACLE)
+    columns = [d[0] for d in found.description]
+    want = found.fetchall()
+    assert digest(got.columns, [tuple(r) for r in got.collect()]) == digest(columns, want)
+    assert sum(r[columns.index("whole_license")] is not None for r in want) > 400
+
+
 def test_whole_licenses(spark):
     from pathlib import Path
 

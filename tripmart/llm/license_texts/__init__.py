@@ -73,8 +73,13 @@ def _published() -> list[tuple[str, str]]:
     return rows
 
 
-def whole_texts(mit: str, isc: str) -> list[tuple[str, str]]:
-    """Each text under each title, given the plain MIT and ISC texts."""
+def headings() -> list[tuple[str, str]]:
+    """``(license, heading)``: what may stand above the texts of a licence."""
+    return [(n, t + r) for n, titles in _TITLES.items() for t, r in product(titles, _RESERVED)]
+
+
+def texts(mit: str, isc: str) -> list[tuple[str, str]]:
+    """``(license, text)`` without headings, given the plain MIT and ISC texts."""
     bodies = [("MIT", mit), ("ISC", isc), ("ISC", isc.replace("and/or distribute", "and distribute"))]
     head, rest = mit.split("subject to the following conditions:\n")
     keep, disclaimer = rest.split("\n", 1)
@@ -85,7 +90,12 @@ def whole_texts(mit: str, isc: str) -> list[tuple[str, str]]:
     for word, marked in product(("HOLDER", "OWNER"), (True, False)):
         bodies.append(("BSD-2-Clause", _bsd([_SOURCE, _BINARY], word, marked)))
         bodies += [("BSD-3-Clause", _bsd([_SOURCE, _BINARY, _NAMES.format(x)], word, marked)) for x in _HOLDERS]
-    published = _published()
-    bodies += [x for x in published if x[0] in _TITLES]
-    rows = [(n, t + r + b) for n, b in bodies for t, r in product(_TITLES[n], _RESERVED)]
-    return rows + [x for x in published if x[0] not in _TITLES]
+    return bodies + _published()
+
+
+def whole_texts(mit: str, isc: str) -> list[tuple[str, str]]:
+    """Each text under each of its licence's headings; one of a licence without headings as it is."""
+    above: dict[str, list[str]] = {}
+    for name, heading in headings():
+        above.setdefault(name, []).append(heading)
+    return [(n, h + t) for n, t in texts(mit, isc) for h in above.get(n, [""])]

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import staged
-from .license_texts import whole_texts
+from .license_texts import headings, texts, whole_texts
 
 # Canonical names and texts of known licences and licence notices.
 MIT_TEXT = (
@@ -166,27 +166,35 @@ def scan_licenses(docs: DataFrame, *, known: list[tuple[str, str]] = ALL_KNOWN)
     )
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+def _values(rows: list[tuple[str, str]]) -> str:
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    return "(VALUES " + ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in rows) + ")"
 
 
 def _oracle() -> str:
     same = "l"
     for a, b in SPELLINGS:
         same = f"replace({same}, '{a}', '{b}')"
-    form = f"CASE WHEN regexp_matches(l, '{COPYRIGHT_LINE}') THEN '' ELSE regexp_replace({same}, '{NOISE}', '', 'g') END"
-    values = ", ".join(f"({_quoted(n)}, {_quoted(t)})" for n, t in KNOWN)
+    kept = f"regexp_replace({same}, '{NOISE}', '', 'g')"
+    listed = "contains(low, '(b)')"
+    dropped = " OR ".join(f"regexp_matches(l, '{x}')" for x in (COPYRIGHT_LINE, YEARLESS_LINE))
+    dropped += f" OR (NOT {listed} AND regexp_matches(l, '{BARE_LINE}'))"
+    form = f"CASE WHEN {dropped} THEN '' ELSE {kept} END"
     return f"""
 WITH k AS (
-    SELECT license, list_transform(string_split(lower(t), chr(10)), lambda l: {form}) AS ls
-    FROM (VALUES {values}) v(license, t)
+    SELECT license, list_transform(string_split(low, chr(10)), lambda l: {form}) AS ls
+    FROM (
+        SELECT license, lower(t) AS low FROM {_values(KNOWN)} v(license, t)
+        UNION ALL SELECT license, lower(coalesce(h, '') || t)
+        FROM {_values(texts(MIT_TEXT, ISC_TEXT))} v(license, t) LEFT JOIN {_values(headings())} w(license, h) USING (license)
+    )
 ), known AS (
     SELECT sha256(array_to_string(ls, '')) AS digest, min(license) AS license FROM k
     WHERE array_to_string(ls, '') <> '' GROUP BY 1
 ), d AS (
     SELECT row_number() OVER () AS r, doc_id,
-        list_transform(string_split(lower(coalesce(text, '')), chr(10)), lambda l: {form}) AS ls
-    FROM documents
+        list_transform(string_split(low, chr(10)), lambda l: {form}) AS ls
+    FROM (SELECT doc_id, lower(coalesce(text, '')) AS low FROM documents)
 ), w AS (
     SELECT r, doc_id, digest, license AS whole_license
     FROM (SELECT r, doc_id, sha256(array_to_string(ls, '')) AS digest FROM d) LEFT JOIN known USING (digest)
