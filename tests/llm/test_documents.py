@@ -93,6 +93,12 @@ def test_short_texts_without_syncmers_have_an_anchor(spark):
     assert sum(near[2 * i + 1] > 0 for i in range(len(texts))) > 40  # a word added at the end moves few anchors
 
 
+def test_fingerprints_do_not_depend_on_case(spark):
+    texts = ["Öl und Äther: " + "Größe ΑΒΓ word " * 9, "öl UND äther: " + "größe αβγ WORD " * 9]
+    got = syncmers.fingerprints(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)).collect()
+    assert got[0].fingerprint == got[1].fingerprint != "" and got[0].near_next == got[1].near_next == 1
+
+
 REGEX = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

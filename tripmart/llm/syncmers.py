@@ -1,6 +1,6 @@
 """Document fingerprints from closed syncmers, in DataFrame expressions only.
 
-A text is lower-cased (A-Z) and cut into words.  Every run of K (9) words is a
+A text is lower-cased and cut into words.  Every run of K (9) words is a
 k-mer and has K - S + 1 (8) inner s-mers of S (2) words; it is a closed syncmer when
 its least s-mer hash lies at its first or last s-mer.  Whether a k-mer is chosen
 depends on its own words alone, so equal passages give equal anchors wherever
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from .common import shuffle_partitions, words, zip_shifted
 
 K, S = 9, 2  # the widths below double from S up to K - 1
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -35,7 +34,7 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     text without words (or NULL) has no anchor.
     """
     t = lambda i: f"__{out}_{i}"
-    df = df.withColumn(t("w"), F.transform(words(F.translate(text, UPPER, LOWER)), lambda w: F.xxhash64(w)))
+    df = df.withColumn(t("w"), F.transform(words(F.lower(text)), lambda w: F.xxhash64(w)))
     pair = lambda a, b: F.xxhash64(a, b)
     low = lambda a, b: F.least(a, b)
     df = df.withColumn(t("s"), zip_shifted(F.col(t("w")), F.col(t("w")), 1, pair))
