@@ -12,8 +12,8 @@ Positional matching compares texts by links: an anchor together with the next
 one and the distance between them.  Likeness is the Jaccard similarity of the
 distinct links (the first anchor links with the text's beginning).
 
-All sliding steps are zips of shifted arrays (widths 2, 4, 8), so that the work
-is linear in the text.
+Whether a k-mer is chosen is asked of its 8 s-mer hashes by place, and only
+chosen ones are hashed, so that the work is linear in the text.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, words, zip_shifted
 
-K, S = 9, 2  # the widths below double from S up to K - 1
+K, S = 9, 2  # an s-mer is hashed as two neighbouring words
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -35,35 +35,23 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     t = lambda i: f"__{out}_{i}"
     df = df.withColumn(t("w"), F.transform(words(F.lower(text)), lambda w: F.xxhash64(w)))
-    pair = lambda a, b: F.xxhash64(a, b)
-    low = lambda a, b: F.least(a, b)
-    df = df.withColumn(t("s"), zip_shifted(F.col(t("w")), F.col(t("w")), 1, pair))
-    df = df.withColumn(t("h"), zip_shifted(F.col(t("s")), F.col(t("s")), 2, pair))
-    df = df.withColumn(t("m"), zip_shifted(F.col(t("s")), F.col(t("s")), 1, low))
-    df = df.withColumns(
-        {
-            t("h"): zip_shifted(F.col(t("h")), F.col(t("h")), 4, pair),
-            t("m"): zip_shifted(F.col(t("m")), F.col(t("m")), 2, low),
-        }
-    )
-    df = df.withColumns(
-        {
-            t("h"): zip_shifted(F.col(t("h")), F.col(t("w")), K - 1, pair),
-            t("m"): zip_shifted(F.col(t("m")), F.col(t("m")), 4, low),
-        }
-    )
-    edge = zip_shifted(F.col(t("s")), F.col(t("s")), K - S, low)  # the lesser of a k-mer's outer s-mers
-    chosen = F.zip_with(F.col(t("m")), edge, lambda m, e: m == e)
-    picked = F.zip_with(F.col(t("h")), chosen, lambda h, c: F.when(c, h))
-    marks = F.transform(picked, lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    df = df.withColumn(t("a"), F.filter(marks, lambda x: x["h"].isNotNull()))
-    every = F.transform(t("h"), lambda h, i: F.struct(h.alias("h"), i.alias("p")))
-    anchors = F.when(F.size(t("a")) == 0, F.array(F.array_min(every))).otherwise(F.col(t("a")))
+    df = df.withColumn(t("s"), zip_shifted(F.col(t("w")), F.col(t("w")), S - 1, lambda a, b: F.xxhash64(a, b)))
+    n = F.size(t("w"))
+    every = F.sequence(F.lit(0), F.greatest(n - K, F.lit(0)))  # where k-mers begin
+    smer = lambda p: F.get(t("s"), p)
+    inner = lambda p: F.least(*[smer(p + j) for j in range(1, K - S)])
+    df = df.withColumn(t("a"), F.filter(every, lambda p: F.least(smer(p), smer(p + K - S)) <= inner(p)))
+
+    def anchor(p: Column) -> Column:
+        return F.struct(F.xxhash64(*[F.get(t("w"), p + j) for j in range(K)]).alias("h"), p.alias("p"))
+
+    chosen = F.transform(t("a"), anchor)
+    anchors = F.when(F.size(t("a")) == 0, F.array(F.array_min(F.transform(every, anchor)))).otherwise(chosen)
     whole = F.array(F.struct(F.xxhash64(t("w")).alias("h"), F.lit(0).alias("p")))
     none = F.slice(whole, 1, 0)
-    short = F.when(F.size(t("w")) == 0, none).otherwise(whole)
-    df = df.withColumn(out, F.when(F.size(t("w")) < K, short).otherwise(anchors))
-    return df.drop(t("w"), t("s"), t("h"), t("m"), t("a"))
+    short = F.when(n == 0, none).otherwise(whole)
+    df = df.withColumn(out, F.when(n < K, short).otherwise(anchors))
+    return df.drop(t("w"), t("s"), t("a"))
 
 
 def as_string(anchors: Column) -> Column:
