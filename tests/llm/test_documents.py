@@ -93,12 +93,46 @@ def test_short_texts_without_syncmers_have_an_anchor(spark):
     assert sum(near[2 * i + 1] > 0 for i in range(len(texts))) > 40  # a word added at the end moves few anchors
 
 
+def test_likeness_follows_from_the_fingerprints(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices("abcdefgh", k=rng.randint(0, 120))) for _ in range(60)]
+    got = syncmers.fingerprints(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)).collect()
+    by_id = {r.doc_id: r for r in got}
+
+    def found(fingerprint):
+        anchors = [(h, int(p, 16)) for h, p in (x.split(":") for x in fingerprint.split(",") if x)]
+        return {(a, b, p - q) for (a, q), (b, p) in zip([("", 0), *anchors], anchors)}
+
+    def alike(a, b):
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    for i, r in by_id.items():
+        assert r.near_edited == alike(found(r.fingerprint), found(r.edited_fingerprint))
+        assert r.near_next == alike(found(r.fingerprint), found(by_id[(i - 1) % len(texts)].fingerprint))
+
+
 def test_fingerprints_do_not_depend_on_case(spark):
     texts = ["Öl und Äther: " + "Größe ΑΒΓ word " * 9, "öl UND äther: " + "größe αβγ WORD " * 9]
     got = syncmers.fingerprints(spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS)).collect()
     assert got[0].fingerprint == got[1].fingerprint != "" and got[0].near_next == got[1].near_next == 1
 
 
+def test_next_documents_of_hot_and_missing_ids(spark):
+    rng = random.Random(5)
+    ids = [None] * 300 + [7] * 300 + [-3, 0, 6, 8, 9] + rng.sample(range(100, 10**6), 200)
+    rows = [(i, " ".join(rng.choices("abcdefgh", k=rng.randint(0, 20))) + f" {n}", "en", "s", 0) for n, i in enumerate(ids)]
+    rows += [(7, "the same text", "en", "s", 0)] * 200
+    df = spark.createDataFrame(rows, DOCS)
+    order = [(r.doc_id, r.text) for r in df.orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text").desc()).collect()]
+    want = sorted((str(i), t, order[(n + 1) % len(order)][1]) for n, (i, t) in enumerate(order))
+    got = syncmers.with_next(df.select("doc_id", "text"), ["text"]).collect()
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got) == want
+    bounds, hot = syncmers._ranges(df, 16)
+    assert hot == [7]
+    spread = df.groupBy(syncmers._bucket(F.col("doc_id"), F.xxhash64("text"), bounds, hot).alias("b"), "doc_id").count()
+    assert spread.where("doc_id IS NULL").count() > 250 and spread.where("doc_id = 7").count() > 250
+
+
 REGEX = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",

@@ -18,6 +18,8 @@ chosen ones are hashed, so that the work is linear in the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,9 +57,9 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def as_string(anchors: Column) -> Column:
-    """Anchors as ``hash:position`` in hex (the hash's low 32 bits), comma-joined; empty for none."""
-    low = lambda x: F.lower(F.hex(x["h"].bitwiseAND(F.lit(0xFFFFFFFF))))
-    return F.array_join(F.transform(anchors, lambda x: F.concat_ws(":", low(x), F.hex(x["p"].cast("bigint")))), ",")
+    """Anchors as ``hash:position`` in hex, comma-joined; empty for none."""
+    shown = lambda x: F.concat(F.hex(x["h"]), F.lit(":"), F.hex(x["p"].cast("bigint")))
+    return F.lower(F.array_join(F.transform(anchors, shown), ","))
 
 
 def links(anchors: Column) -> Column:
@@ -77,52 +79,72 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def _ranges(keys: DataFrame, buckets: int) -> list[int]:
-    """Ascending bounds that cut the ids into about ``buckets`` even ranges (approximate quantiles)."""
-    at = [i / buckets for i in range(1, buckets)]
-    found = keys.agg(F.percentile_approx("doc_id", F.array(*[F.lit(x) for x in at]), 10_000).alias("q")).first()["q"]
-    return sorted(set(found or []))
-
-
-def _bucket(doc_id: Column, bounds: list[int]) -> Column:
-    """Number of bounds that are at most ``doc_id`` (NULL: -1), by binary search."""
-    if not bounds:
-        return F.when(doc_id.isNull(), -1).otherwise(0)
-    table = F.array(*[F.lit(b) for b in bounds])
-    steps = F.array(*[F.lit(1 << k) for k in range(len(bounds).bit_length() - 1, -1, -1)])
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda acc, step: F.when(
-            F.coalesce(F.get(table, acc + step - 1) <= doc_id, F.lit(False)), acc + step
-        ).otherwise(acc),
+SLOT_BITS = 12  # rows of one id, or without one, are dealt by this many leading bits of their text hash
+
+
+def _listed(values: list, kind: str) -> Column:
+    """Numbers as one folded array, however many there are."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def _ranges(keys: DataFrame, buckets: int) -> tuple[list[int], list[int]]:
+    """Ascending bounds that cut the ids into about ``buckets`` even ranges, and the ids that fill a range by themselves."""
+    at = _listed([i / buckets for i in range(1, buckets)], "double")
+    found = keys.agg(F.percentile_approx("doc_id", at, max(10_000, 4 * buckets)).alias("q")).first()["q"] or []
+    return sorted(set(found)), sorted({a for a, b in zip(found, found[1:]) if a == b})
+
+
+def _bucket(doc_id: Column, text_hash: Column, bounds: list[int], hot: list[int]) -> Column:
+    """The range of a row, ascending with (doc_id, text hash), NULL ids lowest.
+
+    The number of bounds that are at most ``doc_id`` is found by binary search.
+    A hot id is the lowest of its range; its rows, and those without an id, have
+    2**SLOT_BITS ranges of text hashes.
+    """
+    slots = 1 << SLOT_BITS
+    slot = F.shiftright(text_hash, 64 - SLOT_BITS) + slots // 2
+    found = F.lit(0)
+    if bounds:
+        table = _listed(bounds, "bigint")
+        steps = _listed([1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)], "int")
+        found = F.aggregate(
+            steps,
+            F.lit(0),
+            lambda acc, step: F.when(
+                F.coalesce(F.get(table, acc + step - 1) <= doc_id, F.lit(False)), acc + step
+            ).otherwise(acc),
+        )
+    rest = F.when(F.array_contains(_listed(hot, "bigint"), doc_id.cast("bigint")), slot) if hot else F.lit(None)
+    return F.when(doc_id.isNull(), slot - 2 * slots).otherwise(
+        found.cast("bigint") * (2 * slots) + F.coalesce(rest, F.lit(slots))
     )
-    return F.when(doc_id.isNull(), -1).otherwise(found)
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], derive: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """``docs`` with ``next_<c>`` of the next document by descending doc_id; after the last comes the first.
 
     NULL ids come last; equal ids rank by text hash.  Documents are dealt by
-    ranges of ids; each range also gets a copy of the first document of the
-    range after it, so one shuffle of the texts settles every neighbour.
+    ranges of ids (those of one id, or of none, by ranges of text hashes); each
+    range also gets a copy of the first document of the range after it, so one
+    shuffle of the texts settles every neighbour.  ``derive`` adds columns of
+    each document before that shuffle; ``columns`` may name them.
     """
     keys = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("__th"))
-    bounds = _ranges(keys, 4 * shuffle_partitions(docs.sparkSession))
-    ranged = docs.withColumns(
-        {"__b": _bucket(F.col("doc_id"), bounds), "__th": F.xxhash64(F.coalesce("text", F.lit("")))}
-    )
+    bounds, hot = _ranges(keys, 4 * shuffle_partitions(docs.sparkSession))
+    ranged = docs.withColumn("__th", F.xxhash64(F.coalesce("text", F.lit(""))))
+    place = _bucket(F.col("doc_id"), F.col("__th"), bounds, hot)
+    ranged = ranged.withColumn("__b", place)
     # The first document of each range: as many rows as ranges, from ids and hashes alone.
-    rank = F.struct("doc_id", "__th")
-    heads = keys.withColumn("__b", _bucket(F.col("doc_id"), bounds)).groupBy("__b").agg(F.max(rank).alias("head"))
-    found = sorted((r["__b"], r["head"]) for r in heads.collect())
+    heads = keys.groupBy(place.alias("__b")).agg(F.max(F.struct("doc_id", "__th")).alias("head"))
+    found = sorted(((r["__b"], r["head"]) for r in heads.collect()), key=lambda x: x[0])
     # A range's last document is followed by the first one of the range below; the lowest range's by the top's.
     lent = [(h["doc_id"], h["__th"], found[(i + 1) % len(found)][0]) for i, (_, h) in enumerate(found)]
     spark = docs.sparkSession
-    lend = spark.createDataFrame(lent, f"__id {dict(docs.dtypes)['doc_id']}, __h bigint, __to int")
+    lend = spark.createDataFrame(lent, f"__id {dict(docs.dtypes)['doc_id']}, __h bigint, __to bigint")
     guests = ranged.join(F.broadcast(lend), ranged["doc_id"].eqNullSafe(lend["__id"]) & (ranged["__th"] == lend["__h"]))
     guests = guests.select(*[F.col("__to").alias("__b") if c == "__b" else F.col(f"`{c}`") for c in ranged.columns])
-    both = ranged.withColumn("__guest", F.lit(0)).union(guests.withColumn("__guest", F.lit(1)))
+    guests = guests.dropDuplicates(["__b"])  # repeated rows have the same text
+    both = derive(ranged.withColumn("__guest", F.lit(0)).union(guests.withColumn("__guest", F.lit(1))))
     names = [f"`{c}`" for c in columns]
     order = "PARTITION BY __b ORDER BY __guest, doc_id DESC NULLS LAST, __th DESC"
     nexts = [F.expr(f"lead({n}) OVER ({order})").alias(f"next_{c}") for n, c in zip(names, columns, strict=True)]
@@ -143,14 +165,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     A NULL text counts as empty; empty texts have an empty fingerprint, and two
     of those are alike (1); a single document is its own next one; repeated
     rows follow each other; other columns are ignored; an empty table gives no rows.
+    Likeness follows from the strings, which show every anchor whole.
     """
-    slim = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"])
-    slim = slim.withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    for column, out in (("text", "fp"), ("edited", "edited_fp"), ("next_text", "next_fp")):
-        slim = with_anchors(slim, column, out)
+
+    def own(df: DataFrame) -> DataFrame:
+        df = with_anchors(df, "text", "fp")
+        return df.withColumns({"h": F.col("fp.h"), "p": F.col("fp.p")}).drop("fp")  # small in a shuffle
+
+    slim = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    slim = with_next(slim, ["text", "h", "p"], own)  # anchors of the text serve the document and the one before it
     slim = slim.withColumns(
-        {"l": links(F.col("fp")), "le": links(F.col("edited_fp")), "ln": links(F.col("next_fp"))}
+        {
+            "fp": F.arrays_zip("h", "p"),
+            "next_fp": F.arrays_zip(F.col("next_h").alias("h"), F.col("next_p").alias("p")),
+            "edited": edited(F.col("text"), F.col("next_text")),
+        }
     )
+    slim = with_anchors(slim, "edited", "edited_fp")
+    slim = slim.withColumns({"l": links(F.col("fp")), "le": links(F.col("edited_fp")), "ln": links(F.col("next_fp"))})
     return slim.select(
         "doc_id",
         F.length("text").cast("long").alias("n_chars"),
