@@ -308,7 +308,8 @@ def q_agg_signed_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The aggregate kept up to date by a MERGE's replaced (-1) and written (+1) rows.
 
     The redelivery raises every amount and names the boroughs in lower case, so
-    its trips leave their old groups and enter new ones.
+    its trips leave their old groups and enter new ones.  Trips that share a
+    trip_id are all kept: those delivered replace those stored.
     """
     target = _gold_window(spark, sf_dir, upper=MERGE_TARGET_BEFORE)
     source = _gold_window(spark, sf_dir, lower=MERGE_SOURCE_FROM).withColumns(
@@ -318,8 +319,10 @@ def q_agg_signed_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
             "passenger_count": F.when(F.col("passenger_count") % 5 > 0, F.col("passenger_count")),
         }
     )
-    changes = upsert(target, source, ["trip_id"], preserve=["created_at"], scope_cols=GOLD_PARTITIONS).changes
-    return state_to_agg(add_states(agg_state(target), agg_delta(changes)))
+    result = upsert(
+        target, source, ["trip_id"], preserve=["created_at"], scope_cols=GOLD_PARTITIONS, on_duplicate="replace"
+    )
+    return state_to_agg(add_states(agg_state(target), agg_delta(result.changes)))
 
 
 LATE_VENDOR, LOOKBACK_DAYS = 2, 400

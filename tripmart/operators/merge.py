@@ -14,6 +14,11 @@ at its second row.  AQE cannot split skewed partitions of a full outer join, but
 none can arise where the source is checked or deduplicated: every join key then
 carries at most two rows.
 
+Where several source rows of one key are to replace that key's target rows
+(``on_duplicate="replace"``) there is no join, whose rows would be the product of
+both sides: the sides are put below each other and shuffled once on the keys,
+and each row is told whether its key has rows of the other side.
+
 When the target is partitioned on columns that the key determines (trip_id
 fixes the pickup month), ``scope`` restricts the target to the partitions the
 source touches: the rest of the table is neither read into the join nor
@@ -32,6 +37,7 @@ from pyspark.sql import functions as F
 _T, _S = "t__", "s__"
 _IN_T, _IN_S = "__target_row", "__source_row"
 _NTH = "__nth_of_key"
+_MATCHED, _KEPT = "__in_source_too", "__kept"
 SIGN = "change_sign"
 
 
@@ -109,6 +115,33 @@ def dedupe_source(source: DataFrame, keys: Sequence[str], latest_by: Sequence[st
     return source.groupBy(*keys).agg(best).select(*keys, "__row.*").select(*source.columns)
 
 
+def _replace(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    preserve: Sequence[str],
+    null_safe: bool,
+    delete_missing: bool,
+) -> tuple[DataFrame, DataFrame]:
+    """Merged rows and changes where all source rows of a key replace all of its target rows; no row is paired."""
+    columns = target.columns
+    both = target.withColumn(_IN_S, F.lit(False)).unionByName(source.select(*columns).withColumn(_IN_S, F.lit(True)))
+    in_source, of_key = F.col(_IN_S), Window.partitionBy(*keys)
+    # '=' keys: a NULL key matches nothing.
+    known = F.lit(True) if null_safe else reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    told = {_MATCHED: known & F.max(_IN_S).over(of_key)}
+    if preserve:  # those of the key's target row that has the least
+        kept = F.when(~in_source, F.struct(*[F.col(c) for c in preserve]))
+        told[_KEPT] = F.when(known & in_source, F.min(kept).over(of_key))
+    both = both.withColumns(told)
+    if preserve:
+        old = F.col(_KEPT).isNotNull()
+        both = both.withColumns({c: F.when(old, F.col(f"{_KEPT}.`{c}`")).otherwise(F.col(c)) for c in preserve})
+    gone = F.lit(True) if delete_missing else F.col(_MATCHED)
+    sign = F.when(in_source, F.lit(1)).otherwise(F.lit(-1)).alias(SIGN)
+    return both.filter(in_source | ~gone).select(*columns), both.filter(in_source | gone).select(sign, *columns)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -129,11 +162,13 @@ def upsert(
 
     ``on_duplicate`` says what several source rows of one key do: ``error``
     fails the job that evaluates the result, ``insert`` fails only where they
-    match a target row and otherwise inserts them all (a plain MERGE), and
-    ``dedupe`` keeps the row that is greatest by ``latest_by``.
+    match a target row and otherwise inserts them all (a plain MERGE),
+    ``replace`` writes each of them once in place of all target rows of the key
+    (preserved values: of the target row that has the least), and ``dedupe``
+    keeps the row that is greatest by ``latest_by``.
     """
     columns = target.columns
-    if on_duplicate not in ("error", "insert", "dedupe"):
+    if on_duplicate not in ("error", "insert", "replace", "dedupe"):
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     if on_duplicate == "dedupe":
         source = dedupe_source(source, keys, latest_by)
@@ -141,6 +176,9 @@ def upsert(
     scope = touched_partitions(source, scope_cols) if scope_cols else None
     if scope is not None:
         target = target.filter(any_of(scope))
+    if on_duplicate == "replace":
+        merged, changes = _replace(target, source, keys, preserve, null_safe, delete_missing)
+        return MergeResult(merged, scope, changes)
     s = source.select(*[F.col(c).alias(_S + c) for c in columns], F.lit(True).alias(_IN_S))
     if on_duplicate != "dedupe":
         s = _numbered(s, [_S + k for k in keys])
