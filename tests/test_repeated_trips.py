@@ -39,6 +39,10 @@ def test_agg_signed_deltas(spark, repeated):
     assert_equal_to_sql(spark, repeated, "agg_signed_deltas")
 
 
+def test_merge_upsert_trips(spark, repeated):
+    assert_equal_to_sql(spark, repeated, "merge_upsert_trips")
+
+
 # -- the MERGE where all source rows of a key replace its target rows ---------
 SCHEMA = "k string, part int, v int, created string"
 
@@ -96,3 +100,16 @@ def test_a_much_repeated_key_makes_no_pairs(spark, capsys):
     assert result.changes.count() == 60_000 and result.merged.count() == 30_000
     result.changes.explain()
     assert "Join" not in capsys.readouterr().out
+
+
+def test_pairs_of_repeated_keys(spark):
+    target = spark.createDataFrame([("a", 1, 1, "t1"), ("a", 1, 2, "t2"), ("b", 1, 3, "t")], SCHEMA)
+    source = spark.createDataFrame([("a", 1, 5, "s"), ("a", 1, 6, "s"), ("c", 1, 7, "s"), ("c", 1, 7, "s")], SCHEMA)
+    pairs = [("a", 1, v, t) for v in (5, 6) for t in ("t1", "t2")] + [("c", 1, 7, "s")] * 2
+    result = upsert(target, source, ["k"], preserve=["created"], on_duplicate="pairs")
+    assert rows(result.merged) == sorted([*pairs, ("b", 1, 3, "t")], key=repr)
+    signed = [(-1, "a", 1, 1, "t1"), (-1, "a", 1, 2, "t2")] + [(1, *r) for r in pairs]
+    assert rows(result.changes) == sorted(signed, key=repr)
+    mirrored = upsert(target, source, ["k"], preserve=["created"], on_duplicate="pairs", delete_missing=True)
+    assert rows(mirrored.merged) == sorted(pairs, key=repr)
+    assert rows(mirrored.changes) == sorted([*signed, (-1, "b", 1, 3, "t")], key=repr)

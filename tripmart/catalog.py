@@ -282,10 +282,15 @@ def _gold_window(spark, sf_dir, lower=None, upper=None, created_at=CHECKED_CREAT
 
 
 def q_merge_upsert_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MERGE on trip_id: source wins, created_at kept from the target, scoped to touched months."""
+    """MERGE on trip_id: source wins, created_at kept from the target, scoped to touched months.
+
+    Of trips that share a trip_id, each source row comes once per target row, as in a LEFT JOIN.
+    """
     target = _gold_window(spark, sf_dir, upper=MERGE_TARGET_BEFORE)
     source = _gold_window(spark, sf_dir, lower=MERGE_SOURCE_FROM, created_at=MERGE_SOURCE_CREATED_AT)
-    result = upsert(target, source, ["trip_id"], preserve=["created_at"], scope_cols=GOLD_PARTITIONS)
+    result = upsert(
+        target, source, ["trip_id"], preserve=["created_at"], scope_cols=GOLD_PARTITIONS, on_duplicate="pairs"
+    )
     return result.full_table(target)
 
 

@@ -12,7 +12,8 @@ that the join needs anyway, and a second row of a key ends the job when it
 runs.  The numbering holds one row at a time, so a key with very many rows fails
 at its second row.  AQE cannot split skewed partitions of a full outer join, but
 none can arise where the source is checked or deduplicated: every join key then
-carries at most two rows.
+carries at most two rows.  ``on_duplicate="pairs"`` gives that join's rows as they
+are: a key with m source and n target rows then has m * n of them in the result.
 
 Where several source rows of one key are to replace that key's target rows
 (``on_duplicate="replace"``) there is no join, whose rows would be the product of
@@ -164,11 +165,12 @@ def upsert(
     fails the job that evaluates the result, ``insert`` fails only where they
     match a target row and otherwise inserts them all (a plain MERGE),
     ``replace`` writes each of them once in place of all target rows of the key
-    (preserved values: of the target row that has the least), and ``dedupe``
-    keeps the row that is greatest by ``latest_by``.
+    (preserved values: of the target row that has the least), ``pairs`` writes
+    each once per target row that it matches, as an outer join does, and
+    ``dedupe`` keeps the row that is greatest by ``latest_by``.
     """
     columns = target.columns
-    if on_duplicate not in ("error", "insert", "replace", "dedupe"):
+    if on_duplicate not in ("error", "insert", "replace", "pairs", "dedupe"):
         raise ValueError(f"unknown on_duplicate={on_duplicate!r}")
     if on_duplicate == "dedupe":
         source = dedupe_source(source, keys, latest_by)
@@ -190,7 +192,7 @@ def upsert(
 
     joined = t.join(s, reduce(lambda a, b: a & b, [key_eq(k) for k in keys]), "full_outer")
     in_source, in_target = F.col(_IN_S).isNotNull(), F.col(_IN_T).isNotNull()
-    if on_duplicate != "dedupe":
+    if on_duplicate in ("error", "insert"):
         repeated = F.col(_NTH) > 1
         joined = _refuse(joined, repeated if on_duplicate == "error" else repeated & in_target, keys)
 
@@ -202,6 +204,8 @@ def upsert(
             expr = F.when(in_source, F.col(_S + c)).otherwise(F.col(_T + c))
         out.append(expr.alias(c))
     gone = in_target if delete_missing else in_target & in_source
+    if on_duplicate == "pairs":  # a target row counts once, however many source rows match it
+        gone = gone & (F.coalesce(F.col(_NTH), F.lit(1)) == 1)
     rows = F.filter(
         F.array(
             F.struct(F.lit(-1).alias(SIGN), gone.alias("counts"), *[F.col(_T + c).alias(c) for c in columns]),
