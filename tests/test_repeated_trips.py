@@ -43,6 +43,10 @@ def test_merge_upsert_trips(spark, repeated):
     assert_equal_to_sql(spark, repeated, "merge_upsert_trips")
 
 
+def test_named_table_select(spark, repeated):
+    assert_equal_to_sql(spark, repeated, "named_table_select")
+
+
 # -- the MERGE where all source rows of a key replace its target rows ---------
 SCHEMA = "k string, part int, v int, created string"
 

@@ -355,14 +355,19 @@ def q_silver_sort_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_named_table_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The monthly aggregate by table name from another session, after two runs published to the catalog."""
+    """The monthly aggregate by table name from another session, after two runs published to the catalog.
+
+    The MERGE is a plain one: new trips that share a trip_id are all inserted.
+    """
     root = scratch_path(spark, "named")
     lake = Lakehouse.at(spark, root)
     trips, zones = tables.trips(spark, sf_dir), tables.zones(spark, sf_dir)
     first = trips.filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
     database = f"trips_{uuid.uuid4().hex[:8]}"
     for bronze in (first, trips):
-        run_pipeline(spark, bronze, lake, zones, tables.FIXTURE_EXCLUDED_LOCATIONS, created_at=_created_at())
+        run_pipeline(
+            spark, bronze, lake, zones, tables.FIXTURE_EXCLUDED_LOCATIONS, created_at=_created_at(), on_duplicate="insert"
+        )
         publish_lake(spark, lake, database, f"{root}/catalog")
     columns = ", ".join(AGG.fieldNames())
     return spark.newSession().sql(f"SELECT {columns} FROM {database}.agg")
