@@ -47,6 +47,10 @@ def test_named_table_select(spark, repeated):
     assert_equal_to_sql(spark, repeated, "named_table_select")
 
 
+def test_pipeline_end_to_end(spark, repeated):
+    assert_equal_to_sql(spark, repeated, "pipeline_end_to_end")
+
+
 # -- the MERGE where all source rows of a key replace its target rows ---------
 SCHEMA = "k string, part int, v int, created string"
 

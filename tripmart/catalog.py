@@ -402,14 +402,17 @@ def q_incremental_load_effect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two scheduled runs of the whole chain (first landing, then everything):
-    silver by watermark, gold by MERGE, aggregate by touched months.  The
-    final aggregate must equal one computed over all clean trips at once."""
+    silver by watermark, gold by MERGE (new trips that share a trip_id are all
+    inserted), aggregate by touched months.  The final aggregate must equal one
+    computed over all clean trips at once."""
     lake = Lakehouse.at(spark, scratch_path(spark, "pipeline"))
     trips = tables.trips(spark, sf_dir)
     zones = tables.zones(spark, sf_dir)
     first = trips.filter(F.col(PICKUP) < F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz"))
     for bronze in (first, trips):
-        run_pipeline(spark, bronze, lake, zones, tables.FIXTURE_EXCLUDED_LOCATIONS, created_at=_created_at())
+        run_pipeline(
+            spark, bronze, lake, zones, tables.FIXTURE_EXCLUDED_LOCATIONS, created_at=_created_at(), on_duplicate="insert"
+        )
     return lake.agg.as_of()
 
 
